@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
@@ -164,7 +165,13 @@ def train(df: DataFrame, stage, means_path: str) -> DemandModel:
     encoded = encode(_with_inputs(df, numeric), means, categories)
     cols = [f"{c}_in" for c in numeric] + [f"{c}_enc" for c in categories]
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="inputs"), stage])
-    return DemandModel(pipeline.fit(encoded.select("sales", *cols)), means, numeric, categories)
+    # Kept over the iterations of the fit; lost partitions are rebuilt from files.
+    rows = encoded.select("sales", *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = pipeline.fit(rows)
+    finally:
+        rows.unpersist()
+    return DemandModel(fitted, means, numeric, categories)
 
 
 def train_or_reuse(train_df: DataFrame, val_df: DataFrame, stage, folder: str) -> tuple[DemandModel, DataFrame]:

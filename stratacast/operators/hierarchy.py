@@ -175,11 +175,12 @@ def summing_membership(bottom: DataFrame) -> DataFrame:
     ``bottom`` has one row per (state, store, dept). Each of its nodes belongs
     to the total, its state, its store, its department, and itself.
     """
-    parents = F.array(
-        F.struct(F.lit("total").alias("node_level"), F.lit("Total").alias("node")),
-        F.struct(F.lit("state"), F.col("state_id")),
-        F.struct(F.lit("store"), F.col("store_id")),
-        F.struct(F.lit("dept"), F.col("dept_id")),
-        F.struct(F.lit("store_dept"), F.concat_ws("_", "store_id", "dept_id")),
-    )
-    return bottom.select("store_id", "dept_id", F.inline(parents))
+    parents = {
+        "total": F.lit("Total"),
+        "state": F.col("state_id"),
+        "store": F.col("store_id"),
+        "dept": F.col("dept_id"),
+        "store_dept": F.concat_ws("_", "store_id", "dept_id"),
+    }
+    rows = [F.struct(F.lit(level).alias("node_level"), node.alias("node")) for level, node in parents.items()]
+    return bottom.select("store_id", "dept_id", F.inline(F.array(*rows)))

@@ -33,9 +33,17 @@ def slice_window(wide: DataFrame, lo: int, hi: int) -> DataFrame:
 
 
 def wide_to_long(wide: DataFrame, ids: Sequence[str] = ID_COLS) -> DataFrame:
-    """One row per series and day column, with the integer day number."""
+    """One row per series and day column, with the integer day number.
+
+    The day columns share one type, so a row becomes an array that is exploded.
+    An unpivot would plan one projection per day, hundreds of them.
+    """
     days = [c for c in wide.columns if c.startswith("d_")]
-    long = wide.unpivot(list(ids), days, "d", "sales")
+    # Written as text: hundreds of columns are one expression to parse.
+    cells = F.expr("array(" + ", ".join(f"`{c}`" for c in days) + ")")
+    names = F.expr("array(" + ", ".join(f"'{c}'" for c in days) + ")")
+    long = wide.select(*ids, F.posexplode(cells).alias("_pos", "sales"))
+    long = long.withColumn("d", F.element_at(names, F.col("_pos") + 1))
     return long.select(*ids, "d", day_number(F.col("d")).alias("day_num"), F.col("sales").cast("int"))
 
 
@@ -51,11 +59,9 @@ def pivot_series(
 
     The day list is explicit, so Spark needs no extra pass to find it.
     """
-    wide = long.groupBy(*keys).pivot(day_col, list(days)).agg(F.sum(value_col))
-    cells = [F.col(f"`{n}`") for n in days]
-    if fill is not None:
-        cells = [F.coalesce(c, F.lit(fill)) for c in cells]
-    return wide.select(*keys, *[c.alias(f"d_{n}") for c, n in zip(cells, days)])
+    named = long.withColumn("_d", F.concat(F.lit("d_"), F.col(day_col)))
+    wide = named.groupBy(*keys).pivot("_d", [f"d_{n}" for n in days]).agg(F.sum(value_col))
+    return wide if fill is None else wide.fillna(fill)
 
 
 def densify(

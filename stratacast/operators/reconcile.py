@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.constants import SERIES_COLS
@@ -134,27 +136,32 @@ def project_ols(
     return _solve_cg(rhs, split, day_col, tolerance, max_iterations)
 
 
+def _node_rows(levels: Sequence[str]) -> Column:
+    """The upper nodes (and the node itself) a store x department node belongs to.
+
+    A node key is the array of its values: joined text could collide.
+    """
+    rows = [
+        F.struct(F.lit(name).alias("node_level"), F.array(*[F.col(c) for c in REDUCED_LEVELS[name]]).cast("array<string>").alias("node"))
+        for name in levels
+    ]
+    return F.inline(F.array(*rows))
+
+
 def _right_hand_side(base: DataFrame, nodes: DataFrame, split: Split, day_col: str) -> DataFrame:
-    """b = S' yhat: at each node its own forecast plus those of its ancestors."""
+    """b = S' yhat: at each node its own forecast plus those of its ancestors.
+
+    The summing matrix as rows meets all base forecasts in one join.
+    """
     days = F.explode(F.sequence(F.lit(split.val_from), F.lit(split.val_to)))
     grid = nodes.select(*BOTTOM, days.alias(day_col))
-    b = F.lit(0.0)
-    for name, cols in REDUCED_LEVELS.items():
-        level = base.where(F.col("node_level") == name).select(*cols, day_col, F.col("yhat").alias(f"_y_{name}"))
-        grid = grid.join(level, [*cols, day_col], "left")
-        b = b + F.coalesce(F.col(f"_y_{name}"), F.lit(0.0))
-    return grid.select(*BOTTOM, day_col, b.alias("b"))
-
-
-def _upper_memberships(df: DataFrame, *extra: str) -> DataFrame:
-    """Four rows per node: its total, state, store and department."""
-    ancestors = F.array(
-        F.struct(F.lit("total").alias("node_level"), F.lit("").alias("node")),
-        F.struct(F.lit("state"), F.col("state_id")),
-        F.struct(F.lit("store"), F.col("store_id")),
-        F.struct(F.lit("dept"), F.col("dept_id")),
+    members = grid.select(*BOTTOM, day_col, _node_rows(list(REDUCED_LEVELS)))
+    key = F.coalesce(
+        *[F.when(F.col("node_level") == name, F.array(*[F.col(c) for c in cols]).cast("array<string>")) for name, cols in REDUCED_LEVELS.items()]
     )
-    return df.select("store_id", "dept_id", *extra, F.inline(ancestors))
+    known = base.select("node_level", key.alias("node"), day_col, "yhat")
+    joined = members.join(known, ["node_level", "node", day_col], "left")
+    return joined.groupBy(*BOTTOM, day_col).agg(F.coalesce(F.sum("yhat"), F.lit(0.0)).alias("b"))
 
 
 def _overlap_counts(nodes: DataFrame, max_upper: int) -> pd.DataFrame | None:
@@ -163,16 +170,12 @@ def _overlap_counts(nodes: DataFrame, max_upper: int) -> pd.DataFrame | None:
     Each node contributes its own 4 x 4 ancestor pairs, a fixed number, and the
     driver reads no more rows than ``max_upper`` upper nodes can have.
     """
-    up = [("total", F.lit("")), ("state", F.col("state_id")), ("store", F.col("store_id")), ("dept", F.col("dept_id"))]
-    pairs = F.array(
-        *[
-            F.struct(F.lit(a).alias("la"), va.alias("a"), F.lit(b).alias("lb"), vb.alias("b"))
-            for a, va in up
-            for b, vb in up
-        ]
-    )
-    shared = nodes.select(F.inline(pairs)).groupBy("la", "a", "lb", "b").count()
-    counts = shared.limit(max_upper**2 + 1).toPandas()
+    one = nodes.select("store_id", "dept_id", *BOTTOM[:1])
+    mine = one.select("*", _node_rows(list(UPPER))).withColumnsRenamed({"node_level": "la", "node": "a"})
+    pairs = mine.select("la", "a", _node_rows(list(UPPER))).withColumnsRenamed({"node_level": "lb", "node": "b"})
+    counts = pairs.groupBy("la", "a", "lb", "b").count().limit(max_upper**2 + 1).toPandas()
+    for c in ("a", "b"):
+        counts[c] = counts[c].map(tuple)
     n_upper = len(set(zip(counts["la"], counts["a"])))
     return counts if len(counts) <= max_upper**2 and n_upper <= max_upper else None
 
@@ -190,18 +193,19 @@ def _invert_overlaps(spark: SparkSession, counts: pd.DataFrame) -> DataFrame:
     frame = pd.DataFrame(
         {
             "to_level": [keys[k][0] for k in i],
-            "to_node": [keys[k][1] for k in i],
+            "to_node": [list(keys[k][1]) for k in i],
             "node_level": [keys[k][0] for k in j],
-            "node": [keys[k][1] for k in j],
+            "node": [list(keys[k][1]) for k in j],
             "w": inverse.ravel(),
         }
     )
-    schema = "to_level string, to_node string, node_level string, node string, w double"
+    schema = "to_level string, to_node array<string>, node_level string, node array<string>, w double"
     return spark.createDataFrame(frame, schema)
 
 
 def _solve_direct(rhs: DataFrame, overlaps: pd.DataFrame, day_col: str) -> DataFrame:
-    sums = _upper_memberships(rhs, day_col, "b").groupBy("node_level", "node", day_col).agg(F.sum("b").alias("ub"))
+    members = rhs.select("store_id", "dept_id", day_col, "b", _node_rows(list(UPPER)))
+    sums = members.groupBy("node_level", "node", day_col).agg(F.sum("b").alias("ub"))
     # At most DIRECT_UPPER_NODES squared rows, checked when they were counted.
     inverse = F.broadcast(_invert_overlaps(rhs.sparkSession, overlaps))
     correction = (
@@ -211,7 +215,7 @@ def _solve_direct(rhs: DataFrame, overlaps: pd.DataFrame, day_col: str) -> DataF
         .withColumnsRenamed({"to_level": "node_level", "to_node": "node"})
     )
     down = (
-        _upper_memberships(rhs, day_col)
+        members.drop("b")
         .join(correction, ["node_level", "node", day_col])
         .groupBy("store_id", "dept_id", day_col)
         .agg(F.sum("c").alias("c"))

@@ -127,9 +127,9 @@ CTES["scores"] = f"""
     SELECT method, level, {_LEVEL_NAME} AS level_name, sqrt(sum(weight * power(rmsse, 2))) AS wrmsse
     FROM rmsse GROUP BY method, level"""
 _METHOD = "CASE method WHEN 'pred' THEN 'Baseline' WHEN 'pred_bu' THEN 'Bottom-Up' WHEN 'pred_td' THEN 'Top-Down' ELSE 'MinTrace' END"
-CTES["named"] = f"SELECT {_METHOD} AS method, level, level_name, round(wrmsse, 6) AS wrmsse FROM scores WHERE method <> 'pred'"
+CTES["named"] = f"SELECT {_METHOD} AS method, level, level_name, round6(wrmsse) AS wrmsse FROM scores WHERE method <> 'pred'"
 CTES["overall"] = f"""
-    SELECT {_METHOD} AS method, round(avg(wrmsse), 6) AS wrmsse FROM scores WHERE method <> 'pred' GROUP BY method"""
+    SELECT {_METHOD} AS method, round6(avg(wrmsse)) AS wrmsse FROM scores WHERE method <> 'pred' GROUP BY method"""
 CTES["base"] = """
     SELECT CASE grouping(state_id, store_id, dept_id) WHEN 7 THEN 'total' WHEN 3 THEN 'state' WHEN 5 THEN 'store'
                 WHEN 6 THEN 'dept' ELSE 'store_dept' END AS node_level,
@@ -174,7 +174,7 @@ _CYC = (
 
 
 def _r(expr: str, name: str | None = None) -> str:
-    return f"round({expr}, 6) + 0.0 AS {name or expr}"
+    return f"round6({expr}) + 0.0 AS {name or expr}"
 
 
 def _sum_r(name: str) -> str:
@@ -194,7 +194,7 @@ def _coverage(key: str, left: str, right: str) -> str:
 def _nulls(table: str, cols: list[str]) -> str:
     parts = [
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS nulls, "
-        f"round(100.0 * (count(*) - count({c})) / count(*), 6) AS pct FROM {table}"
+        f"round6(100.0 * (count(*) - count({c})) / count(*)) AS pct FROM {table}"
         for c in cols
     ]
     return " UNION ALL ".join(parts)
@@ -233,7 +233,7 @@ def _narrow(table: str, cols: list[tuple[str, str]]) -> str:
             else "'float'"
         )
         parts.append(
-            f"SELECT '{c}', '{t}', {to}, round(CAST(min({c}) AS DOUBLE), 6), round(CAST(max({c}) AS DOUBLE), 6), NULL, false FROM {table}"
+            f"SELECT '{c}', '{t}', {to}, round6(CAST(min({c}) AS DOUBLE)), round6(CAST(max({c}) AS DOUBLE)), NULL, false FROM {table}"
         )
     return " UNION ALL ".join(parts)
 
@@ -268,9 +268,9 @@ def _size(table: str, cols: list[tuple[str, str]]) -> str:
 # by a constant, so the projection divides each by it.
 _INCOHERENT = """
     SELECT store_id, dept_id, day_num,
-           round(m0 / (1 + n_all + n_state + n_depts + n_stores) + (m_state - m0) / (1 + n_state + n_depts)
+           round6(m0 / (1 + n_all + n_state + n_depts + n_stores) + (m_state - m0) / (1 + n_state + n_depts)
            + (m_store - m_state) / (1 + n_depts) + (m_dept - m0) / (1 + n_stores)
-           + (b - m_store - m_dept + m0), 6) + 0.0 AS reconciled
+           + (b - m_store - m_dept + m0)) + 0.0 AS reconciled
     FROM (SELECT *, avg(b) OVER (PARTITION BY day_num) AS m0, avg(b) OVER (PARTITION BY day_num, state_id) AS m_state,
                  avg(b) OVER (PARTITION BY day_num, store_id) AS m_store, avg(b) OVER (PARTITION BY day_num, dept_id) AS m_dept,
                  count(*) OVER (PARTITION BY day_num) AS n_all, count(*) OVER (PARTITION BY day_num, state_id) AS n_state,
@@ -283,8 +283,6 @@ _INCOHERENT = """
                 JOIN rounded_base d ON d.node_level = 'dept' AND d.day_num = b.day_num AND d.dept_id = b.dept_id
                 WHERE b.node_level = 'store_dept'))"""
 
-_WIDE_TOTAL = "sum(sales) AS checksum"
-
 _BODIES = {
     "panel_long": "SELECT store_id, item_id, day_num, sales, wm_yr_wk, wday, event_name_1, sell_price FROM panel",
     "unpivot_wide": "SELECT item_id || '_' || store_id AS id, 'd_' || day_num AS d, day_num, sales FROM dense",
@@ -303,7 +301,7 @@ _BODIES = {
         FROM (SELECT d, state_id, day_num, {_CYC}, CASE WHEN event_name_1 IS NULL THEN 0 ELSE 1 END AS is_event, {_SNAP} AS snap
               FROM calendar CROSS JOIN (SELECT DISTINCT state_id, pos FROM states JOIN series USING (state_id)))""",
     "price_momentum": f"""
-        SELECT store_id, item_id, day_num, round(sell_price, 6) AS sell_price, {_r(_MOMENTUM, 'price_momentum')}
+        SELECT store_id, item_id, day_num, round6(sell_price) AS sell_price, {_r(_MOMENTUM, 'price_momentum')}
         FROM (SELECT *, lag(sell_price) {_W}) AS prev FROM panel)""",
     "feature_table": f"""
         SELECT store_id, day_num, count(*) AS n_rows, sum(sales) AS sales, {', '.join(f'sum(sales_lag_{k}) AS sales_lag_{k}' for k in LAGS)},
@@ -321,8 +319,8 @@ _BODIES = {
         FROM ({_by_level('dense', 'sum(sales) AS s')}) GROUP BY level, {KEYS}""",
     "store_dept_daily": "SELECT store_id, dept_id, day_num, sum(sales) AS sales FROM dense GROUP BY ALL",
     "series_scale": f"SELECT level, {KEYS}, {_r('scale')} FROM scale",
-    "series_weights": f"SELECT level, {KEYS}, round(dollars / sum(dollars) OVER (PARTITION BY level), 6) AS weight FROM scale",
-    "revenue_weights": f"SELECT level, {KEYS}, round(revenue / sum(revenue) OVER (PARTITION BY level), 6) AS weight FROM scale",
+    "series_weights": f"SELECT level, {KEYS}, round6(dollars / sum(dollars) OVER (PARTITION BY level)) AS weight FROM scale",
+    "revenue_weights": f"SELECT level, {KEYS}, round6(revenue / sum(revenue) OVER (PARTITION BY level)) AS weight FROM scale",
     "series_rmsse": f"SELECT level, {KEYS}, {_r('rmsse')} FROM rmsse WHERE method = 'pred'",
     "wrmsse_levels": f"SELECT level, level_name, {_r('wrmsse')} FROM scores WHERE method = 'pred'",
     "wrmsse_overall": f"SELECT {_r('avg(wrmsse)', 'wrmsse_overall')} FROM scores WHERE method = 'pred'",
@@ -332,7 +330,7 @@ _BODIES = {
                      count(*) FILTER (day_num >= val_from) AS n_val
               FROM daily, bounds WHERE day_num >= train_from GROUP BY {_sets('()').replace(', ()', '')})
         WHERE n_train = 0 OR n_val = 0 GROUP BY 1, 2""",
-    "bottom_up_levels": f"SELECT * REPLACE (round(pred_bu, 6) AS pred_bu) FROM ({_by_level('val', 'sum(pred) AS pred_bu')})",
+    "bottom_up_levels": f"SELECT * REPLACE (round6(pred_bu) AS pred_bu) FROM ({_by_level('val', 'sum(pred) AS pred_bu')})",
     "hist_proportions": f"SELECT store_id, item_id, {_r('avg_sales')}, {_r('proportion')} FROM shares",
     "top_down": f"SELECT store_id, item_id, day_num, {_r('pred_td')} FROM reconciled",
     "within_dept_proportions": f"""
@@ -374,8 +372,8 @@ _BODIES = {
     ),
     "leaderboard": """
         SELECT CAST(level AS INTEGER) AS position, level_name AS row_name,
-               round(max(wrmsse) FILTER (method = 'pred'), 6) AS "Baseline", round(max(wrmsse) FILTER (method = 'pred_bu'), 6) AS "Bottom-Up",
-               round(max(wrmsse) FILTER (method = 'pred_td'), 6) AS "Top-Down", round(max(wrmsse) FILTER (method = 'pred_mint'), 6) AS "MinTrace"
+               round6(max(wrmsse) FILTER (method = 'pred')) AS "Baseline", round6(max(wrmsse) FILTER (method = 'pred_bu')) AS "Bottom-Up",
+               round6(max(wrmsse) FILTER (method = 'pred_td')) AS "Top-Down", round6(max(wrmsse) FILTER (method = 'pred_mint')) AS "MinTrace"
         FROM (SELECT * FROM scores UNION ALL SELECT method, 13, 'OVERALL', avg(wrmsse) FROM scores GROUP BY method
               UNION ALL SELECT DISTINCT method, 14, 'COHERENCE ERROR', 0.0 FROM scores)
         GROUP BY level, level_name""",
@@ -385,7 +383,7 @@ _BODIES = {
     "method_ranks": """
         SELECT method, wrmsse, CAST(0 AS DOUBLE) AS coherence_error, CAST(rank() OVER (ORDER BY wrmsse) AS INTEGER) AS rank_wrmsse,
                CAST(1 AS INTEGER) AS rank_coherence,
-               round((wrmsse / (SELECT o.wrmsse FROM overall o WHERE o.method = 'Bottom-Up') - 1) * 100, 6) + 0.0 AS pct_vs_base
+               round6((wrmsse / (SELECT o.wrmsse FROM overall o WHERE o.method = 'Bottom-Up') - 1) * 100) + 0.0 AS pct_vs_base
         FROM overall""",
     "metrics_report": f"""
         SELECT n.method, max(o.wrmsse) AS wrmsse_overall, CAST(0 AS DOUBLE) AS coherence_error,
@@ -395,7 +393,7 @@ _BODIES = {
     "run_log_roundtrip": f"""
         SELECT 'baseline_lgbm_sku' AS run_name, 'metric' AS kind, 'wrmsse_level_' || level AS key, {_r('wrmsse', 'value')}
         FROM scores WHERE method = 'pred'
-        UNION ALL SELECT 'baseline_lgbm_sku', 'metric', 'wrmsse_overall', round(avg(wrmsse), 6) FROM scores WHERE method = 'pred'
+        UNION ALL SELECT 'baseline_lgbm_sku', 'metric', 'wrmsse_overall', round6(avg(wrmsse)) FROM scores WHERE method = 'pred'
         UNION ALL SELECT 'baseline_lgbm_sku', 'param', 'horizon', {HORIZON_DAYS}.0""",
     "null_audit": "SELECT * FROM ("
     + _nulls("calendar", [c for c, _ in _CAL_COLS])
@@ -414,7 +412,7 @@ _BODIES = {
     "dataset_report": f"""
         SELECT coalesce(table_name, 'TOTAL') AS table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_columns) AS BIGINT) AS n_columns,
                CAST(sum(bytes_before) AS BIGINT) AS bytes_before, CAST(sum(bytes_after) AS BIGINT) AS bytes_after,
-               round(100.0 * CAST(sum(bytes_before) - sum(bytes_after) AS DOUBLE) / CAST(sum(bytes_before) AS DOUBLE), 6) AS pct_saved
+               round6(100.0 * CAST(sum(bytes_before) - sum(bytes_after) AS DOUBLE) / CAST(sum(bytes_before) AS DOUBLE)) AS pct_saved
         FROM ({_size('daily', _SALES_COLS)} UNION ALL {_size('prices', _PRICE_COLS)}) GROUP BY ROLLUP (table_name)""",
     "hierarchy_cardinality": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, "
@@ -438,22 +436,22 @@ _BODIES = {
         SELECT count(DISTINCT day_num) AS found, max(last_day - lo + 1) AS expected,
                count(DISTINCT day_num) = max(last_day - lo + 1) AS complete FROM daily, bounds WHERE day_num >= lo""",
     "size_estimate": """
-        SELECT n_series, n_days, n_series * n_days AS est_rows, round(n_series * n_days * 50 / 1048576.0, 6) AS est_mb
+        SELECT n_series, n_days, n_series * n_days AS est_rows, round6(n_series * n_days * 50 / 1048576.0) AS est_mb
         FROM (SELECT count(*) AS n_series, (SELECT last_day - lo + 1 FROM bounds) AS n_days FROM series)""",
     "csv_load": f"""
         SELECT 'calendar' AS table_name, 16 AS n_columns, count(*) AS n_rows,
-               CAST(sum(wm_yr_wk + wday + month + year + {' + '.join(f'CAST(dom <= 10 + {i} AS INTEGER)' for i in range(5))}) AS DOUBLE) AS checksum
+               CAST(100 * sum(wm_yr_wk + wday + month + year + {' + '.join(f'CAST(dom <= 10 + {i} AS INTEGER)' for i in range(5))}) AS BIGINT) AS checksum
         FROM calendar
-        UNION ALL SELECT 'sales_evaluation', 6 + (SELECT last_day - lo + 1 FROM bounds), count(DISTINCT (store_id, item_id)), sum(sales) FROM dense
+        UNION ALL SELECT 'sales_evaluation', 6 + (SELECT last_day - lo + 1 FROM bounds), count(DISTINCT (store_id, item_id)), 100 * sum(sales) FROM dense
         UNION ALL SELECT 'sales_validation', 6 + (SELECT last_day - lo + 1 - {HORIZON_DAYS} FROM bounds), count(DISTINCT (store_id, item_id)),
-               sum(sales) FILTER (day_num <= train_to) FROM dense, bounds
-        UNION ALL SELECT 'sell_prices', 4, count(*), round(sum(wm_yr_wk + sell_price), 6) FROM prices
+               100 * sum(sales) FILTER (day_num <= train_to) FROM dense, bounds
+        UNION ALL SELECT 'sell_prices', 4, count(*), sum(CAST(round((wm_yr_wk + sell_price) * 100) AS BIGINT)) FROM prices
         UNION ALL SELECT 'sample_submission', 29, count(*), 0 FROM series""",
     "clip_round": """
         SELECT store_id, item_id, day_num, greatest(sales / 8 - 0.25, 0) AS clipped, round_even(greatest(sales / 8 - 0.25, 0), 2) AS rounded
         FROM val""",
     "series_last": f"""
-        SELECT store_id, item_id, max(day_num) AS day_num, arg_max(sales, day_num) AS sales, round(arg_max(sell_price, day_num), 6) AS sell_price,
+        SELECT store_id, item_id, max(day_num) AS day_num, arg_max(sales, day_num) AS sales, round6(arg_max(sell_price, day_num)) AS sell_price,
                arg_max(sales_lag_28, day_num) AS sales_lag_28, {_r('arg_max(sales_rmean_60, day_num)', 'sales_rmean_60')},
                {_r('arg_max(price_momentum, day_num)', 'price_momentum')}
         FROM (SELECT *, {_MOMENTUM} AS price_momentum FROM (SELECT *, lag(sell_price) {_W}) AS prev, {_LAG_COLS}, {_ROLL} FROM panel))
@@ -465,4 +463,21 @@ _BODIES = {
         WHERE day_num = last_day""",
 }
 
-ORACLES = {name: _with(body) for name, body in _BODIES.items()}
+_BODIES["dtype_summary"] = f"""
+    SELECT dtype, count(*) AS n_columns, CAST(sum(nulls) AS BIGINT) AS nulls FROM ({_BODIES['column_profile']}) GROUP BY dtype"""
+
+
+
+def _expand_round6(sql: str) -> str:
+    """round6(x) stands for x, nudged away from zero by 1e-10, to six decimals."""
+    while (at := sql.find("round6(")) >= 0:
+        end, depth = at + len("round6("), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        x = sql[at + len("round6(") : end - 1]
+        sql = f"{sql[:at]}round(({x}) + sign({x}) * 1e-10::DOUBLE, 6){sql[end:]}"
+    return sql
+
+
+ORACLES = {name: _expand_round6(_with(body)) for name, body in _BODIES.items()}

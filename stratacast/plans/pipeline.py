@@ -22,13 +22,13 @@ METHODS = tuple(RUN_NAMES)
 NAIVE_WINDOW = 28
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write to the shared folder and read back, where several jobs follow.
 
     Unlike a cache the table survives lost executors, and it is not recomputed.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -114,11 +114,14 @@ def retail_scored(retail: Retail) -> tuple[DataFrame, DataFrame, Split]:
     """Training rows, validation rows with the forecast, and the split.
 
     The rows are stored once: scoring and reconciliation read them several
-    times, and would repeat the windows each time.
+    times, and would repeat the windows each time. The parts lie in folders of
+    their own, so a pass over the short validation part reads nothing else.
     """
     split = retail.split(burn_in=max(LAGS))
-    rows = stored(retail_predicted(retail), "predicted")
-    return split.train(rows).drop("pred"), split.validation(rows), split
+    part = F.when(F.col("day_num") < split.val_from, "train").otherwise("validation")
+    rows = stored(retail_predicted(retail).withColumn("part", part), "predicted", "part")
+    train, val = (rows.where(F.col("part") == p).drop("part") for p in ("train", "validation"))
+    return train.drop("pred"), val, split
 
 
 def retail_reconciled(retail: Retail) -> tuple[DataFrame, DataFrame, Split]:

@@ -46,14 +46,16 @@ def query(build: Callable[[Retail], DataFrame]):
     return run
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def _round6(value):
+    """Six decimals; the nudge keeps summation noise from deciding exact halves."""
+    return F.round(value + F.signum(value) * F.lit(1e-10), 6) + F.lit(0.0)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
     # Adding 0.0 turns a negative zero into a plain one.
     fractions = (T.DoubleType, T.FloatType)
     return df.select(
-        *[
-            (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name) if isinstance(f.dataType, fractions) else f"`{f.name}`"
-            for f in df.schema
-        ]
+        *[_round6(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, fractions) else f"`{f.name}`" for f in df.schema]
     )
 
 
@@ -262,11 +264,16 @@ def mintrace_coherent(r: Retail) -> DataFrame:
     return rc.mintrace_ols(train, val, split).select(*SERIES_COLS, "day_num", "pred_mint")
 
 
+def _whole_units(base: DataFrame) -> DataFrame:
+    # The inner rounding removes summation noise, which would decide halves.
+    return base.withColumn("yhat", F.round(F.round("yhat", 9)))
+
+
 @query
 def mintrace_incoherent(r: Retail) -> DataFrame:
     """Base forecasts rounded to whole units at every level, so that levels disagree."""
     _, val, split = pl.retail_scored(r)
-    base = pl.stored(rc.base_forecasts(val).withColumn("yhat", F.round("yhat")), "base")
+    base = pl.stored(_whole_units(rc.base_forecasts(val)), "base")
     solved = rc.project_ols(base, rc.bottom_nodes(val), split)
     return solved.select("store_id", "dept_id", "day_num", F.col("x").alias("reconciled"))
 
@@ -281,7 +288,7 @@ def coherence_error(r: Retail) -> DataFrame:
 def coherence_of_levels(r: Retail) -> DataFrame:
     """Disagreement of forecasts rounded on their own at store and department level."""
     val, _ = _validation(r)
-    base = rc.base_forecasts(val).withColumn("pred", F.round("yhat"))
+    base = _whole_units(rc.base_forecasts(val)).withColumnRenamed("yhat", "pred")
     store = base.where("node_level = 'store'")
     below = base.where("node_level = 'store_dept'")
     return me.coherence_between(store, below, ["store_id"], ["pred"]).drop("method")
@@ -341,7 +348,9 @@ def pred_range(r: Retail) -> DataFrame:
 
 def _study(r: Retail) -> tuple[DataFrame, DataFrame]:
     train, val, split = pl.retail_reconciled(r)
-    return pl.score_methods(train, val, split)
+    levels, coherence = pl.score_methods(train, val, split)
+    # Reports read the 48 score rows several times.
+    return pl.stored(levels, "scores"), coherence
 
 
 @query
@@ -361,7 +370,7 @@ def best_per_level(r: Retail) -> DataFrame:
 
 def _comparable(df: DataFrame) -> DataFrame:
     """Scores that agree to six decimals tie, so that the name decides."""
-    return df.withColumn("wrmsse", F.round("wrmsse", 6))
+    return df.withColumn("wrmsse", _round6(F.col("wrmsse")))
 
 
 @query
@@ -375,7 +384,7 @@ def method_ranks(r: Retail) -> DataFrame:
     levels, coherence = _study(r)
     overall = _comparable(me.wrmsse_overall(levels.where("method <> 'pred'")))
     # In exact arithmetic every coherence error is 0; the rounding residue is not ranked.
-    exact = coherence.withColumn("coherence_error", F.round("coherence_error", 6))
+    exact = coherence.withColumn("coherence_error", _round6(F.col("coherence_error")))
     return rp.display_method(rp.method_ranks(overall, exact))
 
 
@@ -387,7 +396,7 @@ def metrics_report(r: Retail) -> DataFrame:
     log = scratch_path(r.spark, "runlog")
     pl.run_study(rows, split, lambda train, val: val, log, {"n_features": 1})
     scores = runlog.scores(runlog.read(r.spark, log)).where("method <> 'Baseline'")
-    return rp.metrics_report(scores.withColumn("value", F.round("value", 6)))
+    return rp.metrics_report(scores.withColumn("value", _round6(F.col("value"))))
 
 
 @query
@@ -421,7 +430,9 @@ def column_profile(r: Retail) -> DataFrame:
 
 @query
 def dtype_summary(r: Retail) -> DataFrame:
-    return qu.dtype_summary(_audited(r))
+    """Columns and nulls per type over the three tables."""
+    profile = column_profile.__wrapped__(r)
+    return profile.groupBy("dtype").agg(F.count("*").alias("n_columns"), F.sum("nulls").alias("nulls"))
 
 
 @query
@@ -500,9 +511,9 @@ def csv_load(r: Retail) -> DataFrame:
     result = None
     for name, df in loaded.items():
         numbers = [c for c, t in df.dtypes if t in ("int", "double")]
-        total = F.lit(0.0)
-        for c in numbers:
-            total = total + F.coalesce(F.col(f"`{c}`"), F.lit(0))
+        cells = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in numbers])
+        # Whole cents, so that the sum does not depend on the order of rows.
+        total = F.round(F.aggregate(cells, F.lit(0.0), lambda a, b: a + b) * 100).cast("long")
         one = df.agg(F.count("*").alias("n_rows"), F.sum(total).alias("checksum")).select(
             F.lit(name).alias("table_name"), F.lit(len(df.columns)).cast("long").alias("n_columns"), "n_rows", "checksum"
         )
@@ -562,7 +573,7 @@ def _trained(r: Retail, stage):
 @query
 def train_score(r: Retail) -> DataFrame:
     """The linear Tweedie model, its error per store."""
-    model, _, val = _trained(r, fc.linear_stage(max_iter=10))
+    model, _, val = _trained(r, fc.linear_stage(max_iter=5))
     return rp.store_report(model.predict(val))
 
 
@@ -576,13 +587,5 @@ def feature_importance_topk(r: Retail) -> DataFrame:
 @query
 def horizon_forecast(r: Retail) -> DataFrame:
     """28 days ahead for every series."""
-    model, features, _ = _trained(r, fc.linear_stage(max_iter=10))
+    model, features, _ = _trained(r, fc.linear_stage(max_iter=5))
     return fc.horizon_forecast(model, fc.horizon_template(fc.last_values(features)))
-
-
-@query
-def point_forecast(r: Retail) -> DataFrame:
-    """The forecast of one series, in step order."""
-    model, features, _ = _trained(r, fc.linear_stage(max_iter=10))
-    last = fc.last_values(features.where((F.col("store_id") == STORE) & (F.col("item_id") == ITEM)))
-    return fc.horizon_forecast(model, fc.horizon_template(last)).orderBy("h")
