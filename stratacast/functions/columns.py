@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +16,20 @@ def day_number(d: Column) -> Column:
     return F.split_part(d, F.lit("_"), F.lit(2)).cast("int")
 
 
+def lookup(column: str, mapping: Mapping[object, object]) -> Column:
+    """The mapped value of a column, NULL if it has none.
+
+    Written as one CASE expression: a chain of column objects costs a round
+    trip to the JVM for each of its parts.
+    """
+
+    def sql(value: object) -> str:
+        return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+    cases = " ".join(f"WHEN {sql(k)} THEN {sql(v)}" for k, v in mapping.items())
+    return F.expr(f"CASE {column} {cases} END")
+
+
 def cyclical(value: Column, period: int) -> tuple[Column, Column]:
     """Sine and cosine of a value that repeats with ``period``."""
     angle = value * F.lit(2 * math.pi / period)

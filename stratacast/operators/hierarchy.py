@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.constants import HIERARCHY_COLS, LEVEL_NAMES, LEVELS, SERIES_COLS
+from stratacast.functions.columns import lookup
 
 KEYS = list(HIERARCHY_COLS)
 
@@ -27,7 +28,7 @@ def _grouping_sets(df: DataFrame, levels: Mapping[int, Sequence[str]], values: S
         sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in cols and c != day_col): n
         for n, cols in levels.items()
     }
-    number = F.coalesce(*[F.when(F.col("_gid") == gid, F.lit(n)) for gid, n in ids.items()])
+    number = lookup("_gid", ids)
     sums = [F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in values]
     grouped = df.groupingSets([[*cols, day_col] for cols in levels.values()], *keys).agg(
         F.grouping_id().alias("_gid"), *sums
@@ -102,9 +103,9 @@ def aggregate_levels(
     return result
 
 
-def level_name(level: Column) -> Column:
+def level_name(column: str = "level") -> Column:
     """Display name of a level number column."""
-    return F.coalesce(*[F.when(level == n, F.lit(name)) for n, name in LEVEL_NAMES.items()])
+    return lookup(column, LEVEL_NAMES)
 
 
 def series_key(cols: Sequence[str] = KEYS) -> Column:

@@ -159,7 +159,7 @@ def wrmsse_levels(series: DataFrame, split: Split, pred_cols: Sequence[str] = ("
         ]
     )
     flat = sums.select("level", F.inline(per_method))
-    return flat.select("method", "level", level_name(F.col("level")).alias("level_name"), "wrmsse")
+    return flat.select("method", "level", level_name().alias("level_name"), "wrmsse")
 
 
 def wrmsse_overall(levels: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.constants import SERIES_COLS
+from stratacast.functions.columns import lookup
 from stratacast.session import BROADCAST_ROWS, ensure_checkpoint_dir
 from stratacast.split import Split
 
@@ -95,7 +96,7 @@ def base_forecasts(val: DataFrame, pred_col: str = "pred", day_col: str = "day_n
         "store_dept": ["store_id", "dept_id", day_col],
     }
     ids = {name: sum(1 << (3 - i) for i, c in enumerate(keys) if c not in cols) for name, cols in sets.items()}
-    name = F.coalesce(*[F.when(F.col("_gid") == gid, F.lit(n)) for n, gid in ids.items()])
+    name = lookup("_gid", {gid: n for n, gid in ids.items()})
     return (
         bottom.groupingSets(list(sets.values()), *keys)
         .agg(F.grouping_id().alias("_gid"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("yhat"))

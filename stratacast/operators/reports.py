@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratacast.constants import METHOD_NAMES
+from stratacast.functions.columns import lookup
 
 
 def national_daily(val: DataFrame, pred_col: str = "pred") -> DataFrame:
@@ -53,8 +54,7 @@ def sorted_stores(df: DataFrame) -> DataFrame:
 
 
 def display_method(df: DataFrame) -> DataFrame:
-    name = F.coalesce(*[F.when(F.col("method") == m, F.lit(n)) for m, n in METHOD_NAMES.items()], F.col("method"))
-    return df.withColumn("method", name)
+    return df.withColumn("method", F.coalesce(lookup("method", METHOD_NAMES), "method"))
 
 
 def leaderboard(levels: DataFrame, coherence: DataFrame, methods: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.constants import METHOD_NAMES, RUN_NAMES
+from stratacast.functions.columns import lookup
 
 SCHEMA = "run_name string, kind string, key string, value string"
 
@@ -21,7 +22,7 @@ def metric_rows(levels: DataFrame, coherence: DataFrame | None = None) -> DataFr
         rows = rows.unionByName(
             coherence.select("method", F.lit("coherence_error").alias("key"), F.col("coherence_error").alias("v"))
         )
-    name = F.coalesce(*[F.when(F.col("method") == m, F.lit(r)) for m, r in RUN_NAMES.items()], F.col("method"))
+    name = F.coalesce(lookup("method", RUN_NAMES), "method")
     return rows.select(name.alias("run_name"), F.lit("metric").alias("kind"), "key", F.col("v").cast("string").alias("value"))
 
 
@@ -40,5 +41,5 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def scores(log: DataFrame) -> DataFrame:
     """Level and summary metrics of the log, by display name of the method."""
     names = {RUN_NAMES[m]: METHOD_NAMES[m] for m in RUN_NAMES}
-    method = F.coalesce(*[F.when(F.col("run_name") == r, F.lit(n)) for r, n in names.items()], F.col("run_name"))
+    method = F.coalesce(lookup("run_name", names), "run_name")
     return log.where("kind = 'metric'").select(method.alias("method"), "key", F.col("value").cast("double").alias("value"))
