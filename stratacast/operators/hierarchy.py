@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratacast.constants import HIERARCHY_COLS, LEVEL_NAMES, LEVELS, SERIES_COLS
 from stratacast.functions.columns import lookup
+from stratacast.session import shuffle_partitions
 
 KEYS = list(HIERARCHY_COLS)
 
@@ -62,9 +63,11 @@ def bottom_rows(df: DataFrame, values: Sequence[str], day_col: str = "day_num")
     Every class starts from this same aggregate, so Spark runs it, and all that
     lies before it, once and reuses its exchange. The rows are laid out by
     series: the aggregate needs no second shuffle, and neither does a window
-    over the days of a series.
+    over the days of a series. The classes multiply the rows, so the number of
+    partitions is fixed against merging by AQE.
     """
-    return aggregate_level(df.repartition(*SERIES_COLS), KEYS, values, day_col)
+    laid_out = df.repartition(shuffle_partitions(df.sparkSession), *SERIES_COLS)
+    return aggregate_level(laid_out, KEYS, values, day_col)
 
 
 def aggregate_class(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratacast.constants import BYTES_PER_LONG_ROW, SERIES_COLS
+from stratacast.functions.columns import lookup
 
 # Ranges of the signed integer types, narrowest first.
 INT_RANGES = (
@@ -154,24 +155,26 @@ def dataset_report(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.sum(_bytes(df)).alias("_before"),
             *[F.sum(F.octet_length(_tick(c))).alias(f"_text_{c}") for c, t in df.dtypes if t == "string"],
         )
-        text = {c: F.coalesce(F.col(f"`_text_{c}`"), F.lit(0)) for c, t in df.dtypes if t == "string"}
-        text_map = (
-            F.create_map(*[x for c, e in text.items() for x in (F.lit(c), e)])
-            if text
-            else F.lit(None).cast("map<string,bigint>")
-        )
-        size = size.select("rows", "_before", text_map.alias("_text"))
-        width = F.coalesce(*[F.when(F.col("to_type") == t, F.lit(w)) for t, w in _WIDTHS.items()])
+        # One row of totals, used as scalars beside the plan's one row per column.
+        rows, before = size.select("rows").scalar(), size.select("_before").scalar()
+        texts = [c for c, t in df.dtypes if t == "string"]
+        text = F.coalesce(*[F.when(F.col("column_name") == c, size.select(f"`_text_{c}`").scalar()) for c in texts], F.lit(0))
+        width = lookup("to_type", _WIDTHS)
         code = F.when(F.col("n_distinct") <= 127, 1).when(F.col("n_distinct") <= 32767, 2).otherwise(4)
-        plan = narrowing_plan(df).crossJoin(F.broadcast(size))  # one row
-        after = F.when(F.col("is_categorical"), code * F.col("rows")).when(
-            F.col("to_type") == "string", F.element_at("_text", F.col("column_name"))
-        ).otherwise(width * F.col("rows"))
-        one = plan.groupBy(F.lit(name).alias("table_name")).agg(
-            F.first("rows").alias("n_rows"),
-            F.lit(len(df.columns)).cast("long").alias("n_columns"),
-            F.first("_before").alias("bytes_before"),
-            F.sum(after).cast("long").alias("bytes_after"),
+        after = (
+            F.when(F.col("is_categorical"), code * rows).when(F.col("to_type") == "string", text).otherwise(width * rows)
+        )
+        one = (
+            narrowing_plan(df)
+            .select(after.alias("_after"))
+            .agg(F.sum("_after").cast("long").alias("bytes_after"))
+            .select(
+                F.lit(name).alias("table_name"),
+                rows.alias("n_rows"),
+                F.lit(len(df.columns)).cast("long").alias("n_columns"),
+                before.alias("bytes_before"),
+                "bytes_after",
+            )
         )
         result = one if result is None else result.unionByName(one)
     total = result.rollup("table_name").agg(

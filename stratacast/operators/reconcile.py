@@ -37,11 +37,8 @@ def bottom_up(val: DataFrame, pred_col: str = "pred") -> DataFrame:
 def historical_proportions(train: DataFrame, actual_col: str = "sales") -> DataFrame:
     """Mean sales of each series as a share of the sum of means."""
     means = train.groupBy(*SERIES_COLS).agg(F.avg(actual_col).alias("avg_sales"))
-    total = means.agg(F.sum("avg_sales").alias("_total"))
-    # One row: an aggregate without keys.
-    return means.join(F.broadcast(total)).select(
-        *SERIES_COLS, "avg_sales", F.try_divide("avg_sales", "_total").alias("proportion")
-    )
+    total = means.agg(F.sum("avg_sales")).scalar()
+    return means.withColumn("proportion", F.try_divide("avg_sales", total))
 
 
 def national_forecast(val: DataFrame, pred_col: str = "pred", day_col: str = "day_num") -> DataFrame:

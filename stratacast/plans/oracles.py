@@ -299,7 +299,7 @@ _BODIES = {
     "calendar_features": f"""
         SELECT d, state_id, day_num, {', '.join(_r(c) for c in ('wday_sin', 'wday_cos', 'month_sin', 'month_cos'))}, is_event, snap
         FROM (SELECT d, state_id, day_num, {_CYC}, CASE WHEN event_name_1 IS NULL THEN 0 ELSE 1 END AS is_event, {_SNAP} AS snap
-              FROM calendar CROSS JOIN (SELECT DISTINCT state_id, pos FROM states JOIN series USING (state_id)))""",
+              FROM calendar CROSS JOIN states)""",
     "price_momentum": f"""
         SELECT store_id, item_id, day_num, round6(sell_price) AS sell_price, {_r(_MOMENTUM, 'price_momentum')}
         FROM (SELECT *, lag(sell_price) {_W}) AS prev FROM panel)""",

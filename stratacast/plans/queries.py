@@ -27,7 +27,7 @@ from stratacast.operators import reports as rp
 from stratacast.plans import pipeline as pl
 from stratacast.session import scratch_path, tune
 from stratacast.sources import runlog, tables
-from stratacast.sources.retail import Retail
+from stratacast.sources.retail import Retail, state_names
 
 STORE = "NATION_1"
 ITEM = "Brand#1|ECONOMY"
@@ -109,8 +109,8 @@ def rolling_features(r: Retail) -> DataFrame:
 @query
 def calendar_features(r: Retail) -> DataFrame:
     """Calendar features of every day of the history in every state."""
-    states = hi.series_attributes(r.sales).select("state_id").distinct()
-    days = pa.name_missing_events(r.calendar).crossJoin(F.broadcast(states))  # one row per state
+    states = F.array(*[F.lit(s) for s in state_names(r.spark, r.folder)])
+    days = pa.name_missing_events(r.calendar).withColumn("state_id", F.explode(states))
     cols = ("wday_sin", "wday_cos", "month_sin", "month_cos", "is_event", "snap")
     return ft.add_calendar_features(days).select("d", "state_id", "day_num", *cols)
 
