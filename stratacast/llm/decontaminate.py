@@ -107,7 +107,7 @@ def contamination(
     cover = lambda h: F.when(
         h["_len"] == window,
         F.transform(
-            F.sequence(F.greatest(h["_at"] - (window - k), F.lit(0)), F.least(h["_at"], F.col("_n") - window)),
+            F.sequence(F.greatest(h["_at"] - (window - k), F.lit(0)), h["_at"]),
             lambda s: F.struct(s.alias("start"), h["_len"].alias("len")),
         ),
     ).otherwise(F.array(F.struct(h["_at"].alias("start"), h["_len"].alias("len"))))
@@ -116,6 +116,7 @@ def contamination(
         .select("doc_id", "_hits", item_words(F.col("text")).alias("_words"))
         .withColumn("_n", F.size("_words"))
         .withColumn("_cover", F.array_distinct(F.flatten(F.transform("_hits", cover))))
+        .withColumn("_cover", F.filter("_cover", lambda c: c["start"] + c["len"] <= F.col("_n")))
         .withColumn(
             "_windows",
             F.transform(

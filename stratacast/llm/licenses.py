@@ -157,7 +157,7 @@ def license_scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
         )
         .groupBy("_hit_id")
         .agg(F.array_distinct(F.flatten(F.collect_list("_spans"))).alias("_spans"))
-        .select("_hit_id", _verified("_spans").alias("_f"))
+        .select("_hit_id", F.pandas_udf(_verify, FOUND)("_spans").alias("_f"))
         .select("_hit_id", "_f.*")
     )
     return (
@@ -176,8 +176,7 @@ def license_scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(FOUND)
-def _verified(spans: pd.Series) -> pd.DataFrame:
+def _verify(spans: pd.Series) -> pd.DataFrame:
     rows = []
     for doc in spans:
         starts, base, labels, kept = [], set(), set(), []
