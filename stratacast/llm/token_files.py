@@ -8,6 +8,7 @@ them can be read without touching a token.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
@@ -22,7 +23,8 @@ from stratacast.session import scratch_path
 
 END_ID = 2
 # Chunks of text whose ids a worker remembers, some 200 bytes each.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
+LEARNT_AT_ONCE = 5_000
 LAYOUT = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
@@ -35,13 +37,19 @@ ENCODED = "doc_id long, start_in_file long, n_tokens int, tokens array<int>"
 PER_DOC = "doc_id long, start_in_file long, n_tokens long, ids_crc32 long, file string"
 
 
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\n])")
+
+
 class ChunkEncoder:
     """Encodes each distinct run between white space once per worker.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
     those of its runs in a row. Lower-casing A-Z first changes nothing, as the
-    tokenizer lower-cases; texts that hold a special token's mark are left as
-    they are. Index 0 stands for the end of a document.
+    tokenizer lower-cases, and neither does a blank between a letter and a
+    single full stop or comma, which are different pieces anyway; texts that
+    hold a special token's mark are left as they are. Index 0 stands for the
+    end of a document. When too much is remembered, what was met only once
+    goes.
     """
 
     def __init__(self, definition: str, end_id: int) -> None:
@@ -54,26 +62,49 @@ class ChunkEncoder:
         self.lengths = np.array([1], np.int64)
         self.starts = np.array([0], np.int64)
         self.ids = np.array([self.end_id], np.int32)
+        self.hits = np.zeros(1, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the chunks met most often, half of what may be remembered at most."""
+        index, lengths, starts, ids, hits = self.index, self.lengths, self.starts, self.ids, self.hits
+        kept = np.flatnonzero(hits > 1)
+        if len(kept) > REMEMBERED // 2:
+            kept = np.sort(np.argpartition(-hits, REMEMBERED // 2)[: REMEMBERED // 2])
+        kept = np.concatenate([[0], kept[kept > 0]])
+        place = np.full(len(lengths), -1, np.int64)
+        place[kept] = np.arange(len(kept))
+        self.index = {c: n for c, k in index.items() if (n := int(place[k])) >= 0}
+        self.lengths, self.hits = lengths[kept], hits[kept] // 2
+        ends = np.cumsum(self.lengths)
+        self.starts = ends - self.lengths
+        self.ids = ids[np.arange(int(ends[-1])) + np.repeat(starts[kept] - self.starts, self.lengths)]
 
     def _learn(self, chunks: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)
-        lists = [e.ids for e in found]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(lengths.sum()))
+        """Ids of chunks not met before; a list of pieces is encoded as one, each piece by itself."""
+        for at in range(0, len(chunks), LEARNT_AT_ONCE):
+            self._learn_some(chunks[at : at + LEARNT_AT_ONCE])
+
+    def _learn_some(self, chunks: list[bytes]) -> None:
+        found = self.tokenizer.encode([c.decode() for c in chunks], is_pretokenized=True, add_special_tokens=False)
+        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
+        flat = np.array(found.ids, np.int32)
         self.index.update(zip(chunks, range(len(self.lengths), len(self.lengths) + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, flat])
+        self.hits = np.concatenate([self.hits, np.zeros(len(lengths), np.int64)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with its end id; number of ids of each text)."""
         if len(self.index) > REMEMBERED:
-            self._forget()
+            self._shrink()
         chunks: list[bytes | None] = []
         firsts = np.empty(len(texts), np.int64)
         for n, text in enumerate(texts):
             firsts[n] = len(chunks)
-            chunks += (text if b"<|" in text else text.lower()).split()
+            if b"<|" not in text:
+                text = _STOP.sub(rb" \1", text.lower())
+            chunks += text.split()
             chunks.append(None)
         get = self.index.get
         at = np.fromiter(map(get, chunks, repeat(-1)), np.int64, len(chunks))
@@ -81,6 +112,7 @@ class ChunkEncoder:
         if len(new):
             self._learn(list(dict.fromkeys(chunks[k] for k in new.tolist())))
             at[new] = [get(chunks[k]) for k in new.tolist()]
+        self.hits += np.bincount(at, minlength=len(self.lengths))
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         place = np.arange(int(ends[-1])) + np.repeat(self.starts[at] - (ends - lengths), lengths)
@@ -99,7 +131,7 @@ def encoder_for(definition: str, end_id: int) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
-def _slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes, one row at least."""
     step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, step):
