@@ -11,8 +11,10 @@ from stratacast.llm.chat import chat_digest, format_chats
 from stratacast.llm.decontaminate import contamination
 from stratacast.llm.licenses import default_templates, license_scan
 from stratacast.llm.pii import pii
+from stratacast.llm.quality_model import fit_quality, quality_scores
 from stratacast.llm.quality_rules import quality_rules
 from stratacast.llm.token_files import token_output
+from stratacast.llm.toxicity import fit_toxicity, toxicity_scores
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -43,6 +45,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +61,11 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digest(format_chats(rows))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"), default_templates(spark)).drop("spans")
 
@@ -62,7 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_output": op2_token_output,
     "op3_pii": op3_pii,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_toxicity": op7_toxicity,
     "op9_license_scan": op9_license_scan,
 }
