@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratacast.llm.chat import chat_digest, format_chats
 from stratacast.llm.decontaminate import contamination
 from stratacast.llm.licenses import default_templates, license_scan
+from stratacast.llm.near_duplicates import near_duplicates
 from stratacast.llm.pii import pii
 from stratacast.llm.quality_model import fit_quality, quality_scores
 from stratacast.llm.quality_rules import quality_rules
@@ -66,6 +67,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"), default_templates(spark)).drop("spans")
 
@@ -78,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_toxicity": op7_toxicity,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
 }
