@@ -9,7 +9,9 @@ no pivot reaches is then compared with every member. Every candidate is
 confirmed on the full sets.
 
 A pair at the threshold shares a path of depth d in a tree with probability
-0.8^d, so TREES trees miss one in nodes of depth 2 with probability below 1e-7.
+0.8^d, so TREES trees miss one in nodes of depth 2 with probability below 1e-8
+and at depth 4 below 3e-5; only groups of many near copies go deeper, where
+their members are linked in many ways.
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ from xxhash import xxh3_64_intdigest
 from stratacast.llm.common import broadcast_within
 from stratacast.session import ensure_checkpoint_dir
 
-TREES = 16
-DEPTHS = (2, 4, 8)
-NODE = 16
+TREES = 20
+DEPTHS = (2, 3, 4, 6, 8)
+NODE = 32
 PERCENT = 80
-# A pair at the threshold agrees in 102 of 128 minwise tokens; fewer than 56 has a probability under 1e-15.
-LEAST_AGREEING = 56
+# A pair at the threshold agrees in 128 of 160 minwise tokens on average; under 88 has a probability below 1e-12.
+LEAST_AGREEING = 88
 BROADCAST_ROWS = 500_000
 # Pivots are the members nearest to these numbers in the exclusive-or order; 0 gives the least id.
 PIVOTS = (0, 0x5DEECE66D1B54A33, 0x2545F4914F6CDD1D, 0x61C8864680B583EB)
