@@ -11,6 +11,7 @@ from stratacast.llm.chat import chat_digest, format_chats
 from stratacast.llm.decontaminate import contamination
 from stratacast.llm.licenses import default_templates, license_scan
 from stratacast.llm.near_duplicates import near_duplicates
+from stratacast.llm.pieces import PieceModel, round_trip
 from stratacast.llm.pii import pii
 from stratacast.llm.quality_model import fit_quality, quality_scores
 from stratacast.llm.quality_rules import quality_rules
@@ -24,14 +25,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_definition(file: str) -> str:
+def tokenizer_file(file: str) -> bytes:
     """The content of a tokenizer file; a bare name is looked up among the installed public ones."""
     path = Path(file)
     if not path.is_file():
         import public_tokenizers
 
         path = Path(public_tokenizers.path(file))
-    return path.read_text(encoding="utf-8")
+    return path.read_bytes()
+
+
+def tokenizer_definition(file: str) -> str:
+    return tokenizer_file(file).decode()
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +80,13 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents"), default_templates(spark)).drop("spans")
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str, model_file: str = "piece_bpe_32k.model") -> DataFrame:
+    """Encode, decode again, and report the ids' number and checksum and whether the text came back."""
+    model = PieceModel.read(tokenizer_file(model_file))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return round_trip(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_output": op2_token_output,
@@ -85,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
+    "op10_pieces": op10_pieces,
 }
