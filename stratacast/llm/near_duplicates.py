@@ -42,7 +42,7 @@ _MULTIPLY = _RNG.integers(1, 1 << 63, N_TOKENS, dtype=np.uint64)[:, None] | np.u
 _ADD = _RNG.integers(0, 1 << 63, N_TOKENS, dtype=np.uint64)[:, None]
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _HALF, _ROTATE = np.uint64(32), np.uint64(29)
-FEATURES = "doc_id long, n_shingles long, sig_a long, sig_b long, tokens array<int>"
+FEATURES = "doc_id long, n_shingles long, sig_a long, sig_b long, tokens array<smallint>"
 
 
 def shingle_hashes(text: bytes) -> np.ndarray:
@@ -56,12 +56,15 @@ def shingle_hashes(text: bytes) -> np.ndarray:
 
 
 def minwise_tokens(shingles: np.ndarray) -> np.ndarray:
-    """The least hash of the set under each of N_TOKENS functions."""
+    """The least hash of the set under each of N_TOKENS functions, its last 16 bits.
+
+    Two different tokens look equal once in 65,536 times, which only adds a candidate.
+    """
     least = np.full(N_TOKENS, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(shingles), 4096):
         hashed = (shingles[at : at + 4096] * _MULTIPLY + _ADD) >> _HALF
         np.minimum(least, hashed.min(axis=1).astype(np.uint32), out=least)
-    return least.view(np.int32)
+    return least.astype(np.uint16).view(np.int16)
 
 
 def set_features(docs: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def set_features(docs: DataFrame) -> DataFrame:
                 first.append(xxh3_64_intdigest(raw) - (1 << 63))
                 second.append(xxh3_64_intdigest(raw, seed=1) - (1 << 63))
                 tokens.append(minwise_tokens(s))
-            flat = np.concatenate(tokens) if tokens else np.array([], np.int32)
+            flat = np.concatenate(tokens) if tokens else np.array([], np.int16)
             offsets = np.arange(len(tokens) + 1, dtype=np.int32) * N_TOKENS
             yield pa.RecordBatch.from_arrays(
                 [
@@ -106,19 +109,31 @@ def _sized(rows: DataFrame, node: str) -> DataFrame:
 
 
 def tree_leaves(classes: DataFrame) -> DataFrame:
-    """(leaf, class, n, big): nodes of at most NODE members, or of the greatest depth."""
-    rows = classes.where("n > 0").select("class", "n", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("_tree"))
-    rows = rows.select("class", "n", *[_path(d).alias(f"_node{d}") for d in DEPTHS])
-    leaves = None
-    for depth in DEPTHS:
-        sized = _sized(rows, f"_node{depth}")
-        last = depth == DEPTHS[-1]
-        small = F.lit(True) if last else F.col("_size") <= NODE
-        done = sized.where(small).select(
-            F.col(f"_node{depth}").alias("leaf"), "class", "n", (F.col("_size") > NODE).alias("big")
-        )
-        leaves = done if leaves is None else leaves.unionByName(done)
-        rows = sized.where(F.col("_size") > NODE).drop("_size", f"_node{depth}")
+    """(leaf, class, big): nodes of at most NODE members, or of the greatest depth.
+
+    Most classes are alone in their first node; the rows that go on carry
+    nothing but the class, the tree and the node. Tokens are fetched again
+    for the few that are branched further.
+    """
+    first, *deeper = DEPTHS
+    trees = classes.where("n > 0").select("class", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("_tree"))
+    rows = trees.select("class", F.col("_tree").cast("tinyint").alias("_tree"), _path(first).alias("leaf"))
+    sized = _sized(rows, "leaf").checkpoint()
+    big = F.col("_size") > NODE
+    leaves = sized.where(~big).select("leaf", "class", F.lit(False).alias("big"))
+    rows = (
+        sized.where(big)
+        .select("class", "_tree")
+        .join(classes.select("class", "tokens"), "class")
+        .select("class", *[_path(d).alias(f"_node{d}") for d in deeper])
+        .checkpoint()
+    )
+    for depth in deeper:
+        node, last = f"_node{depth}", depth == deeper[-1]
+        sized = _sized(rows, node)
+        done = sized if last else sized.where(~big)
+        leaves = leaves.unionByName(done.select(F.col(node).alias("leaf"), "class", big.alias("big")))
+        rows = sized.where(big).drop("_size", node)
     return leaves
 
 
@@ -127,7 +142,7 @@ def _sizes_allow(n: str, m: str) -> Column:
 
 
 def pivot_pairs(leaves: DataFrame) -> DataFrame:
-    """(a, b, na, nb): members with the pivots of their leaf; large leaves have several."""
+    """(a, b): members with the pivots of their leaf; large leaves have several."""
     least = [F.min(F.col("class").bitwiseXOR(F.lit(p))).bitwiseXOR(F.lit(p)).alias(f"_p{k}") for k, p in enumerate(PIVOTS)]
     pivots = leaves.groupBy("leaf", "big").agg(*least)
     every = F.array(*[f"_p{k}" for k in range(len(PIVOTS))])
@@ -142,14 +157,15 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
     Sizes and minwise tokens rule out most others first; only then texts move.
     """
-    known = classes.select(F.col("class").alias("_class"), F.col("n").alias("_n"), F.col("tokens").alias("_tokens"))
     for side in ("a", "b"):
-        mine = known.select(F.col("_class").alias(side), F.col("_n").alias(f"n{side}"), F.col("_tokens").alias(f"t{side}"))
-        pairs = pairs.join(mine, side)
+        pairs = pairs.join(classes.select(F.col("class").alias(side), F.col("n").alias(f"n{side}")), side)
+    pairs = pairs.where(_sizes_allow("na", "nb")).select("a", "b")
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("class").alias(side), F.col("tokens").alias(f"t{side}")), side)
     agreeing = F.aggregate(
         F.zip_with("ta", "tb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
     )
-    likely = pairs.where(_sizes_allow("na", "nb") & (agreeing >= LEAST_AGREEING)).select("a", "b").checkpoint()
+    likely = pairs.where(agreeing >= LEAST_AGREEING).select("a", "b").checkpoint()
     ids = likely.select(F.explode(F.array("a", "b")).alias("_class")).distinct()
     texts = docs.join(broadcast_within(ids, BROADCAST_ROWS), F.col("doc_id") == F.col("_class"), "left_semi")
     # An id on several rows: any of its texts has the set of its class, or none of these pairs is confirmed by it.
@@ -213,8 +229,8 @@ def remaining_pairs(leaves: DataFrame, labels: DataFrame) -> DataFrame:
     members; this repeats no comparison inside a group of near copies.
     """
     rows = _labelled(leaves, labels)
-    other = rows.select("leaf", F.col("class").alias("_c"), F.col("n").alias("_n"), F.col("component").alias("_l"))
-    differ = (F.col("component") != F.col("_l")) & _sizes_allow("n", "_n")
+    other = rows.select("leaf", F.col("class").alias("_c"), F.col("component").alias("_l"))
+    differ = F.col("component") != F.col("_l")
     ordered = (F.least("class", "_c").alias("a"), F.greatest("class", "_c").alias("b"))
     small = rows.where("NOT big").join(other, "leaf").where(differ & (F.col("class") < F.col("_c"))).select(*ordered)
     big = rows.where("big")
