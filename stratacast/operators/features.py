@@ -44,24 +44,26 @@ def add_rolling(df: DataFrame, windows: Sequence[int] | None = None, value_col:
 
     before = series_window().rowsBetween(Window.unboundedPreceding, -1)
     value = F.col(value_col).cast("long")
+    square = (value.cast("decimal(19,0)") * value.cast("decimal(19,0)")).cast("decimal(38,0)")
     running = df.withColumns(
         {
             "_n": F.count(value).over(before),
             "_s": F.coalesce(F.sum(value).over(before), F.lit(0)),
-            "_q": F.coalesce(F.sum(value * value).over(before), F.lit(0)),
+            # Squares of long histories leave the range of a long; decimals stay exact.
+            "_q": F.coalesce(F.sum(square).over(before), F.lit(0).cast("decimal(38,0)")),
         }
     )
     w = series_window()
     tails = {
-        f"{c}_{k}": F.col(c) - F.coalesce(F.lag(c, k).over(w), F.lit(0))
+        f"{c}_{k}": F.col(c) - F.coalesce(F.lag(c, k).over(w), F.lit(0).cast(running.schema[c].dataType))
         for k in windows
         for c in ("_n", "_s", "_q")
     }
     stats = {}
     for k in windows:
-        n, s, q = (F.col(f"{c}_{k}") for c in ("_n", "_s", "_q"))
+        n, s, q = (F.col(f"{c}_{k}").cast("double") for c in ("_n", "_s", "_q"))
         stats[f"{value_col}_rmean_{k}"] = F.when(n > 0, s / n)
-        stats[f"{value_col}_rstd_{k}"] = F.when(n > 1, F.sqrt((n * q - s * s) / (n * (n - 1))))
+        stats[f"{value_col}_rstd_{k}"] = F.when(n > 1, F.sqrt(F.greatest(n * q - s * s, F.lit(0.0)) / (n * (n - 1))))
     return running.withColumns(tails).withColumns(stats).drop("_n", "_s", "_q", *tails)
 
 

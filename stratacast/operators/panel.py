@@ -84,6 +84,7 @@ def densify(
     # a fixed number of partitions keeps AQE from merging them.
     sales = sales.repartition(shuffle_partitions(sales.sparkSession), *series)
     others = [c for c in sales.columns if c not in (day_col, value_col)]
+    kind = sales.schema[value_col].dataType
     runs = sales.select(
         *others,
         F.col(day_col).alias("_at"),
@@ -94,16 +95,19 @@ def densify(
     return runs.withColumn(day_col, F.explode(F.sequence("_from", "_to"))).select(
         *others,
         day_col,
-        F.when(F.col(day_col) == F.col("_at"), F.col("_value")).otherwise(0).cast("int").alias(value_col),
+        F.when(F.col(day_col) == F.col("_at"), F.col("_value")).otherwise(F.lit(0).cast(kind)).alias(value_col),
     )
 
 
 def count_gaps(panel: DataFrame, lo: int, hi: int, series: Sequence[str] = SERIES_COLS) -> DataFrame:
-    """Series that lack days of lo..hi, with the number of missing days."""
-    inside = panel.where(F.col("day_num").between(lo, hi))
+    """Series that lack days of lo..hi, with the number of missing days.
+
+    A series with no row in the window at all lacks every day of it.
+    """
+    inside = F.when(F.col("day_num").between(lo, hi), F.col("day_num"))
     return (
-        inside.groupBy(*series)
-        .agg((F.lit(hi - lo + 1) - F.count_distinct("day_num")).alias("missing_days"))
+        panel.groupBy(*series)
+        .agg((F.lit(hi - lo + 1) - F.count_distinct(inside)).alias("missing_days"))
         .where("missing_days > 0")
     )
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.constants import SERIES_COLS
 from stratacast.functions.columns import lookup
-from stratacast.session import BROADCAST_ROWS, ensure_checkpoint_dir
+from stratacast.session import all_cluster_keys, ensure_checkpoint_dir
 from stratacast.split import Split
 
 # The reduced hierarchy, upper levels first, store x department last.
@@ -23,11 +21,10 @@ REDUCED_LEVELS = {
     "store_dept": ("store_id", "dept_id"),
 }
 UPPER = {name: cols for name, cols in REDUCED_LEVELS.items() if name != "store_dept"}
+# Days of a horizon that a broadcast of one row per day may have.
+BROADCAST_DAYS = 100_000
 BOTTOM = ["state_id", "store_id", "dept_id"]
 
-# The direct solver inverts one matrix with a row per upper node on the driver.
-DIRECT_UPPER_NODES = 512
-
 
 def bottom_up(val: DataFrame, pred_col: str = "pred") -> DataFrame:
     """Keep the bottom forecasts; upper levels follow by summation."""
@@ -47,7 +44,7 @@ def national_forecast(val: DataFrame, pred_col: str = "pred", day_col: str = "da
 
 def _per_day(df: DataFrame, split: Split) -> DataFrame:
     """Broadcast a frame keyed by validation day when the horizon bounds it."""
-    return F.broadcast(df) if split.horizon <= BROADCAST_ROWS else df
+    return F.broadcast(df) if split.horizon <= BROADCAST_DAYS else df
 
 
 def top_down(
@@ -110,7 +107,6 @@ def project_ols(
     base: DataFrame,
     nodes: DataFrame,
     split: Split,
-    solver: str = "auto",
     day_col: str = "day_num",
     tolerance: float = 1e-10,
     max_iterations: int = 200,
@@ -120,18 +116,11 @@ def project_ols(
     ``base`` holds one forecast per node of the reduced hierarchy and day
     (missing ones count 0), ``nodes`` the store x department nodes. With U the
     upper rows of the summing matrix the solution x of (I + U'U) x = S' yhat is
-    found either directly, x = b - U'(I + UU')^-1 U b, where the inverted
-    matrix has one row per upper node and is the same for every day, or, when
-    there are too many upper nodes for the driver, by conjugate gradients whose
-    every step is an aggregate and a join.
+    found by conjugate gradients: every step is an aggregate and a join per
+    upper level, whatever the number of nodes. The matrix has few distinct
+    eigenvalues, so a handful of steps is enough.
     """
-    rhs = _right_hand_side(base, nodes, split, day_col)
-    overlaps = None if solver == "cg" else _overlap_counts(nodes, DIRECT_UPPER_NODES)
-    if overlaps is not None:
-        return _solve_direct(rhs, overlaps, day_col)
-    if solver == "direct":
-        raise ValueError(f"more than {DIRECT_UPPER_NODES} upper nodes; use solver='cg'")
-    return _solve_cg(rhs, split, day_col, tolerance, max_iterations)
+    return _solve_cg(_right_hand_side(base, nodes, split, day_col), split, day_col, tolerance, max_iterations)
 
 
 def _node_rows(levels: Sequence[str]) -> Column:
@@ -162,83 +151,33 @@ def _right_hand_side(base: DataFrame, nodes: DataFrame, split: Split, day_col: s
     return joined.groupBy(*BOTTOM, day_col).agg(F.coalesce(F.sum("yhat"), F.lit(0.0)).alias("b"))
 
 
-def _overlap_counts(nodes: DataFrame, max_upper: int) -> pd.DataFrame | None:
-    """UU': how many nodes each two upper nodes share; None if too many.
-
-    Each node contributes its own 4 x 4 ancestor pairs, a fixed number, and the
-    driver reads no more rows than ``max_upper`` upper nodes can have.
-    """
-    one = nodes.select("store_id", "dept_id", *BOTTOM[:1])
-    mine = one.select("*", _node_rows(list(UPPER))).withColumnsRenamed({"node_level": "la", "node": "a"})
-    pairs = mine.select("la", "a", _node_rows(list(UPPER))).withColumnsRenamed({"node_level": "lb", "node": "b"})
-    counts = pairs.groupBy("la", "a", "lb", "b").count().limit(max_upper**2 + 1).toPandas()
-    for c in ("a", "b"):
-        counts[c] = counts[c].map(tuple)
-    n_upper = len(set(zip(counts["la"], counts["a"])))
-    return counts if len(counts) <= max_upper**2 and n_upper <= max_upper else None
-
-
-def _invert_overlaps(spark: SparkSession, counts: pd.DataFrame) -> DataFrame:
-    """(I + UU')^-1 as rows (to_node, node, weight)."""
-    keys = sorted(set(zip(counts["la"], counts["a"])))
-    at = {k: i for i, k in enumerate(keys)}
-    m = np.eye(len(keys))
-    rows = [at[k] for k in zip(counts["la"], counts["a"])]
-    cols = [at[k] for k in zip(counts["lb"], counts["b"])]
-    m[rows, cols] += counts["count"].to_numpy()
-    inverse = np.linalg.inv(m)
-    i, j = np.indices(inverse.shape).reshape(2, -1)
-    frame = pd.DataFrame(
-        {
-            "to_level": [keys[k][0] for k in i],
-            "to_node": [list(keys[k][1]) for k in i],
-            "node_level": [keys[k][0] for k in j],
-            "node": [list(keys[k][1]) for k in j],
-            "w": inverse.ravel(),
-        }
-    )
-    schema = "to_level string, to_node array<string>, node_level string, node array<string>, w double"
-    return spark.createDataFrame(frame, schema)
-
-
-def _solve_direct(rhs: DataFrame, overlaps: pd.DataFrame, day_col: str) -> DataFrame:
-    members = rhs.select("store_id", "dept_id", day_col, "b", _node_rows(list(UPPER)))
-    sums = members.groupBy("node_level", "node", day_col).agg(F.sum("b").alias("ub"))
-    # At most DIRECT_UPPER_NODES squared rows, checked when they were counted.
-    inverse = F.broadcast(_invert_overlaps(rhs.sparkSession, overlaps))
-    correction = (
-        sums.join(inverse, ["node_level", "node"])
-        .groupBy("to_level", "to_node", day_col)
-        .agg(F.sum(F.col("w") * F.col("ub")).alias("c"))
-        .withColumnsRenamed({"to_level": "node_level", "to_node": "node"})
-    )
-    down = (
-        members.drop("b")
-        .join(correction, ["node_level", "node", day_col])
-        .groupBy("store_id", "dept_id", day_col)
-        .agg(F.sum("c").alias("c"))
-    )
-    solved = rhs.join(down, ["store_id", "dept_id", day_col])
-    return solved.select(*BOTTOM, day_col, (F.col("b") - F.col("c")).alias("x"))
-
-
 def _apply_normal_matrix(df: DataFrame, vector: str, day_col: str) -> DataFrame:
     """(I + U'U) v: v plus its sums over total, state, store and department.
 
-    The sums are aggregates joined back, not windows, so a day's nodes are
-    combined before the shuffle and never gathered in one task.
+    All four sums are taken from the incoming rows and joined back, so a step
+    reads them five times however many levels there are.
     """
-    out = F.col(vector)
+    out, rows = F.col(vector), df
     for name, cols in UPPER.items():
-        sums = df.groupBy(*cols, day_col).agg(F.sum(vector).alias(f"_s_{name}"))
+        sums = rows.groupBy(*cols, day_col).agg(F.sum(vector).alias(f"_s_{name}"))
         df = df.join(sums, [*cols, day_col])
         out = out + F.col(f"_s_{name}")
     return df.withColumn("_mv", out).drop(*[f"_s_{name}" for name in UPPER])
 
 
 def _solve_cg(rhs: DataFrame, split: Split, day_col: str, tolerance: float, max_iterations: int) -> DataFrame:
-    """One independent conjugate-gradient run per day, all days side by side."""
-    ensure_checkpoint_dir(rhs.sparkSession)
+    """One independent conjugate-gradient run per day, all days side by side.
+
+    Joins on (node, day) must be dealt out by both: with ``tune``'s looser rule
+    the planner may use the day alone, of which there are only a few.
+    """
+    spark = rhs.sparkSession
+    ensure_checkpoint_dir(spark)
+    with all_cluster_keys(spark):
+        return _cg_steps(rhs, split, day_col, tolerance, max_iterations)
+
+
+def _cg_steps(rhs: DataFrame, split: Split, day_col: str, tolerance: float, max_iterations: int) -> DataFrame:
     r = F.col("r")
 
     def day_sums(df: DataFrame, **exprs) -> DataFrame:
@@ -269,7 +208,6 @@ def mintrace_ols(
     pred_col: str = "pred",
     actual_col: str = "sales",
     base: DataFrame | None = None,
-    solver: str = "auto",
     day_col: str = "day_num",
 ) -> DataFrame:
     """Reconcile at store x department, then split to items by their usual share.
@@ -278,7 +216,7 @@ def mintrace_ols(
     bottom forecasts are summed. Negative results are kept.
     """
     base = base_forecasts(val, pred_col, day_col) if base is None else base
-    reconciled = project_ols(base, bottom_nodes(val), split, solver, day_col)
+    reconciled = project_ols(base, bottom_nodes(val), split, day_col)
     reconciled = reconciled.select("store_id", "dept_id", day_col, F.col("x").alias("_dept_pred"))
     shares = within_dept_proportions(train, actual_col).select("store_id", "dept_id", "item_id", "within_prop")
     joined = val.join(shares, ["store_id", "dept_id", "item_id"], "left").join(

@@ -287,9 +287,10 @@ _BODIES = {
     "panel_long": "SELECT store_id, item_id, day_num, sales, wm_yr_wk, wday, event_name_1, sell_price FROM panel",
     "unpivot_wide": "SELECT item_id || '_' || store_id AS id, 'd_' || day_num AS d, day_num, sales FROM dense",
     "panel_gaps": """
-        SELECT store_id, item_id, (SELECT last_day - lo + 1 FROM bounds) - count(*) AS missing_days
-        FROM daily, bounds WHERE day_num >= lo GROUP BY store_id, item_id
-        HAVING (SELECT last_day - lo + 1 FROM bounds) > count(*)""",
+        SELECT store_id, item_id,
+               (SELECT last_day - lo + 1 FROM bounds) - count(*) FILTER (day_num >= lo) AS missing_days
+        FROM daily, bounds GROUP BY store_id, item_id
+        HAVING (SELECT last_day - lo + 1 FROM bounds) > count(*) FILTER (day_num >= lo)""",
     "price_join_coverage": "SELECT count(*) AS n_rows, count(*) - count(sell_price) AS price_nulls FROM panel",
     "lag_features": f"""
         SELECT * FROM (SELECT store_id, item_id, day_num, {_LAG_COLS} FROM dense) WHERE sales_lag_{BURN_IN} IS NOT NULL""",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratacast.constants import HIERARCHY_COLS, LAGS, RUN_NAMES
 from stratacast.operators.features import add_rolling, build_features, with_day_number
+from stratacast.operators.hierarchy import check_dependencies
 from stratacast.operators.metrics import coherence_error, combine, score_series, wrmsse_levels
 from stratacast.operators.panel import attach_prices, build_panel, densify, fill_price, slice_window, wide_to_long
 from stratacast.operators.reconcile import reconcile_all
@@ -58,16 +59,17 @@ def run_study(
     ``predict`` takes the training and validation rows and returns validation
     rows with ``pred``. Returns the level scores of the four methods.
     """
-    spark = features.sparkSession
+    spark, run_id = features.sparkSession, runlog.new_run()
     features = fill_price(with_day_number(features))
+    check_dependencies(features)
     train = split.train(features)
     val = reconcile_all(train, stored(predict(train, split.validation(features)), "predicted"), split)
     val = stored(val, "reconciled")
     levels, coherence = score_methods(train, val, split, METHODS)
     levels = stored(levels, "scores")
-    runlog.append(runlog.metric_rows(levels, coherence), log_path)
-    if params:
-        runlog.append(runlog.param_rows(spark, RUN_NAMES["pred"], params), log_path)
+    runlog.append(runlog.metric_rows(levels, coherence), log_path, run_id)
+    counts = {"n_train_rows": train.count(), "n_validation_rows": val.count()}
+    runlog.append(runlog.param_rows(spark, RUN_NAMES["pred"], counts | dict(params or {})), log_path, run_id)
     return levels
 
 

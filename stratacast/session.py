@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,16 +32,31 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def all_cluster_keys(spark: SparkSession) -> Iterator[None]:
+    """Spark's own rule for joins, whatever ``tune`` has set: rows are dealt out by all their keys."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _shared_root(spark: SparkSession) -> str:
-    """The folder all executors see, or a private one when none is configured."""
+    """The folder all executors see; without one, a private folder in local mode and an error elsewhere."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
     if root is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratacast-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

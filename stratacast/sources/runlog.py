@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from stratacast.constants import METHOD_NAMES, RUN_NAMES
 from stratacast.functions.columns import lookup
 
-SCHEMA = "run_name string, kind string, key string, value string"
+SCHEMA = "run_id string, logged_at timestamp, run_name string, kind string, key string, value string"
+ROW = "run_name string, kind string, key string, value string"
 
 
 def metric_rows(levels: DataFrame, coherence: DataFrame | None = None) -> DataFrame:
@@ -27,19 +29,33 @@ def metric_rows(levels: DataFrame, coherence: DataFrame | None = None) -> DataFr
 
 
 def param_rows(spark: SparkSession, run_name: str, params: Mapping[str, object], kind: str = "param") -> DataFrame:
-    return spark.createDataFrame([(run_name, kind, k, str(v)) for k, v in params.items()], SCHEMA)
+    return spark.createDataFrame([(run_name, kind, k, str(v)) for k, v in params.items()], ROW)
 
 
-def append(rows: DataFrame, path: str) -> None:
-    rows.select("run_name", "kind", "key", "value").write.mode("append").parquet(path)
+def new_run() -> str:
+    return uuid.uuid4().hex
+
+
+def append(rows: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add rows under a run id and the time of writing; rows of one run may be added in several steps."""
+    stamped = rows.select(
+        F.lit(run_id or new_run()).alias("run_id"), F.current_timestamp().alias("logged_at"), "run_name", "kind", "key", "value"
+    )
+    stamped.write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def latest(log: DataFrame) -> DataFrame:
+    """The last value of each key of each run name; equal times are settled by the run id."""
+    return log.groupBy("run_name", "kind", "key").agg(F.max_by("value", F.struct("logged_at", "run_id")).alias("value"))
+
+
 def scores(log: DataFrame) -> DataFrame:
-    """Level and summary metrics of the log, by display name of the method."""
+    """Level and summary metrics of the latest run of each name, by display name of the method."""
+    log = latest(log)
     names = {RUN_NAMES[m]: METHOD_NAMES[m] for m in RUN_NAMES}
     method = F.coalesce(lookup("run_name", names), "run_name")
     return log.where("kind = 'metric'").select(method.alias("method"), "key", F.col("value").cast("double").alias("value"))

@@ -56,7 +56,8 @@ def _read_csv(spark: SparkSession, path: str, known: T.StructType, other: T.Data
     missing = [f.name for f in known if f.name not in header]
     if missing:
         raise ValueError(f"{path} lacks columns {missing}")
-    return spark.read.schema(schema).csv(path, header=True)
+    # A cell that is not of its type stops the load instead of becoming NULL.
+    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
 
 
 def load_calendar(spark: SparkSession, path: str) -> DataFrame:

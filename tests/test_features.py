@@ -85,3 +85,8 @@ def test_clip_and_half_even(spark):
     df = spark.createDataFrame([(-1.0,), (0.125,), (0.375,), (2.5,)], "p double")
     out = [r[0] for r in df.select(round_cents(clip_at_zero(F.col("p")))).collect()]
     assert out == [0.0, 0.12, 0.38, 2.5]
+
+
+def test_rolling_of_large_values(spark):
+    out = ft.add_rolling(series_frame(spark, [2_000_000_000] * 6), [3])
+    assert values(out, "sales_rmean_3", "sales_rstd_3")[-1] == (2e9, 0.0)

@@ -40,6 +40,16 @@ def test_densify_fills_each_day_once(spark, days):
     assert pa.densify(sales, 1, 6).count() == 6
 
 
+def test_densify_keeps_the_type(spark):
+    sales = spark.createDataFrame([("S", "I", 2, 1.75)], "store_id string, item_id string, day_num int, sales double")
+    assert values(pa.densify(sales, 1, 3), "sales") == [0.0, 1.75, 0.0]
+
+
+def test_series_silent_in_the_window_is_a_gap(spark):
+    df = series_frame(spark, [1])
+    assert pa.count_gaps(df, 5, 9).first()["missing_days"] == 5
+
+
 def test_gap_check(spark):
     df = series_frame(spark, [1, 2, 3]).where("day_num <> 2")
     assert pa.count_gaps(df, 1, 3).first()["missing_days"] == 1

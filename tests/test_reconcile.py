@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stratacast.operators import metrics as me
 from stratacast.operators import reconcile as rc
+from stratacast.session import all_cluster_keys
 from stratacast.split import Split
 from tests.helpers import random_panel, series_frame
 
@@ -46,8 +49,7 @@ def dense_projection(base, nodes):
     return out
 
 
-@pytest.mark.parametrize("solver", ["direct", "cg"])
-def test_projection_matches_dense_solution(spark, parts, solver):
+def test_projection_matches_dense_solution(spark, parts):
     _, val = parts
     # An incomplete grid, a missing base cell, and levels that disagree.
     val = val.where("NOT (store_id = 'S3' AND dept_id = 'D1')")
@@ -56,7 +58,7 @@ def test_projection_matches_dense_solution(spark, parts, solver):
     base = base.where("NOT (node_level = 'store' AND store_id = 'S1' AND day_num = 33)")
     nodes = rc.bottom_nodes(val)
     want = dense_projection(base, nodes)
-    got = {(r["store_id"], r["dept_id"], r["day_num"]): r["x"] for r in rc.project_ols(base, nodes, SPLIT, solver).collect()}
+    got = {(r["store_id"], r["dept_id"], r["day_num"]): r["x"] for r in rc.project_ols(base, nodes, SPLIT).collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], abs=1e-7) for k in want)
 
@@ -69,13 +71,19 @@ def test_projection_keeps_coherent_forecasts(spark, parts):
     assert all(r["x"] == pytest.approx(own[r["store_id"], r["dept_id"], r["day_num"]]) for r in got)
 
 
-def test_too_many_upper_nodes_for_the_direct_solver(spark, parts, monkeypatch):
+def test_normal_matrix_is_four_joins_none_by_day_alone(spark, parts):
     _, val = parts
-    monkeypatch.setattr(rc, "DIRECT_UPPER_NODES", 3)
-    base, nodes = rc.base_forecasts(val), rc.bottom_nodes(val)
-    with pytest.raises(ValueError):
-        rc.project_ols(base, nodes, SPLIT, "direct")
-    assert rc.project_ols(base, nodes, SPLIT).count() == 8 * 10
+    rhs = val.groupBy("state_id", "store_id", "dept_id", "day_num").agg(F.sum("pred").alias("p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with all_cluster_keys(spark):
+            plan = rc._apply_normal_matrix(rhs, "p", "day_num")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 4
+    alone = re.findall(r"hashpartitioning\(day_num#\d+, ", plan)
+    # Only the join with the total has no other key: its sums, and the rows that meet them.
+    assert len(alone) <= 3
 
 
 def test_top_down_keeps_totals(spark, parts):

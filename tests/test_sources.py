@@ -48,7 +48,23 @@ def test_csv_tables_through_all_phases(spark, retail, tmp_path):
     assert levels.count() == 48
     stored = runlog.read(spark, log)
     assert stored.where("kind = 'metric'").count() == 4 * 14
-    assert stored.where("kind = 'param'").first()["value"] == "1"
+    params = {r["key"]: r["value"] for r in stored.where("kind = 'param'").collect()}
+    assert params["alpha"] == "1" and int(params["n_validation_rows"]) == n_series * 7
+    assert stored.select("run_id").distinct().count() == 1
+
+
+def test_report_shows_the_later_of_two_runs(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for value in ("0.9", "0.5"):
+        rows = spark.createDataFrame([("some_run", "metric", "wrmsse_overall", value)], runlog.ROW)
+        runlog.append(rows, log)
+    assert [r["value"] for r in runlog.scores(runlog.read(spark, log)).collect()] == [0.5]
+
+
+def test_bad_csv_cell_raises(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("store_id,item_id,wm_yr_wk,sell_price\nS,I,1,abc\n")
+    with pytest.raises(Exception, match="abc|MALFORMED"):
+        tables.load_sell_prices(spark, str(tmp_path / "p.csv")).collect()
 
 
 def test_missing_csv_column_raises(spark, tmp_path):
