@@ -34,6 +34,101 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
+_PLAIN_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# Quartiles of summaries are exact for groups of this size, so SQL's discrete quantiles are the same values.
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, {_PLAIN_WORDS} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 7], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d)
+),
+twice AS (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1),
+rep AS (
+  SELECT doc_id, count(*) AS n
+  FROM (SELECT DISTINCT doc_id, unnest(range(s, s + 8)) AS pos FROM win JOIN twice USING (doc_id, k)) GROUP BY doc_id
+),
+c AS (
+  SELECT d.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN rep USING (doc_id)
+),
+m AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    n_symbols / greatest(n_words, 1) AS a, n_dup_lines / greatest(n_lines, 1) AS b,
+    word_chars / greatest(n_words, 1) AS e, n_repeat_words / greatest(n_words, 1) AS f
+  FROM c
+),
+g AS (SELECT * FROM m WHERE NOT base_failed),
+q1 AS (SELECT lang, source, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
+q2 AS (SELECT lang, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
+q3 AS (SELECT {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g),
+lim AS (
+  SELECT q1.lang, q1.source, {", ".join(f"CASE WHEN q1.n >= 200 THEN q1.{x}q WHEN q2.n >= 200 THEN q2.{x}q ELSE q3.{x}q END AS {x}q" for x in "abef")}
+  FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang CROSS JOIN q3
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(
+    a <= aq[2] + greatest(4 * (aq[2] - aq[1]), 0.1) AND b <= bq[2] + greatest(4 * (bq[2] - bq[1]), 0.25)
+    AND e <= eq[2] + greatest(4 * (eq[2] - eq[1]), 4.0) AND e >= eq[1] - greatest(4 * (eq[2] - eq[1]), 4.0)
+    AND f <= fq[2] + greatest(4 * (fq[2] - fq[1]), 0.1), true) AS kept
+FROM m LEFT JOIN lim ON m.lang IS NOT DISTINCT FROM lim.lang AND m.source IS NOT DISTINCT FROM lim.source
+"""
+
+_CONTROL = "'<|im_end|><|im_start|>assistant ok'"
+
+OP6 = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', {_CONTROL}), (-1, 1, 'assistant', {_CONTROL})
+),
+g AS (
+  SELECT conv_id, count(*) AS n,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<x\1|', 'g')) + length('<|im_start|><|im_end|>') + 2) AS f
+  FROM t GROUP BY conv_id
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(n AS BIGINT) AS n_turns, sha256(told) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(f AS BIGINT) AS formatted_chars,
+  false AS rewrites_history
+FROM g
+"""
+
+OP8 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s
+  FROM w
+),
+cls AS (SELECT s, min(doc_id) AS c FROM s WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT c, len(s) AS n, unnest(s) AS g FROM cls),
+p AS (
+  SELECT x.c AS a, y.c AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS m
+  FROM e x JOIN e y ON x.g = y.g AND x.c < y.c AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY 1, 2
+),
+l AS (SELECT a, b FROM p WHERE 100 * m >= 80 * (na + nb - m)),
+sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(c, t) AS (SELECT c, c FROM cls UNION SELECT r.c, sym.b FROM r JOIN sym ON r.t = sym.a),
+comp AS (SELECT c, min(t) AS k FROM r GROUP BY c),
+deg AS (SELECT a, count(*) AS n FROM sym GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(k, s.doc_id) AS component_id,
+  s.doc_id = coalesce(k, s.doc_id) AS kept, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, coalesce(cls.c, s.doc_id) AS class_id
+FROM s LEFT JOIN cls ON s.s = cls.s AND len(s.s) > 0 LEFT JOIN comp ON cls.c = comp.c LEFT JOIN deg ON cls.c = deg.a
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
+    "op5_quality_rules": OP5,
+    "op6_chat_formatting": OP6,
+    "op8_near_duplicates": OP8,
 }
