@@ -35,8 +35,9 @@ def score_series(
     ``panel`` holds the training and validation days together, with the
     prediction columns filled on validation days. The training statistics and
     every prediction column come out of one aggregate and one window. A
-    (series, day) cell without a row counts as 0, so a sparse and a zero-filled
-    panel give the same scores.
+    (series, day) cell without a row counts as 0. With ``weights='level'`` the
+    panel must be dense: a row that is left out takes its price out of the
+    level's summed price, and with it the weight of the level's series.
 
     ``weights='level'`` multiplies the level's summed price by its summed
     sales; ``weights='revenue'`` sums price times sales of the bottom series.

@@ -451,6 +451,9 @@ _BODIES = {
     "clip_round": """
         SELECT store_id, item_id, day_num, greatest(sales / 8 - 0.25, 0) AS clipped, round_even(greatest(sales / 8 - 0.25, 0), 2) AS rounded
         FROM val""",
+    "stored_predictions": "SELECT store_id, item_id, day_num, greatest(sales / 8 - 0.25, 0) AS pred FROM val",
+    "predictions_fallback": "SELECT store_id, item_id, day_num, CAST(sales AS DOUBLE) AS pred FROM val",
+    "stored_panel": "SELECT store_id, count(*) AS n_rows, sum(sales) AS sales, count(sell_price) AS n_prices FROM panel GROUP BY store_id",
     "series_last": f"""
         SELECT store_id, item_id, max(day_num) AS day_num, arg_max(sales, day_num) AS sales, round6(arg_max(sell_price, day_num)) AS sell_price,
                arg_max(sales_lag_28, day_num) AS sales_lag_28, {_r('arg_max(sales_rmean_60, day_num)', 'sales_rmean_60')},

@@ -548,6 +548,33 @@ def clip_round(r: Retail) -> DataFrame:
     return val.select(*SERIES_COLS, "day_num", clip_at_zero(raw).alias("clipped"), round_cents(clip_at_zero(raw)).alias("rounded"))
 
 
+@query
+def stored_predictions(r: Retail) -> DataFrame:
+    """Forecasts written by key and joined back; negatives count 0."""
+    val, _ = _validation(r)
+    path = scratch_path(r.spark, "predictions")
+    tables.write_predictions(val.withColumn("pred", F.col("sales") / 8 - 0.25), path)
+    return tables.attach_predictions(val.drop("pred"), path).select(*SERIES_COLS, "day_num", "pred")
+
+
+@query
+def predictions_fallback(r: Retail) -> DataFrame:
+    """Without stored forecasts the actual sales stand in."""
+    val, _ = _validation(r)
+    missing = scratch_path(r.spark, "absent")
+    return tables.attach_predictions(val.drop("pred"), missing).select(*SERIES_COLS, "day_num", "pred")
+
+
+@query
+def stored_panel(r: Retail) -> DataFrame:
+    """The panel written by store and read back."""
+    path = scratch_path(r.spark, "panel")
+    tables.write_panel(pl.retail_panel(r), path)
+    return tables.read_parquet(r.spark, path).groupBy("store_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("sales").alias("sales"), F.count("sell_price").alias("n_prices")
+    )
+
+
 @query
 def series_last(r: Retail) -> DataFrame:
     features = pl.retail_features(r).select(
