@@ -2,11 +2,10 @@
 
 Documents are sets of word 2-shingles; equal sets are one class. Independent
 trees branch the classes by minwise tokens: classes in one node chose the same
-tokens on the whole path to it. Large nodes are branched further, small ones
-are compared exhaustively. A large node at the greatest depth, which holds
-near copies of each other, first compares all members with a few pivots; what
-no pivot reaches is then compared with every member. Every candidate is
-confirmed on the full sets.
+tokens on the whole path to it. Large nodes are branched further. In a leaf all
+members are compared with its least one first, in large leaves also with a few
+pivots; pairs that these links leave in different components are then compared
+exhaustively. Every candidate is confirmed on the full sets.
 
 A pair at the threshold shares a path of depth d in a tree with probability
 0.8^d, so TREES trees miss one in nodes of depth 2 with probability below 1e-8
@@ -34,8 +33,8 @@ PERCENT = 80
 # A pair at the threshold agrees in 128 of 160 minwise tokens on average; under 88 has a probability below 1e-12.
 LEAST_AGREEING = 88
 BROADCAST_ROWS = 500_000
-# Pivots are the members nearest to these numbers in the exclusive-or order; 0 gives the least id.
-PIVOTS = (0, 0x5DEECE66D1B54A33, 0x2545F4914F6CDD1D, 0x61C8864680B583EB)
+# Further pivots are the members nearest to these numbers in the exclusive-or order.
+PIVOTS = (0x5DEECE66D1B54A33, 0x2545F4914F6CDD1D, 0x61C8864680B583EB)
 N_TOKENS = TREES * DEPTHS[-1]
 _RNG = np.random.default_rng(17)
 _MULTIPLY = _RNG.integers(1, 1 << 63, N_TOKENS, dtype=np.uint64)[:, None] | np.uint64(1)
@@ -130,7 +129,7 @@ def tree_leaves(classes: DataFrame) -> DataFrame:
     )
     for depth in deeper:
         node, last = f"_node{depth}", depth == deeper[-1]
-        sized = _sized(rows, node)
+        sized = _sized(rows, node).checkpoint()
         done = sized if last else sized.where(~big)
         leaves = leaves.unionByName(done.select(F.col(node).alias("leaf"), "class", big.alias("big")))
         rows = sized.where(big).drop("_size", node)
@@ -142,16 +141,24 @@ def _sizes_allow(n: str, m: str) -> Column:
 
 
 def pivot_pairs(leaves: DataFrame) -> DataFrame:
-    """(a, b): members with the pivots of their leaf; large leaves have several."""
-    least = [F.min(F.col("class").bitwiseXOR(F.lit(p))).bitwiseXOR(F.lit(p)).alias(f"_p{k}") for k, p in enumerate(PIVOTS)]
-    pivots = leaves.groupBy("leaf", "big").agg(*least)
-    every = F.array(*[f"_p{k}" for k in range(len(PIVOTS))])
-    pivots = pivots.select("leaf", F.explode(F.array_distinct(F.when(F.col("big"), every).otherwise(F.array("_p0")))).alias("_pivot"))
+    """(a, b): every member with the least member of its leaf."""
+    pivots = leaves.groupBy("leaf").agg(F.min("class").alias("_pivot"))
     return leaves.join(pivots, "leaf").where("class != _pivot").select(
         F.least("class", "_pivot").alias("a"), F.greatest("class", "_pivot").alias("b")
     ).distinct()
 
 
+def further_pivot_pairs(leaves: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): members of large leaves with further pivots that are in another component so far."""
+    least = [F.min(F.col("class").bitwiseXOR(F.lit(p))).bitwiseXOR(F.lit(p)) for p in PIVOTS]
+    rows = leaves.where("big")
+    pivots = rows.groupBy("leaf").agg(F.array_distinct(F.array(*least)).alias("_p"))
+    pivots = _labelled(pivots.select("leaf", F.explode("_p").alias("class")), labels)
+    pivots = pivots.select("leaf", F.col("class").alias("_pivot"), F.col("component").alias("_l"))
+    apart = _labelled(rows, labels).join(pivots, "leaf").where("component != _l")
+    return apart.select(F.least("class", "_pivot").alias("a"), F.greatest("class", "_pivot").alias("b")).distinct()
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
@@ -242,14 +249,13 @@ def remaining_pairs(leaves: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links and class_id for every document.
+    """doc_id, n_shingles, component_id, kept and class_id for every document.
 
     ``docs`` has doc_id and text; other columns are ignored. Texts without
     words have empty sets and are linked with nothing. Rows without an id are
     left out. Rows that repeat an id are one document: equal texts as one, of
-    different texts the largest size and the least component. ``n_links``
-    counts confirmed links to other classes, ``class_id`` names the least
-    document with an equal set. An empty table gives no rows.
+    different texts the largest size and the least component. ``class_id``
+    names the least document with an equal set. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
@@ -266,26 +272,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leaves = tree_leaves(classes).checkpoint()
     links = _confirm(pivot_pairs(leaves), classes, docs).checkpoint()
     labels = components(links)
-    rest = _confirm(remaining_pairs(leaves, labels), classes, docs).checkpoint()
-    if rest.limit(1).count():
-        links = links.unionByName(rest).distinct()
-        labels = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-
+    # What is in one component already is not compared again, so groups of near copies cost a few pairs a member.
+    for candidates in (further_pivot_pairs, remaining_pairs):
+        more = _confirm(candidates(leaves, labels), classes, docs).checkpoint()
+        if more.limit(1).count():
+            links = links.unionByName(more).distinct()
+            labels = components(links)
     members = features.select("doc_id", "n_shingles", "sig_a", "sig_b").join(keys, ["sig_a", "sig_b"])
     # Texts without words share the empty signature and stay by themselves.
     members = members.withColumn("class", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("class")))
-    found = labels.join(degree, "id", "left").withColumnRenamed("id", "class")
     return (
-        members.join(found, "class", "left")
+        members.join(labels.withColumnRenamed("id", "class"), "class", "left")
         .groupBy("doc_id")
         .agg(
             F.max("n_shingles").alias("n_shingles"),
             F.min(F.coalesce("component", "class")).alias("component_id"),
-            F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"),
             F.min("class").alias("class_id"),
         )
-        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "n_links", "class_id")
+        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "class_id")
     )
 
 

@@ -119,11 +119,10 @@ p AS (
 l AS (SELECT a, b FROM p WHERE 100 * m >= 80 * (na + nb - m)),
 sym AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r(c, t) AS (SELECT c, c FROM cls UNION SELECT r.c, sym.b FROM r JOIN sym ON r.t = sym.a),
-comp AS (SELECT c, min(t) AS k FROM r GROUP BY c),
-deg AS (SELECT a, count(*) AS n FROM sym GROUP BY a)
+comp AS (SELECT c, min(t) AS k FROM r GROUP BY c)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(k, s.doc_id) AS component_id,
-  s.doc_id = coalesce(k, s.doc_id) AS kept, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, coalesce(cls.c, s.doc_id) AS class_id
-FROM s LEFT JOIN cls ON s.s = cls.s AND len(s.s) > 0 LEFT JOIN comp ON cls.c = comp.c LEFT JOIN deg ON cls.c = deg.a
+  s.doc_id = coalesce(k, s.doc_id) AS kept, coalesce(cls.c, s.doc_id) AS class_id
+FROM s LEFT JOIN cls ON s.s = cls.s AND len(s.s) > 0 LEFT JOIN comp ON cls.c = comp.c
 """
 
 ORACLES: dict[str, str] = {
