@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
+from stratacast.llm.token_files import ChunkEncoder, slices
+
 SPACE = "▁"
 BREAKS = "\n\t\r"
 # Segments that the corpus-wide dictionary may hold, each of at most so many characters.
 DICTIONARY_ROWS = 200_000
 DICTIONARY_CHARS = 32
-REMEMBERED = 200_000
 UNKNOWN_PENALTY = 10.0
 # A vocabulary beyond this is not broadcast; pieces are short strings.
 MAX_PIECES = 1_000_000
@@ -47,10 +48,6 @@ class PieceModel:
     least_score: float
     breaks: str
     odd: frozenset[str] = frozenset()
-    _memo: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_memo": {}}
 
     @classmethod
     def read(cls, content: bytes) -> PieceModel:
@@ -154,15 +151,6 @@ class PieceModel:
             out += [hit[0]] if hit else self._fallback(segment[s])
         return out
 
-    def ids_of(self, segment: str) -> list[int]:
-        found = self._memo.get(segment)
-        if found is None:
-            found = self.fold(segment)
-            if len(self._memo) >= REMEMBERED:
-                self._memo.clear()
-            self._memo[segment] = found
-        return found
-
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join([self.texts[i] for i in ids])
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
@@ -282,7 +270,7 @@ def _walk(best: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.array(n), back, _pairs)
 
 
-def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> dict[str, np.ndarray]:
+def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> dict[str, list[int]]:
     """The most frequent segments of all documents with their ids; at most ``rows`` short ones."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has_odd = F.lit(False)
@@ -298,25 +286,53 @@ def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONAR
     )
     frequent = counted.orderBy(F.desc("_n"), "segment").limit(rows).select("segment")
     found = encode_segments(frequent.repartition("segment"), model).toPandas()
-    return {s: np.array(ids, np.int32) for s, ids in zip(found["segment"], found["ids"], strict=True)}
+    return {s: list(map(int, ids)) for s, ids in zip(found["segment"], found["ids"], strict=True)}
 
 
 TOKENS = "doc_id long, n_tokens long, tokens array<int>"
 
 
+class SegmentEncoder(ChunkEncoder):
+    """Maps the runs between single blanks to ids at once; each distinct run is folded once.
+
+    A run and the blank before it are whole segments, since pieces do not
+    cross into a blank. Texts with blanks in a row, at an end, or with the
+    mark itself are cut segment by segment instead; those keys are tuples.
+    """
+
+    def __init__(self, model: PieceModel, known: dict[str, list[int]]) -> None:
+        self.model, self.known = model, known
+        self._start([])
+
+    def _split(self, text: str) -> list:
+        if not text:
+            return []
+        runs = text.split(" ")
+        if SPACE in text or "" in runs:
+            return [(s,) for s in self.model.segments(text)]
+        return runs
+
+    def _ids(self, key: str | tuple[str]) -> list[int]:
+        out: list[int] = []
+        for s in key if isinstance(key, tuple) else self.model.segments(key):
+            found = self.known.get(s)
+            out += self.model.fold(s) if found is None else found
+        return out
+
+    def _learn_some(self, chunks: list) -> None:
+        found = [self._ids(c) for c in chunks]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._add(chunks, lengths, np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())))
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], known: dict, model: PieceModel) -> Iterator[pa.RecordBatch]:
     """The batch's own columns, the number of ids and the ids; a few texts at a time."""
+    encoder = SegmentEncoder(model, known)
     for b in batches:
-        for at in range(0, b.num_rows, 200):
-            part = b.slice(at, 200)
-            parts, counts = [], []
-            for text in part.column("text").to_pylist():
-                found = [known[s] if s in known else model.ids_of(s) for s in model.segments(text or "")]
-                counts.append(sum(map(len, found)))
-                parts += found
-            ids = np.concatenate([*parts, np.array([], np.int32)]).astype(np.int32)
+        for part in slices(b):
+            ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
             columns = [*part.columns, pa.array(counts, pa.int64()), lists]
             yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "n_tokens", "tokens"])
 

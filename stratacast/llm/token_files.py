@@ -53,15 +53,14 @@ class ChunkEncoder:
     """
 
     def __init__(self, definition: str, end_id: int) -> None:
-        self.definition, self.end_id = definition, end_id
         self.tokenizer = Tokenizer.from_str(definition)
-        self._forget()
+        self._start([end_id])
 
-    def _forget(self) -> None:
+    def _start(self, end: list[int]) -> None:
         self.index: dict[bytes | None, int] = {None: 0}
-        self.lengths = np.array([1], np.int64)
+        self.lengths = np.array([len(end)], np.int64)
         self.starts = np.array([0], np.int64)
-        self.ids = np.array([self.end_id], np.int32)
+        self.ids = np.array(end, np.int32)
         self.hits = np.zeros(1, np.int64)
 
     def _shrink(self) -> None:
@@ -88,12 +87,20 @@ class ChunkEncoder:
         found = self.tokenizer.encode([c.decode() for c in chunks], is_pretokenized=True, add_special_tokens=False)
         lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
         flat = np.array(found.ids, np.int32)
+        self._add(chunks, lengths, flat)
+
+    def _add(self, chunks: list, lengths: np.ndarray, flat: np.ndarray) -> None:
         self.index.update(zip(chunks, range(len(self.lengths), len(self.lengths) + len(chunks)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, flat])
         self.hits = np.concatenate([self.hits, np.zeros(len(lengths), np.int64)])
 
+    def _split(self, text: bytes) -> list:
+        if b"<|" not in text:
+            text = _STOP.sub(rb" \1", text.lower())
+        return text.split()
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with its end id; number of ids of each text)."""
         if len(self.index) > REMEMBERED:
@@ -102,9 +109,7 @@ class ChunkEncoder:
         firsts = np.empty(len(texts), np.int64)
         for n, text in enumerate(texts):
             firsts[n] = len(chunks)
-            if b"<|" not in text:
-                text = _STOP.sub(rb" \1", text.lower())
-            chunks += text.split()
+            chunks += self._split(text)
             chunks.append(None)
         get = self.index.get
         at = np.fromiter(map(get, chunks, repeat(-1)), np.int64, len(chunks))
@@ -116,6 +121,7 @@ class ChunkEncoder:
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         place = np.arange(int(ends[-1])) + np.repeat(self.starts[at] - (ends - lengths), lengths)
+        # Every text has its end as a chunk, so none is empty here.
         return self.ids[place], np.add.reduceat(lengths, firsts)
 
 
@@ -131,7 +137,7 @@ def encoder_for(definition: str, end_id: int) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes, one row at least."""
     step = max(1, int(batch.num_rows * most / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, step):
@@ -151,7 +157,7 @@ def encode_documents(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, at = encoder_for(tokenizer_json, end_id), 0
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch):
                 ids, counts = encoder.encode(part.column("text").cast(pa.binary()).to_pylist())
                 ends = np.cumsum(counts)
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
