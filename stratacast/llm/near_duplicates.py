@@ -2,15 +2,16 @@
 
 Documents are sets of word 2-shingles; equal sets are one class. Independent
 trees branch the classes by minwise tokens: classes in one node chose the same
-tokens on the whole path to it. Large nodes are branched further. In a leaf all
-members are compared with its least one first, in large leaves also with a few
-pivots; pairs that these links leave in different components are then compared
-exhaustively. Every candidate is confirmed on the full sets.
+tokens on the whole path to it. Classes of large nodes are branched again, in
+more and deeper trees. In a leaf all members are compared with its least one
+first; pairs that these links leave in different components are then compared
+exhaustively, in large leaves inside one task on the full sets. Every other
+candidate is confirmed on the full sets too.
 
 A pair at the threshold shares a path of depth d in a tree with probability
-0.8^d, so TREES trees miss one in nodes of depth 2 with probability below 1e-8
-and at depth 4 below 3e-5; only groups of many near copies go deeper, where
-their members are linked in many ways.
+0.8^d, so all trees of depth 2, 3 and 4 miss it with probabilities of 1.3e-9,
+4.5e-10 and 7.1e-10. All trees of the next depth take every class that has a
+large node, so the sum, 2.5e-9, bounds what is missed in nodes of any size.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,16 +28,14 @@ from xxhash import xxh3_64_intdigest
 from stratacast.llm.common import broadcast_within
 from stratacast.session import ensure_checkpoint_dir
 
-TREES = 20
-DEPTHS = (2, 3, 4, 6, 8)
+# Depth and number of trees; trees of one depth share no token.
+TREES = ((2, 20), (3, 30), (4, 40))
 NODE = 32
 PERCENT = 80
 # A pair at the threshold agrees in 128 of 160 minwise tokens on average; under 88 has a probability below 1e-12.
 LEAST_AGREEING = 88
 BROADCAST_ROWS = 500_000
-# Further pivots are the members nearest to these numbers in the exclusive-or order.
-PIVOTS = (0x5DEECE66D1B54A33, 0x2545F4914F6CDD1D, 0x61C8864680B583EB)
-N_TOKENS = TREES * DEPTHS[-1]
+N_TOKENS = max(d * n for d, n in TREES)
 _RNG = np.random.default_rng(17)
 _MULTIPLY = _RNG.integers(1, 1 << 63, N_TOKENS, dtype=np.uint64)[:, None] | np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, N_TOKENS, dtype=np.uint64)[:, None]
@@ -95,10 +95,10 @@ def set_features(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, FEATURES)
 
 
-def _path(depth: int) -> Column:
-    """The node that a class reaches at a depth of tree ``_tree``."""
-    chosen = [F.get("tokens", F.col("_tree") * DEPTHS[-1] + k) for k in range(depth)]
-    return F.xxhash64("_tree", F.lit(depth), *chosen)
+def _nodes(depth: int, trees: int) -> Column:
+    """The nodes that a class reaches at a depth, one of each tree."""
+    paths = [[F.get("tokens", F.lit(n * depth + k)) for k in range(depth)] for n in range(trees)]
+    return F.array(*[F.xxhash64(F.lit(depth), F.lit(n), *path) for n, path in enumerate(paths)])
 
 
 def _sized(rows: DataFrame, node: str) -> DataFrame:
@@ -110,29 +110,17 @@ def _sized(rows: DataFrame, node: str) -> DataFrame:
 def tree_leaves(classes: DataFrame) -> DataFrame:
     """(leaf, class, big): nodes of at most NODE members, or of the greatest depth.
 
-    Most classes are alone in their first node; the rows that go on carry
-    nothing but the class, the tree and the node. Tokens are fetched again
-    for the few that are branched further.
+    Most classes are alone in their first node. Those that have a large node
+    go through all trees of the next depth.
     """
-    first, *deeper = DEPTHS
-    trees = classes.where("n > 0").select("class", "tokens", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("_tree"))
-    rows = trees.select("class", F.col("_tree").cast("tinyint").alias("_tree"), _path(first).alias("leaf"))
-    sized = _sized(rows, "leaf").checkpoint()
-    big = F.col("_size") > NODE
-    leaves = sized.where(~big).select("leaf", "class", F.lit(False).alias("big"))
-    rows = (
-        sized.where(big)
-        .select("class", "_tree")
-        .join(classes.select("class", "tokens"), "class")
-        .select("class", *[_path(d).alias(f"_node{d}") for d in deeper])
-        .checkpoint()
-    )
-    for depth in deeper:
-        node, last = f"_node{depth}", depth == deeper[-1]
-        sized = _sized(rows, node).checkpoint()
-        done = sized if last else sized.where(~big)
-        leaves = leaves.unionByName(done.select(F.col(node).alias("leaf"), "class", big.alias("big")))
-        rows = sized.where(big).drop("_size", node)
+    rows, leaves = classes.where("n > 0").select("class", "tokens"), None
+    for depth, trees in TREES:
+        last = depth == TREES[-1][0]
+        sized = _sized(rows.select("class", F.explode(_nodes(depth, trees)).alias("leaf")), "leaf").checkpoint()
+        big = F.col("_size") > NODE
+        done = (sized if last else sized.where(~big)).select("leaf", "class", big.alias("big"))
+        leaves = leaves.unionByName(done) if leaves else done
+        rows = classes.select("class", "tokens").join(sized.where(big).select("class").distinct(), "class", "left_semi")
     return leaves
 
 
@@ -148,17 +136,6 @@ def pivot_pairs(leaves: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def further_pivot_pairs(leaves: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): members of large leaves with further pivots that are in another component so far."""
-    least = [F.min(F.col("class").bitwiseXOR(F.lit(p))).bitwiseXOR(F.lit(p)) for p in PIVOTS]
-    rows = leaves.where("big")
-    pivots = rows.groupBy("leaf").agg(F.array_distinct(F.array(*least)).alias("_p"))
-    pivots = _labelled(pivots.select("leaf", F.explode("_p").alias("class")), labels)
-    pivots = pivots.select("leaf", F.col("class").alias("_pivot"), F.col("component").alias("_l"))
-    apart = _labelled(rows, labels).join(pivots, "leaf").where("component != _l")
-    return apart.select(F.least("class", "_pivot").alias("a"), F.greatest("class", "_pivot").alias("b")).distinct()
-
-
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
@@ -229,23 +206,59 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(leaves: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one leaf that the links so far leave in different components.
+    """Pairs of one small leaf that the links so far leave in different components, fewer than NODE per member."""
+    rows = _labelled(leaves.where("NOT big"), labels)
+    other = rows.select("leaf", F.col("class").alias("_c"), F.col("component").alias("_l"))
+    apart = rows.join(other, "leaf").where((F.col("component") != F.col("_l")) & (F.col("class") < F.col("_c")))
+    return apart.select(F.col("class").alias("a"), F.col("_c").alias("b")).distinct()
 
-    Small leaves: all such pairs, fewer than NODE per member. Large leaves:
-    members outside the component of the leaf's least member, against all
-    members; this repeats no comparison inside a group of near copies.
+
+def _leaf_links(part: pd.DataFrame) -> pd.DataFrame:
+    """Links that join the components of one leaf as comparing all its members would.
+
+    The member whose shingles are the most common ones comes first, as the
+    middle of a group of near copies. Members of its component need no
+    comparison of their own: all others are compared with every member.
     """
-    rows = _labelled(leaves, labels)
-    other = rows.select("leaf", F.col("class").alias("_c"), F.col("component").alias("_l"))
-    differ = F.col("component") != F.col("_l")
-    ordered = (F.least("class", "_c").alias("a"), F.greatest("class", "_c").alias("b"))
-    small = rows.where("NOT big").join(other, "leaf").where(differ & (F.col("class") < F.col("_c"))).select(*ordered)
-    big = rows.where("big")
-    heads = big.groupBy("leaf").agg(F.min("class").alias("_head"))
-    heads = _labelled(heads.select("leaf", F.col("_head").alias("class")), labels).select("leaf", F.col("component").alias("_main"))
-    outside = big.join(heads, "leaf").where("component != _main").drop("_main")
-    large = outside.join(other, "leaf").where(differ).select(*ordered)
-    return small.unionByName(large).distinct()
+    ids = part["class"].to_numpy()
+    label = np.unique(part["component"].to_numpy(), return_inverse=True)[1]
+    sets = [shingle_hashes(t or b"") for t in part["text"]]
+    n = np.array([len(s) for s in sets])
+    ends = np.cumsum(n)
+    _, term, spread = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    holders = np.repeat(np.arange(len(ids), dtype=np.int32), n)[np.argsort(term, kind="stable")]
+    last = np.cumsum(spread)
+    common = np.array([spread[term[e - k : e]].mean() if k else 0.0 for e, k in zip(ends, n, strict=True)])
+    order = np.argsort(-common, kind="stable")
+    main, found = label[order[0]], []
+    for place, i in enumerate(order):
+        if place and label[i] == main:
+            continue
+        own = term[ends[i] - n[i] : ends[i]]
+        lists = [holders[last[t] - spread[t] : last[t]] for t in own[spread[own] > 1]]
+        if not lists:
+            continue
+        shared = np.bincount(np.concatenate(lists), minlength=len(ids))
+        near = np.flatnonzero((100 * shared >= PERCENT * (n[i] + n - shared)) & (shared > 0) & (label != label[i]))
+        joined, at = np.unique(label[near], return_index=True)
+        found += [sorted((int(ids[i]), int(ids[j]))) for j in near[at]]
+        if len(joined):
+            label[np.isin(label, [label[i], *joined])] = main if main in joined else label[i]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def crowded_links(leaves: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links between the components that meet in a large leaf.
+
+    A leaf is compared in one task, which holds the shingles of its members.
+    """
+    rows = _labelled(leaves.where("big"), labels)
+    apart = rows.groupBy("leaf").agg(F.min("component").alias("_m"), F.max("component").alias("_n")).where("_m != _n")
+    rows = rows.join(apart.select("leaf"), "leaf", "left_semi").select("leaf", "class", "component").checkpoint()
+    ids = rows.select(F.col("class").alias("_class")).distinct()
+    texts = docs.join(broadcast_within(ids, BROADCAST_ROWS), F.col("doc_id") == F.col("_class"), "left_semi")
+    texts = texts.select(F.col("doc_id").alias("class"), F.col("text").cast("binary").alias("text"))
+    return rows.join(texts, "class").groupBy("leaf").applyInPandas(_leaf_links, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -273,8 +286,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _confirm(pivot_pairs(leaves), classes, docs).checkpoint()
     labels = components(links)
     # What is in one component already is not compared again, so groups of near copies cost a few pairs a member.
-    for candidates in (further_pivot_pairs, remaining_pairs):
-        more = _confirm(candidates(leaves, labels), classes, docs).checkpoint()
+    for compare in (
+        lambda: _confirm(remaining_pairs(leaves, labels), classes, docs),
+        lambda: crowded_links(leaves, labels, docs),
+    ):
+        more = compare().checkpoint()
         if more.limit(1).count():
             links = links.unionByName(more).distinct()
             labels = components(links)

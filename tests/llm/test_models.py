@@ -74,6 +74,20 @@ def test_near_copies_that_fill_large_nodes(spark, monkeypatch):
     assert got == reference.near_groups(docs)
 
 
+def test_borderline_star_in_nodes_of_every_depth(spark):
+    """Copies at similarity 0.802 to a text in their middle and to nothing else; their nodes stay large at every depth."""
+    rng = np.random.default_rng(23)
+    base = [f"w{k}" for k in range(201)]
+    docs = [(150, " ".join(base))]
+    for n in [n for n in range(400) if n != 150]:
+        words = list(base)
+        for k in 1 + 2 * rng.choice(99, 11, replace=False):
+            words[k] = f"x{n}_{k}"
+        docs.append((n, " ".join(words)))
+    got = rows_of(nd.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")), "component_id")
+    assert sorted(d for d, v in got.items() if v != (0,)) == []
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(n, n + 1) for n in range(40)] + [(70, 60)], "a long, b long")
     got = {r["id"]: r["component"] for r in nd.components(links).collect()}
