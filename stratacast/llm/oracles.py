@@ -125,9 +125,203 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(k, s.doc_id) A
 FROM s LEFT JOIN cls ON s.s = cls.s AND len(s.s) > 0 LEFT JOIN comp ON cls.c = comp.c
 """
 
+_LET = {
+    "hex": "0123456789abcdef",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+}
+_ASSIGN_11 = (
+    "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    r"""[""'']?\x20*[:=]\x20*[""'']?([A-Za-z0-9+/_.=-]+)"""
+).replace('""', '"')
+_KINDS_11 = (
+    ("assign", _ASSIGN_11, 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("run", "[A-Za-z0-9+/_-]+={0,2}", 0, 20),
+)
+
+
+def _matches_11(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return rf"""
+  SELECT rid, {rank} AS rank, '{kind}' AS kind, m, list_sum(list_transform(g[:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(ms[:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT rid, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS ms,
+          unnest(regexp_extract_all(t, '{pattern}')) AS m,
+          unnest(regexp_extract_all(t, '{pattern}', {group})) AS v, unnest(range(1, len(regexp_extract_all(t, '{pattern}')) + 1)) AS i
+        FROM d WHERE regexp_matches(t, '{pattern}')) WHERE length({"rtrim(v, '=')" if kind == "run" else "v"}) >= {least}"""
+
+
+_Z = "(1.0 / (1.0 + 0.3275911 * (abs({z}) / sqrt(2.0))))"
+_P = (
+    "greatest(1e-12, least(1.0, {t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * (-1.453152027 + {t} * 1.061405429))))"
+    " * exp(-({z}) * ({z}) / 2.0)))"
+)
+
+
+def _p_11(z: str) -> str:
+    return _P.format(z=z, t=_Z.format(z=z))
+
+
+OP11 = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS MATERIALIZED ({" UNION ALL ".join(_matches_11(n, *k) for n, k in enumerate(_KINDS_11))}),
+base AS (SELECT rid, rank, kind, start, start + length(m) AS fin FROM found WHERE kind <> 'run'),
+run AS (
+  SELECT rid, start, start + length(m) AS fin, b, enc, CASE WHEN enc = 'hex' THEN lower(b) ELSE b END AS s,
+    CASE enc {" ".join(f"WHEN '{k}' THEN '{a}'" for k, a in _LET.items())} END AS alpha,
+    CASE enc {" ".join(f"WHEN '{k}' THEN {3 + n}" for n, k in enumerate(_LET))} END AS rank
+  FROM (
+    SELECT *, CASE
+      WHEN regexp_full_match(b, '[0-9a-f]+|[0-9A-F]+') AND dig AND (low OR upp) THEN 'hex'
+      WHEN regexp_full_match(b, '[A-Z2-7]+') AND dig AND upp THEN 'base32'
+      WHEN regexp_full_match(b, '[A-Za-z0-9]+') AND dig AND low AND upp THEN 'base62'
+      WHEN regexp_full_match(b, '[A-Za-z0-9+/]+') AND dig AND low AND upp THEN 'base64'
+      WHEN regexp_full_match(b, '[A-Za-z0-9_-]+') AND dig AND low AND upp THEN 'base64url' END AS enc
+    FROM (SELECT *, regexp_matches(b, '[0-9]') AS dig, regexp_matches(b, '[a-z]') AS low, regexp_matches(b, '[A-Z]') AS upp
+          FROM (SELECT *, rtrim(m, '=') AS b FROM found WHERE kind = 'run'))
+  ) WHERE enc IS NOT NULL
+),
+coded AS (
+  SELECT *, CAST(length(s) AS DOUBLE) AS n, CAST(length(alpha) AS DOUBLE) AS a,
+    list_transform(string_split(s, ''), lambda c: instr(alpha, c) - 1) AS x,
+    list_transform(string_split(alpha, ''), lambda c: power(length(s) - length(replace(s, c, '')), 2)) AS o
+  FROM run
+),
+sums AS (
+  SELECT *, list_sum(o) AS sq, list_sum(x) AS sx, list_sum(list_transform(x, lambda c: c * c)) AS sxx,
+    list_sum(list_transform(range(1, len(x) + 1), lambda i: x[i] * x[i % len(x) + 1])) AS sxy,
+    list_sum(list_transform(x, lambda c: CAST(c >= a / 2 AS INTEGER))) AS n1,
+    list_sum(list_transform(range(1, len(x)), lambda i: CAST((x[i] >= a / 2) <> (x[i + 1] >= a / 2) AS INTEGER))) + 1 AS r
+  FROM coded
+),
+z AS (
+  SELECT *, (power((sq * a / n - n) / (a - 1), 1.0 / 3) - (1 - 2.0 / (9 * (a - 1)))) / sqrt(2.0 / (9 * (a - 1))) AS z1,
+    2.0 * n1 * (n - n1) AS h, n * sxx - sx * sx AS v, n * sxy - sx * sx AS w
+  FROM sums
+),
+p AS (
+  SELECT *, {_p_11("z1")} AS p1,
+    CASE WHEN h * (h - n) > 0 THEN {_p_11("((r - h / n - 1) / sqrt(h * (h - n) / (n * n * (n - 1))))")} ELSE 1e-12 END AS p2,
+    CASE WHEN v > 0 THEN {_p_11("((w / v + 1 / (n - 1)) * (n - 1) / sqrt(n * (n - 3) / (n + 1)))")} ELSE 1e-12 END AS p3
+  FROM z
+),
+binned AS (
+  SELECT rid, start, fin, rank, enc, CAST(floor(log2(n)) AS INTEGER) AS band,
+    least(199, CAST(floor(exp(-y) * (1 + y + y * y / 2) * 200 + 1e-7) AS INTEGER)) AS bin
+  FROM (SELECT *, -ln(p1) - ln(p2) - ln(p3) AS y FROM p)
+),
+graded AS (
+  SELECT enc, band, bin, sum(n) OVER (PARTITION BY enc, band ORDER BY bin DESC) AS above,
+    2 * sum(CASE WHEN bin >= 100 THEN n ELSE 0 END) OVER (PARTITION BY enc, band) AS random
+  FROM (SELECT enc, band, bin, count(*) AS n FROM binned GROUP BY ALL)
+),
+lim AS (
+  SELECT enc, band, coalesce(min(bin) FILTER (bin < 100 AND above - random * (1 - bin / 200.0) <= 0.05 * above + 1e-9), 100) AS from_bin
+  FROM graded GROUP BY ALL
+),
+added AS (
+  SELECT rid, rank, 'random_' || enc AS kind, start, fin FROM binned b JOIN lim USING (enc, band)
+  WHERE bin >= from_bin AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = b.rid AND x.start <= b.start AND b.fin <= x.fin)
+),
+bd AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n1, count(*) FILTER (kind = 'access') AS n2, count(*) FILTER (kind = 'hex') AS n3,
+    string_agg(kind || ':' || start || ':' || fin, ',' ORDER BY start, rank) AS told
+  FROM (SELECT rid, rank, kind, CAST(start AS BIGINT) AS start, CAST(fin AS BIGINT) AS fin FROM base) GROUP BY rid
+),
+al AS (
+  SELECT rid, string_agg(kind || ':' || start || ':' || fin, ',' ORDER BY start, rank) AS spans
+  FROM (SELECT rid, rank, kind, CAST(start AS BIGINT) AS start, CAST(fin AS BIGINT) AS fin
+        FROM (SELECT * FROM base UNION ALL SELECT * FROM added)) GROUP BY rid
+)
+SELECT doc_id, CAST(coalesce(n1, 0) AS BIGINT) AS n_assign, CAST(coalesce(n2, 0) AS BIGINT) AS n_access,
+  CAST(coalesce(n3, 0) AS BIGINT) AS n_hex, sha256(coalesce(told, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN bd USING (rid) LEFT JOIN al USING (rid)
+"""
+
+# Rebuilt conversations as lists of turns; a prefix is the list itself, so nothing is hashed.
+OP12 = r"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+crc(i, v) AS (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) FROM range(256) r(i)
+),
+h AS (
+  SELECT c, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, b: xor(a >> 8, tab[xor(a, b) % 256 + 1])), 4294967295) % 4 AS h
+  FROM t CROSS JOIN (SELECT list(v ORDER BY i) AS tab FROM crc)
+),
+b AS (
+  SELECT t.c, list_concat(coalesce(base.l[:h.h], []), t.l[h.h + 1:]) AS l
+  FROM t JOIN h USING (c) LEFT JOIN t base ON base.c = t.c - t.c % 20
+),
+p AS (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM b),
+n AS (
+  SELECT l[:d] AS k, d, min(c) AS conv_id, count(*) AS n_convs,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(l) = d) AS ends
+  FROM p GROUP BY 1, 2
+),
+kids AS (SELECT k[:d - 1] AS k, d - 1 AS d, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+m AS (
+  SELECT n.*, coalesce(kids.n, 0) AS n_children,
+    CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(n.k[n.d].x, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k
+),
+sub AS (
+  SELECT k[:u] AS k, u AS d, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS u FROM m) GROUP BY ALL
+)
+SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+  sub.leaves AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN sub ON sub.d = m.d AND sub.k = m.k LEFT JOIN m up ON up.d = m.d - 1 AND up.k = m.k[:m.d - 1]
+"""
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(ln) AS ln FROM kept GROUP BY lang),
+gn AS (SELECT lang, source, sum(n) AS gn FROM c GROUP BY ALL),
+s AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // CAST(coalesce(gn, 0) + v AS HUGEINT) AS p,
+    1 + CAST(1000000000 AS HUGEINT) * (k.ln + 1) // CAST(v.ln + v AS HUGEINT) AS q
+  FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN gn ON gn.lang = g.lang AND gn.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM parts)
+WHERE part = 'pair' OR r <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1,
     "op5_quality_rules": OP5,
     "op6_chat_formatting": OP6,
     "op8_near_duplicates": OP8,
+    "op11_secret_scan": OP11,
+    "op12_prefix_trie": OP12,
+    "op13_source_divergence": OP13,
 }

@@ -13,8 +13,11 @@ from stratacast.llm.licenses import default_templates, license_scan
 from stratacast.llm.near_duplicates import near_duplicates
 from stratacast.llm.pieces import PieceModel, round_trip
 from stratacast.llm.pii import pii
+from stratacast.llm.prefix_trie import prefix_trie
 from stratacast.llm.quality_model import fit_quality, quality_scores
 from stratacast.llm.quality_rules import quality_rules
+from stratacast.llm.secret_scan import secrets
+from stratacast.llm.source_divergence import source_divergence
 from stratacast.llm.token_files import token_output
 from stratacast.llm.toxicity import fit_toxicity, toxicity_scores
 
@@ -87,6 +90,18 @@ def op10_pieces(spark: SparkSession, sf_dir: str, model_file: str = "piece_bpe_3
     return round_trip(docs, model)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_output": op2_token_output,
@@ -98,4 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_license_scan": op9_license_scan,
     "op10_pieces": op10_pieces,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
