@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratacast.llm.common import plain_words
+from stratacast.llm.common import broadcast_within, plain_words
 from stratacast.session import ensure_checkpoint_dir
 
 # Conversations are rebuilt from the head of the first of every FAMILY ids; heads have fewer than HEADS turns.
@@ -33,6 +33,9 @@ HEADS = 4
 BLOCK_BITS = 10
 # Neighbouring ids that are listed in one piece before the digest runs over the pieces.
 LIST_BITS = 16
+# Paths through a node from which on the node is broadcast (three numbers a row) instead of joined by key.
+HOT_PATHS = 1_000
+BROADCAST_ROWS = 1_000_000
 KEY = ["depth", "k1", "k2"]
 _FIRST = -(1 << 60)
 
@@ -41,15 +44,11 @@ def _hex_long(text: Column, start: int) -> Column:
     return F.conv(F.substring(text, start, 15), 16, 10).cast("long")
 
 
-def numbered_turns(rows: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
-    """(conv_id, pos, e1, e2, words): the turns of each conversation from 0 on, in order, their texts as digests.
-
-    Ordered by turn, nulls first, then role and digest. A conversation of any
-    length is ordered in blocks of neighbouring turn numbers.
-    """
+def turn_digests(rows: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """(conv_id, _block, turn, role, e1, e2, words): turns with their texts as digests, in blocks of neighbouring numbers."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     digest = F.sha2(F.concat(F.char_length(role).cast("string"), F.lit(":"), role, text), 256)
-    turns = (
+    return (
         rows.where(F.col("conv_id").isNotNull())
         .select(
             F.col("conv_id").cast("long").alias("conv_id"),
@@ -68,34 +67,38 @@ def numbered_turns(rows: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
             "words",
         )
     )
-    counts = turns.groupBy("conv_id", "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("conv_id", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("conv_id", "_block").orderBy(F.asc_nulls_first("turn"), "role", "e1", "e2")
-    pos = F.col("_before") + F.row_number().over(within) - 1
-    return turns.join(counts, ["conv_id", "_block"]).select("conv_id", pos.alias("pos"), "e1", "e2", "words")
 
 
 def rebuilt(turns: DataFrame, family: int = FAMILY, heads: int = HEADS) -> tuple[DataFrame, DataFrame]:
     """All conversation ids, and the turns (conv_id, depth, e1, e2, words) of the rebuilt conversations.
 
     Conversation c takes the first h turns of c - c % family and its own from
-    the h-th on, h = crc32(c) % heads.
+    the h-th on, h = crc32(c) % heads. Turns are ordered by number, nulls
+    first, then role and digest. What a conversation needs to know is joined to
+    its blocks, so a conversation of any length is spread over many tasks.
     """
-    sizes = turns.groupBy("conv_id").agg(F.count("*").alias("_n"))
+    block = ["conv_id", "_block"]
+    counts = turns.groupBy(*block).agg(F.count("*").alias("_n"))
+    sizes = counts.groupBy("conv_id").agg(F.sum("_n").alias("_n"))
     heir = sizes.select(
         "conv_id",
         (F.col("conv_id") - F.col("conv_id") % family).alias("_base"),
         (F.crc32(F.col("conv_id").cast("string").cast("binary")) % heads).alias("_h"),
     )
     base = sizes.select(F.col("conv_id").alias("_base"), F.col("_n").alias("_base_n"))
-    plan = heir.join(base, "_base", "left").withColumn("_taken", F.least("_h", F.coalesce("_base_n", F.lit(0))))
-    own = turns.join(plan.select("conv_id", "_h", "_taken"), "conv_id").where(F.col("pos") >= F.col("_h"))
-    own = own.select("conv_id", (F.col("pos") - F.col("_h") + F.col("_taken") + 1).alias("depth"), "e1", "e2", "words")
-    wanted = plan.where("_taken > 0").select("conv_id", "_base", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_taken") - 1)).alias("pos"))
-    head = turns.where(F.col("pos") < heads - 1).withColumnRenamed("conv_id", "_base")
-    led = wanted.join(head, ["_base", "pos"]).select("conv_id", (F.col("pos") + 1).alias("depth"), "e1", "e2", "words")
-    return sizes.select("conv_id"), own.unionByName(led)
+    plan = heir.join(base, "_base", "left").withColumn("_taken", F.least("_h", F.coalesce("_base_n", F.lit(0)))).checkpoint()
+    before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(*block).orderBy(F.asc_nulls_first("turn"), "role", "e1", "e2")
+    placed = turns.join(counts.join(plan, "conv_id"), block).withColumn("pos", F.col("_before") + F.row_number().over(within) - 1)
+    own = placed.where(F.col("pos") >= F.col("_h")).select(
+        "conv_id", (F.col("pos") - F.col("_h") + F.col("_taken") + 1).alias("depth"), "e1", "e2", "words"
+    )
+    head = placed.where((F.col("pos") < heads - 1) & (F.col("conv_id") == F.col("_base")))
+    places = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_taken") - 1)).alias("pos")
+    wanted = plan.where("_taken > 0").select("conv_id", "_base", places)
+    led = wanted.join(head.select("_base", "pos", "e1", "e2", "words"), ["_base", "pos"])
+    return plan.select("conv_id"), own.unionByName(led.select("conv_id", (F.col("pos") + 1).alias("depth"), "e1", "e2", "words"))
 
 
 def sequences(ids: DataFrame, turns: DataFrame) -> DataFrame:
@@ -112,11 +115,21 @@ def sequences(ids: DataFrame, turns: DataFrame) -> DataFrame:
     )
 
 
+def by_block(of_rep: DataFrame, block_bits: int) -> DataFrame:
+    """One row per block of depths of a sequence: long sequences meet their turns in many tasks."""
+    last = F.shiftright("length", block_bits)
+    return of_rep.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+
+
 def prefixes(turns: DataFrame, classes: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     """One row per sequence and depth, 0 included: its key, its parent's key, the words from here on."""
     block = ["rep", "_block"]
-    rows = turns.join(classes.select(F.col("rep").alias("conv_id"), "total"), "conv_id").select(
-        F.col("conv_id").alias("rep"), F.shiftright("depth", block_bits).alias("_block"), "depth", "t1", "t2", "words", "total"
+    known = by_block(classes.select("rep", "length", "total"), block_bits)
+    rows = (
+        turns.withColumnRenamed("conv_id", "rep")
+        .withColumn("_block", F.shiftright("depth", block_bits))
+        .join(known, block)
+        .select(*block, "length", "depth", "t1", "t2", "words", "total")
     )
     sums = rows.groupBy(*block).agg(F.bit_xor("t1").alias("_s1"), F.bit_xor("t2").alias("_s2"), F.sum("words").alias("_sw"))
     before = Window.partitionBy("rep").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -133,22 +146,37 @@ def prefixes(turns: DataFrame, classes: DataFrame, block_bits: int = BLOCK_BITS)
     done = F.col("_bw") + F.sum("words").over(upto)
     deep = (
         rows.join(sums, block)
-        .select("rep", "depth", k1.alias("k1"), k2.alias("k2"), "t1", "t2", "words", (F.col("total") - done).alias("_after"))
         .select(
-            "rep",
-            *KEY,
-            F.col("k1").bitwiseXOR(F.col("t1")).alias("up1"),
-            F.col("k2").bitwiseXOR(F.col("t2")).alias("up2"),
-            (F.col("_after") + F.col("words")).alias("tail"),
+            *block, "length", "depth", k1.alias("k1"), k2.alias("k2"), "t1", "t2", (F.col("total") - done + F.col("words")).alias("tail")
         )
+        .withColumns({"up1": F.col("k1").bitwiseXOR(F.col("t1")), "up2": F.col("k2").bitwiseXOR(F.col("t2"))})
+        .drop("t1", "t2")
     )
     root = classes.select(
-        "rep", *[none.alias(c) for c in KEY], *[F.lit(None).cast("long").alias(c) for c in ("up1", "up2")],
+        "rep",
+        none.alias("_block"),
+        "length",
+        *[none.alias(c) for c in KEY],
+        *[F.lit(None).cast("long").alias(c) for c in ("up1", "up2")],
         F.col("total").alias("tail"),
     )
     return deep.unionByName(root)
 
 
+def with_owners(paths: DataFrame, hot: int = HOT_PATHS) -> DataFrame:
+    """Adds ``_owner``, the smallest member of the node of each row.
+
+    Nodes near the root lie on very many paths. Those on more than ``hot``
+    are told to the rows where they are, which is a small table as there are
+    at most (rows / hot) of them; only the others meet their rows by key.
+    """
+    owners = paths.groupBy(*KEY).agg(F.min("rep").alias("_owner"), F.count("*").alias("_paths")).checkpoint()
+    wide = owners.where(F.col("_paths") > hot).select(*KEY, F.col("_owner").alias("_wide"))
+    seen = paths.join(broadcast_within(wide, BROADCAST_ROWS), KEY, "left")
+    narrow = seen.where(F.col("_wide").isNull()).drop("_wide").join(owners.where(F.col("_paths") <= hot).drop("_paths"), KEY)
+    return narrow.unionByName(seen.where(F.col("_wide").isNotNull()).withColumnRenamed("_wide", "_owner"))
+
+
 def _digests(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """SHA-256 over the pieces of each key, which come in order; only the running digest is kept."""
     last, running = None, None
@@ -194,6 +222,7 @@ def prefix_trie(
     heads: int = HEADS,
     block_bits: int = BLOCK_BITS,
     list_bits: int = LIST_BITS,
+    hot_paths: int = HOT_PATHS,
 ) -> DataFrame:
     """One row per node of the trie of rebuilt conversations.
 
@@ -210,7 +239,7 @@ def prefix_trie(
     n_children, n_leaves, saved_tokens, ends_sha256.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    turns = numbered_turns(rows.select("conv_id", "turn", "role", "text"), block_bits).checkpoint()
+    turns = turn_digests(rows.select("conv_id", "turn", "role", "text"), block_bits).checkpoint()
     ids, told = rebuilt(turns, family, heads)
     told = told.select(
         "conv_id",
@@ -228,15 +257,13 @@ def prefix_trie(
     paths = prefixes(told, classes, block_bits).checkpoint()
 
     # A sequence that is a proper prefix of another is no leaf.
-    lengths = classes.select("rep", "length")
-    inner = paths.join(lengths, "rep").where(F.col("depth") < F.col("length")).select(*KEY).distinct()
+    inner = paths.where(F.col("depth") < F.col("length")).select(*KEY).distinct()
     leaves = classes.select("rep", F.col("length").alias("depth"), "k1", "k2").join(inner, KEY, "left_anti")
 
     # A node is told of by the sequence of its smallest member: from some depth on all nodes of a path are its own.
-    owners = paths.groupBy(*KEY).agg(F.min("rep").alias("_owner"))
     own = F.col("_owner") == F.col("rep")
     tails = (
-        paths.join(owners, KEY)
+        with_owners(paths, hot_paths)
         .groupBy("rep")
         .agg(
             F.min(F.when(own, F.col("depth"))).alias("_from"),
@@ -245,11 +272,11 @@ def prefix_trie(
         )
     )
     of_rep = (
-        classes.select("rep", "weight")
+        classes.select("rep", "length", "weight")
         .join(tails, "rep")
         .join(leaves.select("rep", F.lit(1).cast("long").alias("_leaf")), "rep", "left")
     )
-    weighted = paths.join(of_rep, "rep").withColumn("_told", F.coalesce(F.col("depth") >= F.col("_from"), F.lit(False)))
+    weighted = paths.drop("length").join(by_block(of_rep, block_bits), ["rep", "_block"]).withColumn("_told", F.coalesce(F.col("depth") >= F.col("_from"), F.lit(False)))
 
     # Everything that a node is told, by its sequences, its children and the conversations that end there.
     long = lambda c: F.lit(c).cast("long")

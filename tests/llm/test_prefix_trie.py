@@ -58,11 +58,11 @@ def family(seed, convs, turns):
     return rows
 
 
-@pytest.mark.parametrize("bits", [(10, 16), (1, 1)])
+@pytest.mark.parametrize("bits", [(10, 16, 1_000), (1, 1, 5)])
 def test_trie_equals_walk(spark, bits):
     rows = family(1, 120, 7)
     frame = spark.createDataFrame(rows, ROW).selectExpr("*", "1 AS depth", "2 AS rep").repartition(5)
-    assert got(prefix_trie(frame, block_bits=bits[0], list_bits=bits[1])) == brute_force(rows)
+    assert got(prefix_trie(frame, block_bits=bits[0], list_bits=bits[1], hot_paths=bits[2])) == brute_force(rows)
 
 
 def test_registered_table(small):
