@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratacast.constants import LAGS, MONTH_PERIOD, ROLLING_WINDOWS, SERIES_COLS, WEEK_PERIOD
 from stratacast.functions.columns import cyclical, day_number, event_flag, own_state_flag, relative_change
 
+# Squares of 32-bit values are summed as a lower and an upper half.
+_HALF_BITS = 31
+_HALF = 1 << _HALF_BITS
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -34,37 +38,62 @@ def add_rolling(df: DataFrame, windows: Sequence[int] | None = None, value_col:
 
     A sliding frame is evaluated afresh for each row, so its cost grows with W.
     Whole numbers have exact running sums; the difference of two running sums
-    gives the same mean and deviation at a cost that does not depend on W.
+    gives the same moments at a cost that does not depend on W. Squares are
+    summed in two halves, which fit longs for any history of 32-bit values;
+    64-bit values use decimals. Nothing is rounded before the variance is
+    known, so large neighbouring values keep their deviation.
     """
     windows = ROLLING_WINDOWS if windows is None else windows
     if not windows:
         return df
-    if not isinstance(df.schema[value_col].dataType, _WHOLE):
+    kind = df.schema[value_col].dataType
+    if not isinstance(kind, _WHOLE):
         return _rolling_by_frames(df, windows, value_col)
 
     before = series_window().rowsBetween(Window.unboundedPreceding, -1)
     value = F.col(value_col).cast("long")
-    square = (value.cast("decimal(19,0)") * value.cast("decimal(19,0)")).cast("decimal(38,0)")
-    running = df.withColumns(
-        {
-            "_n": F.count(value).over(before),
-            "_s": F.coalesce(F.sum(value).over(before), F.lit(0)),
-            # Squares of long histories leave the range of a long; decimals stay exact.
-            "_q": F.coalesce(F.sum(square).over(before), F.lit(0).cast("decimal(38,0)")),
-        }
-    )
+    zero = F.lit(0).cast("long")
+    sums = {"_n": F.count(value).over(before), "_s": F.coalesce(F.sum(value).over(before), zero)}
+    if isinstance(kind, T.LongType):
+        wide = value.cast("decimal(19,0)")
+        square = (wide * wide).cast("decimal(38,0)")
+        sums["_s"] = F.coalesce(F.sum(value.cast("decimal(28,0)")).over(before), F.lit(0).cast("decimal(38,0)"))
+        sums["_q"] = F.coalesce(F.sum(square).over(before), F.lit(0).cast("decimal(38,0)"))
+    else:
+        square = value * value
+        sums["_q"] = F.coalesce(F.sum(square.bitwiseAND(F.lit(_HALF - 1))).over(before), zero)
+        sums["_h"] = F.coalesce(F.sum(F.shiftright(square, _HALF_BITS)).over(before), zero)
+    running = df.withColumns(sums)
     w = series_window()
     tails = {
         f"{c}_{k}": F.col(c) - F.coalesce(F.lag(c, k).over(w), F.lit(0).cast(running.schema[c].dataType))
         for k in windows
-        for c in ("_n", "_s", "_q")
+        for c in sums
     }
     stats = {}
     for k in windows:
-        n, s, q = (F.col(f"{c}_{k}").cast("double") for c in ("_n", "_s", "_q"))
-        stats[f"{value_col}_rmean_{k}"] = F.when(n > 0, s / n)
-        stats[f"{value_col}_rstd_{k}"] = F.when(n > 1, F.sqrt(F.greatest(n * q - s * s, F.lit(0.0)) / (n * (n - 1))))
-    return running.withColumns(tails).withColumns(stats).drop("_n", "_s", "_q", *tails)
+        n, s = F.col(f"_n_{k}"), F.col(f"_s_{k}")
+        spread = _spread(n, s, F.col(f"_q_{k}"), F.col(f"_h_{k}") if "_h" in sums else None, k)
+        stats[f"{value_col}_rmean_{k}"] = F.when(n > 0, s.cast("double") / n)
+        stats[f"{value_col}_rstd_{k}"] = F.when(n > 1, F.sqrt(spread / (n * (n - 1)).cast("double")))
+    return running.withColumns(tails).withColumns(stats).drop(*sums, *tails)
+
+
+def _spread(n: Column, s: Column, low: Column, high: Column | None, k: int) -> Column:
+    """n * (sum of squares) - (sum)^2, exact, as a double.
+
+    Without upper halves all squares are small, and longs hold the result
+    unless the window is very long; otherwise decimals do.
+    """
+    wide = "decimal(38,0)"
+    if high is None:
+        return (n.cast("decimal(10,0)") * low - s * s).cast("double")
+    q = high.cast("decimal(20,0)") * F.lit(_HALF).cast("decimal(11,0)") + low.cast("decimal(20,0)")
+    total = s.cast("decimal(19,0)")
+    exact = (n.cast("decimal(10,0)").cast(wide) * q.cast("decimal(27,0)") - (total * total)).cast("double")
+    if k >= 1 << 15:
+        return exact
+    return F.when(high == 0, (n * low - s * s).cast("double")).otherwise(exact)
 
 
 def _rolling_by_frames(df: DataFrame, windows: Sequence[int], value_col: str) -> DataFrame:

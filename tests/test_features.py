@@ -90,3 +90,15 @@ def test_clip_and_half_even(spark):
 def test_rolling_of_large_values(spark):
     out = ft.add_rolling(series_frame(spark, [2_000_000_000] * 6), [3])
     assert values(out, "sales_rmean_3", "sales_rstd_3")[-1] == (2e9, 0.0)
+
+
+@pytest.mark.parametrize("kind", ["int", "long"])
+def test_rolling_keeps_the_deviation_of_large_neighbours(spark, kind):
+    sales = [1_000_000_000, 1_000_000_001, 1_000_000_003, -2_000_000_000, 2_000_000_000, 7, 46_341, 46_340]
+    df = series_frame(spark, sales).withColumn("sales", F.col("sales").cast(kind))
+    out = ft.add_rolling(df, [2, 3, 60])
+    for k in (2, 3, 60):
+        for i, (mean, std) in enumerate(values(out, f"sales_rmean_{k}", f"sales_rstd_{k}")):
+            before = sales[max(0, i - k) : i]
+            assert mean == (pytest.approx(statistics.mean(before), rel=1e-15) if before else None)
+            assert std == (pytest.approx(statistics.stdev(before), rel=1e-12) if len(before) > 1 else None)
