@@ -111,17 +111,6 @@ def level_name(column: str = "level") -> Column:
     return lookup(column, LEVEL_NAMES)
 
 
-def series_key(cols: Sequence[str] = KEYS) -> Column:
-    """One display string per level key; ``Total`` where nothing is set."""
-    joined = F.concat_ws("_", *cols)
-    return F.when(joined == "", F.lit("Total")).otherwise(joined)
-
-
-def series_attributes(panel: DataFrame) -> DataFrame:
-    """One row per bottom series with its ancestors."""
-    return panel.select(*KEYS).distinct()
-
-
 def store_state_map(df: DataFrame) -> DataFrame:
     """The state of each store, and how many states the data names for it."""
     return df.groupBy("store_id").agg(

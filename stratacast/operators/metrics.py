@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratacast.constants import LEVELS, SERIES_COLS
+from stratacast.constants import LEVELS
 from stratacast.operators.hierarchy import KEYS, aggregate_class, aggregate_level, bottom_rows, level_classes, level_name
 from stratacast.operators.panel import fill_price
 from stratacast.split import Split
@@ -29,15 +29,19 @@ def score_series(
     levels: Mapping[int, Sequence[str]] = LEVELS,
     day_col: str = "day_num",
     dense: bool = False,
+    price_steps: DataFrame | None = None,
 ) -> DataFrame:
     """Scale, dollar weight and squared errors of each series at each level.
 
     ``panel`` holds the training and validation days together, with the
     prediction columns filled on validation days. The training statistics and
     every prediction column come out of one aggregate and one window. A
-    (series, day) cell without a row counts as 0. With ``weights='level'`` the
-    panel must be dense: a row that is left out takes its price out of the
-    level's summed price, and with it the weight of the level's series.
+    (series, day) cell without a row counts as 0. With ``weights='level'`` a
+    panel that brings its own prices must be dense: a row that is left out
+    takes its price out of the level's summed price. A sparse panel, with rows
+    for sales only, brings the prices as ``price_steps`` over the training
+    days instead (see ``value_steps``): they add up to the summed price of a
+    level on any day.
 
     ``weights='level'`` multiplies the level's summed price by its summed
     sales; ``weights='revenue'`` sums price times sales of the bottom series.
@@ -47,9 +51,12 @@ def score_series(
     """
     day = F.col(day_col)
     in_use = day.between(split.train_from, split.train_to) | day.between(split.val_from, split.val_to)
-    rows = fill_price(panel).where(in_use)
-    money = "sell_price"
-    if weights == "revenue":
+    by_steps = price_steps is not None and weights == "level"
+    rows = (panel if by_steps else fill_price(panel)).where(in_use)
+    money = "price_step" if by_steps else "sell_price"
+    if by_steps:
+        rows = rows.drop("sell_price").unionByName(price_steps.select(*KEYS, day_col, money), allowMissingColumns=True)
+    elif weights == "revenue":
         money = "_revenue"
         rows = rows.withColumn(money, F.col("sales") * F.col("sell_price"))
     values = ["sales", money, *pred_cols]
@@ -63,7 +70,12 @@ def score_series(
     for finest, members in level_classes(levels):
         daily = aggregate_class(bottom, finest, members, values, day_col)
         keys = finest if len(members) == 1 else ["level", *finest]
-        dollars = F.col("sales") * F.col(money) if weights == "level" else F.col(money)
+        if by_steps:
+            steps = Window.partitionBy(*keys).orderBy(day_col).rowsBetween(Window.unboundedPreceding, 0)
+            daily = daily.withColumn("_price", F.sum(money).over(steps))
+            dollars = F.col("sales") * F.col("_price")
+        else:
+            dollars = F.col("sales") * F.col(money) if weights == "level" else F.col(money)
         stats = _series_statistics(daily, keys, dollars, split, pred_cols, day_col)
         number = [F.lit(next(iter(members))).alias("level")] if len(members) == 1 else ["level"]
         ids = [F.col(c) if c in finest else F.lit(None).cast("string").alias(c) for c in KEYS]
@@ -168,18 +180,6 @@ def wrmsse_overall(levels: DataFrame) -> DataFrame:
     return levels.groupBy("method").agg(F.avg("wrmsse").alias("wrmsse"))
 
 
-def compute_full_wrmsse(
-    train: DataFrame,
-    val: DataFrame,
-    split: Split,
-    pred_cols: Sequence[str] = ("pred",),
-    weights: str = "level",
-) -> DataFrame:
-    """Level scores of several prediction columns from separate frames."""
-    series = score_series(combine(train, val, pred_cols), split, pred_cols, weights)
-    return wrmsse_levels(series, split, pred_cols)
-
-
 # The parent levels checked against store x department.
 COHERENCE_PARENTS = (("store_id",), ("dept_id",))
 
@@ -233,9 +233,3 @@ def prediction_range(val: DataFrame, pred_cols: Sequence[str]) -> DataFrame:
         for p in pred_cols
     ]
     return sums.select(F.inline(F.array(*pairs)))
-
-
-def historical_scale(panel: DataFrame, split: Split) -> DataFrame:
-    """Scale of the bottom series alone."""
-    scored = score_series(panel, split, (), levels={12: SERIES_COLS})
-    return scored.select(*SERIES_COLS, "scale")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratacast.constants import (
@@ -64,6 +65,15 @@ def pivot_series(
     return wide if fill is None else wide.fillna(fill)
 
 
+@dataclass(frozen=True)
+class Period:
+    """A value that holds for whole periods of days, such as a weekly price."""
+
+    column: str
+    value: str
+    of_day: Callable[[Column], Column]
+
+
 def densify(
     sales: DataFrame,
     lo: int,
@@ -71,31 +81,90 @@ def densify(
     series: Sequence[str] = SERIES_COLS,
     day_col: str = "day_num",
     value_col: str = "sales",
+    period: Period | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
     """Give every series a row on each day of lo..hi; new rows carry 0.
 
     ``sales`` has one row per series and day and may reach beyond the window:
     a series seen only outside it gets zeros. Each row fills the gap up to the
     next one, so there is no skeleton table and no join, and the result stays
-    hash-partitioned by series for the windows that follow.
+    hash-partitioned by series for the windows that follow. ``laid_out`` says
+    that the rows are so already, and saves that shuffle.
+
+    With ``period`` the rows carry a value of their period. A new row takes it
+    from the row before or after it in the same period; a period without any
+    row has none. So a price needs no table of its own and no join.
     """
     by_day = Window.partitionBy(*series).orderBy(day_col)
-    # Rows multiply after this shuffle, so its size says nothing about the work:
-    # a fixed number of partitions keeps AQE from merging them.
-    sales = sales.repartition(shuffle_partitions(sales.sparkSession), *series)
-    others = [c for c in sales.columns if c not in (day_col, value_col)]
+    if not laid_out:
+        # Rows multiply after this shuffle, so its size says nothing about the work:
+        # a fixed number of partitions keeps AQE from merging them.
+        sales = sales.repartition(shuffle_partitions(sales.sparkSession), *series)
+    carried = (period.column, period.value) if period else ()
+    others = [c for c in sales.columns if c not in (day_col, value_col, *carried)]
     kind = sales.schema[value_col].dataType
     runs = sales.select(
         *others,
         F.col(day_col).alias("_at"),
         F.col(value_col).alias("_value"),
+        *[x for c in carried for x in (F.col(c).alias(f"_own_{c}"), F.lead(c).over(by_day).alias(f"_next_{c}"))],
         F.when(F.lag(day_col).over(by_day).isNull(), F.lit(lo)).otherwise(F.greatest(day_col, F.lit(lo))).alias("_from"),
         F.least(F.coalesce(F.lead(day_col).over(by_day) - 1, F.lit(hi)), F.lit(hi)).alias("_to"),
     ).where("_from <= _to")
-    return runs.withColumn(day_col, F.explode(F.sequence("_from", "_to"))).select(
+    days = runs.withColumn(day_col, F.explode(F.sequence("_from", "_to")))
+    columns = [
         *others,
         day_col,
         F.when(F.col(day_col) == F.col("_at"), F.col("_value")).otherwise(F.lit(0).cast(kind)).alias(value_col),
+    ]
+    if period:
+        days = days.withColumn("_period", period.of_day(F.col(day_col)))
+        near = [
+            F.when(F.col("_period") == F.col(f"_{side}_{period.column}"), F.col(f"_{side}_{period.value}")) for side in ("own", "next")
+        ]
+        columns += [F.col("_period").alias(period.column), F.coalesce(*near).alias(period.value)]
+    return days.select(*columns)
+
+
+def value_steps(
+    rows: DataFrame,
+    first_day: Callable[[Column], Column],
+    last_day: Callable[[Column], Column],
+    lo: int,
+    hi: int,
+    period: str = "wm_yr_wk",
+    value: str = "sell_price",
+    keys: Sequence[str] = HIERARCHY_COLS,
+    day_col: str = "day_num",
+) -> DataFrame:
+    """The value of each series as steps: the days of lo..hi on which it changes, and by how much.
+
+    ``rows`` carry a value of their period. Equal values in adjoining periods
+    are one run; a run costs two steps whatever its length. Values of many
+    series add up by adding their steps, so a level's summed price on any day
+    is a running sum, without a row per series and day.
+    """
+    by_period = Window.partitionBy(*SERIES_COLS).orderBy(period)
+    spans = (
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*keys, period)
+        .agg(F.first(value).alias("_v"))
+        .withColumns({"_first": F.greatest(first_day(F.col(period)), F.lit(lo)), "_last": last_day(F.col(period))})
+        .where((F.col("_last") >= lo) & (F.col("_first") <= hi))
+    )
+    joined = F.lag("_last").over(by_period) == F.col("_first") - 1
+    goes_on = F.lead("_first").over(by_period) == F.col("_last") + 1
+    rise = F.col("_v") - F.when(joined, F.lag("_v").over(by_period)).otherwise(0.0)
+    steps = F.array(
+        F.struct(F.col("_first").alias("day"), F.col("_rise").alias("step")),
+        F.when(~F.col("_goes_on"), F.struct((F.col("_last") + 1).alias("day"), (-F.col("_v")).alias("step"))),
+    )
+    return (
+        spans.withColumns({"_rise": rise, "_goes_on": F.coalesce(goes_on, F.lit(False))})
+        .select(*keys, F.explode(F.array_compact(steps)).alias("_s"))
+        .select(*keys, F.col("_s.day").cast("int").alias(day_col), F.col("_s.step").alias("price_step"))
+        .where((F.col("price_step") != 0) & (F.col(day_col) <= hi))
     )
 
 

@@ -31,9 +31,17 @@ def bottom_up(val: DataFrame, pred_col: str = "pred") -> DataFrame:
     return val.withColumn("pred_bu", F.col(pred_col))
 
 
-def historical_proportions(train: DataFrame, actual_col: str = "sales") -> DataFrame:
-    """Mean sales of each series as a share of the sum of means."""
-    means = train.groupBy(*SERIES_COLS).agg(F.avg(actual_col).alias("avg_sales"))
+def _mean(column: str, n_days: int | None) -> Column:
+    """Mean over the rows, or over a stated number of days of which a sparse panel has only some."""
+    return F.avg(column) if n_days is None else F.sum(column) / F.lit(n_days)
+
+
+def historical_proportions(train: DataFrame, actual_col: str = "sales", n_days: int | None = None) -> DataFrame:
+    """Mean sales of each series as a share of the sum of means.
+
+    ``n_days`` is the number of training days where zero rows are left out.
+    """
+    means = train.groupBy(*SERIES_COLS).agg(_mean(actual_col, n_days).alias("avg_sales"))
     total = means.agg(F.sum("avg_sales")).scalar()
     return means.withColumn("proportion", F.try_divide("avg_sales", total))
 
@@ -54,20 +62,21 @@ def top_down(
     pred_col: str = "pred",
     actual_col: str = "sales",
     day_col: str = "day_num",
+    n_days: int | None = None,
 ) -> DataFrame:
     """Split the national forecast by historical proportions.
 
     A series without training rows has no proportion and gets NULL.
     """
-    shares = historical_proportions(train, actual_col).drop("avg_sales")
+    shares = historical_proportions(train, actual_col, n_days).drop("avg_sales")
     national = _per_day(national_forecast(val, pred_col, day_col), split)
     joined = val.join(shares, list(SERIES_COLS), "left").join(national, day_col, "left")
     return joined.withColumn("pred_td", F.col("national_pred") * F.col("proportion")).drop("national_pred", "proportion")
 
 
-def within_dept_proportions(train: DataFrame, actual_col: str = "sales") -> DataFrame:
+def within_dept_proportions(train: DataFrame, actual_col: str = "sales", n_days: int | None = None) -> DataFrame:
     """Mean sales of an item as a share of its store's department; 0 for a dead department."""
-    means = train.groupBy("store_id", "dept_id", "item_id").agg(F.avg(actual_col).alias("avg_sales"))
+    means = train.groupBy("store_id", "dept_id", "item_id").agg(_mean(actual_col, n_days).alias("avg_sales"))
     totals = means.groupBy("store_id", "dept_id").agg(F.sum("avg_sales").alias("dept_total"))
     share = F.coalesce(F.try_divide("avg_sales", "dept_total"), F.lit(0.0))
     return means.join(totals, ["store_id", "dept_id"]).withColumn("within_prop", share)
@@ -209,6 +218,7 @@ def mintrace_ols(
     actual_col: str = "sales",
     base: DataFrame | None = None,
     day_col: str = "day_num",
+    n_days: int | None = None,
 ) -> DataFrame:
     """Reconcile at store x department, then split to items by their usual share.
 
@@ -218,7 +228,7 @@ def mintrace_ols(
     base = base_forecasts(val, pred_col, day_col) if base is None else base
     reconciled = project_ols(base, bottom_nodes(val), split, day_col)
     reconciled = reconciled.select("store_id", "dept_id", day_col, F.col("x").alias("_dept_pred"))
-    shares = within_dept_proportions(train, actual_col).select("store_id", "dept_id", "item_id", "within_prop")
+    shares = within_dept_proportions(train, actual_col, n_days).select("store_id", "dept_id", "item_id", "within_prop")
     joined = val.join(shares, ["store_id", "dept_id", "item_id"], "left").join(
         reconciled, ["store_id", "dept_id", day_col], "left"
     )
@@ -226,6 +236,9 @@ def mintrace_ols(
     return joined.withColumn("pred_mint", pred).drop("_dept_pred", "within_prop")
 
 
-def reconcile_all(train: DataFrame, val: DataFrame, split: Split, pred_col: str = "pred") -> DataFrame:
+def reconcile_all(
+    train: DataFrame, val: DataFrame, split: Split, pred_col: str = "pred", n_days: int | None = None
+) -> DataFrame:
     """Bottom-up, top-down and minimum-trace columns side by side."""
-    return mintrace_ols(train, top_down(train, bottom_up(val, pred_col), split, pred_col), split, pred_col)
+    down = top_down(train, bottom_up(val, pred_col), split, pred_col, n_days=n_days)
+    return mintrace_ols(train, down, split, pred_col, n_days=n_days)

@@ -26,11 +26,9 @@ CTES = {
         FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
         JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "bounds": f"""
-        SELECT min(day_num) AS first_day, max(day_num) AS last_day,
-               greatest(min(day_num), max(day_num) - {WINDOW_DAYS} + 1) AS lo,
-               greatest(min(day_num), max(day_num) - {WINDOW_DAYS} + 1) + {BURN_IN} AS train_from,
-               max(day_num) - {HORIZON_DAYS} AS train_to, max(day_num) - {HORIZON_DAYS} + 1 AS val_from
-        FROM lines""",
+        SELECT first_day, last_day, lo, lo + {BURN_IN} AS train_from,
+               last_day - {HORIZON_DAYS} AS train_to, last_day - {HORIZON_DAYS} + 1 AS val_from
+        FROM (SELECT min(day_num) AS first_day, max(day_num) AS last_day, min(day_num) AS lo FROM lines)""",
     "daily": f"SELECT {KEYS}, day_num, CAST(sum(units) AS INTEGER) AS sales FROM lines GROUP BY {KEYS}, day_num",
     "prices": """
         SELECT store_id, item_id, CAST(11101 + (day_num - 1) // 7 AS INTEGER) AS wm_yr_wk,
@@ -56,16 +54,16 @@ CTES = {
                coalesce(c.event_name_1, 'NoEvent') AS event_name_1, sell_price
         FROM dense LEFT JOIN calendar c ON c.day_num = dense.day_num
         LEFT JOIN prices USING (store_id, item_id, wm_yr_wk)""",
-    "priced": f"""
-        SELECT {KEYS}, day_num, sales, rmean, coalesce(sell_price, 0) AS sell_price
-        FROM (SELECT *, avg(sales) OVER (PARTITION BY store_id, item_id ORDER BY day_num
-                                         ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS rmean
-              FROM panel)""",
     "train": f"""
-        SELECT {KEYS}, day_num, sales, sell_price FROM priced, bounds
+        SELECT {KEYS}, day_num, sales, coalesce(sell_price, 0) AS sell_price FROM panel, bounds
         WHERE day_num BETWEEN train_from AND train_to""",
+    # The forecast looks back 28 days, so earlier ones need not be numbered.
     "val": f"""
-        SELECT {KEYS}, day_num, sales, rmean AS pred FROM priced, bounds WHERE day_num >= val_from""",
+        SELECT {KEYS}, day_num, sales, pred
+        FROM (SELECT {KEYS}, day_num, sales, val_from, avg(sales) OVER (PARTITION BY store_id, item_id ORDER BY day_num
+                     ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS pred
+              FROM dense, bounds WHERE day_num >= val_from - 28)
+        WHERE day_num >= val_from""",
     "shares": """
         SELECT store_id, item_id, avg_sales, avg_sales / nullif(sum(avg_sales) OVER (), 0) AS proportion
         FROM (SELECT store_id, item_id, avg(sales) AS avg_sales FROM train GROUP BY ALL)""",
@@ -103,6 +101,10 @@ def _by_level(source: str, sums: str) -> str:
     )
 
 
+CTES["price_moves"] = f"""
+    SELECT {KEYS}, day_num
+    FROM (SELECT *, lag(sell_price, 1, 0) OVER (PARTITION BY store_id, item_id ORDER BY day_num) AS prev FROM train)
+    WHERE sell_price <> prev"""
 CTES["train_levels"] = _by_level("train", "sum(sales) AS y, sum(sell_price) AS p, sum(sales * sell_price) AS revenue")
 CTES["scale"] = f"""
     SELECT level, {KEYS}, CASE WHEN m = 0 THEN 1.0 ELSE m END AS scale, dollars, revenue
@@ -140,21 +142,21 @@ CTES["nodes"] = "SELECT DISTINCT state_id, store_id, dept_id FROM series"
 CTES["rounded_base"] = "SELECT * REPLACE (round(round(yhat, 9)) AS yhat) FROM base"
 
 
-def _with(body: str) -> str:
+def _with(body: str, tables: dict[str, str]) -> str:
     """Prefix the CTEs a statement needs, in order of definition."""
     words = set(re.findall(r"[a-z_0-9]+", body))
     needed: set[str] = set()
-    todo = [c for c in CTES if c in words]
+    todo = [c for c in tables if c in words]
     while todo:
         c = todo.pop()
         if c not in needed:
             needed.add(c)
-            inner = set(re.findall(r"[a-z_0-9]+", CTES[c]))
-            todo += [d for d in CTES if d in inner and d != c]
-    order = [c for c in CTES if c in needed]
+            inner = set(re.findall(r"[a-z_0-9]+", tables[c]))
+            todo += [d for d in tables if d in inner and d != c]
+    order = [c for c in tables if c in needed]
     if not order:
         return body
-    return "WITH " + ", ".join(f"{c} AS MATERIALIZED ({CTES[c]})" for c in order) + " " + body
+    return "WITH " + ", ".join(f"{c} AS MATERIALIZED ({tables[c]})" for c in order) + " " + body
 
 
 _W = "OVER (PARTITION BY store_id, item_id ORDER BY day_num"
@@ -315,10 +317,15 @@ _BODIES = {
         SELECT CASE WHEN day_num < val_from THEN 'train' ELSE 'validation' END AS part, count(*) AS n_rows,
                min(day_num) AS first_day, max(day_num) AS last_day
         FROM dense, bounds WHERE day_num >= train_from GROUP BY 1""",
-    "level_aggregate": f"""
-        SELECT level, {KEYS}, count(*) AS n_days, sum(s) AS total_sales, max(s) AS peak_sales
-        FROM ({_by_level('dense', 'sum(sales) AS s')}) GROUP BY level, {KEYS}""",
-    "store_dept_daily": "SELECT store_id, dept_id, day_num, sum(sales) AS sales FROM dense GROUP BY ALL",
+    "level_aggregate": _by_level("daily", "CAST(sum(sales) AS BIGINT) AS sales"),
+    "store_dept_daily": "SELECT store_id, dept_id, day_num, CAST(sum(sales) AS BIGINT) AS sales FROM daily GROUP BY ALL",
+    # A day has a row where any series of the level changes its price.
+    "price_of_levels": f"""
+        SELECT l.level, {', '.join('l.' + k.strip() for k in KEYS.split(','))}, l.day_num, round6(l.price) + 0.0 AS price
+        FROM ({_by_level('train', 'sum(sell_price) AS price')}) l
+        JOIN (SELECT level, {KEYS}, day_num FROM ({_by_level('price_moves', 'count(*) AS n')})) c
+        ON l.level = c.level AND l.day_num = c.day_num AND {' AND '.join(f'l.{k.strip()} IS NOT DISTINCT FROM c.{k.strip()}' for k in KEYS.split(','))}
+        WHERE l.level <= 9""",
     "series_scale": f"SELECT level, {KEYS}, {_r('scale')} FROM scale",
     "series_weights": f"SELECT level, {KEYS}, round6(dollars / sum(dollars) OVER (PARTITION BY level)) AS weight FROM scale",
     "revenue_weights": f"SELECT level, {KEYS}, round6(revenue / sum(revenue) OVER (PARTITION BY level)) AS weight FROM scale",
@@ -426,9 +433,7 @@ _BODIES = {
         SELECT store_id, min(state_id) AS state_id, count(DISTINCT state_id) AS n_states FROM series GROUP BY store_id""",
     "key_coverage_days": _coverage("d", "'d_' || day_num AS k FROM daily", "d AS k FROM calendar"),
     "key_coverage_stores": _coverage("store_id", "store_id AS k FROM daily", "store_id AS k FROM prices"),
-    "key_coverage_items": _coverage(
-        "item_id", "item_id AS k FROM daily, bounds WHERE day_num >= lo", "item_id AS k FROM prices"
-    ),
+    "key_coverage_items": _coverage("item_id", "item_id AS k FROM daily", "item_id AS k FROM prices"),
     "key_coverage_weeks": _coverage("wm_yr_wk", "wm_yr_wk AS k FROM calendar", "wm_yr_wk AS k FROM prices"),
     "priced_never_sold_in_window": """
         SELECT DISTINCT store_id, item_id FROM prices p WHERE NOT EXISTS (
@@ -470,6 +475,17 @@ _BODIES = {
 _BODIES["dtype_summary"] = f"""
     SELECT dtype, count(*) AS n_columns, CAST(sum(nulls) AS BIGINT) AS nulls FROM ({_BODIES['column_profile']}) GROUP BY dtype"""
 
+# Queries over the last 500 days: the same statements over tables cut to them.
+_WINDOWED = (
+    "panel_long", "unpivot_wide", "lag_features", "rolling_features", "price_momentum", "priced_never_sold_in_window",
+    "window_presence", "size_estimate", "csv_load", "metrics_report",
+)
+
+
+def _windowed_tables() -> dict[str, str]:
+    """The tables with the bounds of the window, for those that depend on the bounds."""
+    cut = {"bounds": CTES["bounds"].replace("min(day_num) AS lo", f"greatest(min(day_num), max(day_num) - {WINDOW_DAYS} + 1) AS lo")}
+    return {**CTES, **cut}
 
 
 def _expand_round6(sql: str) -> str:
@@ -484,4 +500,6 @@ def _expand_round6(sql: str) -> str:
     return sql
 
 
-ORACLES = {name: _expand_round6(_with(body)) for name, body in _BODIES.items()}
+ORACLES = {
+    name: _expand_round6(_with(body, _windowed_tables() if name in _WINDOWED else CTES)) for name, body in _BODIES.items()
+}

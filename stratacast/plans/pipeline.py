@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,20 @@ from stratacast.constants import HIERARCHY_COLS, LAGS, RUN_NAMES
 from stratacast.operators.features import add_rolling, build_features, with_day_number
 from stratacast.operators.hierarchy import check_dependencies
 from stratacast.operators.metrics import coherence_error, combine, score_series, wrmsse_levels
-from stratacast.operators.panel import attach_prices, build_panel, densify, fill_price, slice_window, wide_to_long
+from stratacast.operators.panel import (
+    attach_calendar,
+    build_panel,
+    densify,
+    fill_price,
+    name_missing_events,
+    slice_window,
+    value_steps,
+    wide_to_long,
+)
 from stratacast.operators.reconcile import reconcile_all
 from stratacast.session import scratch_path
 from stratacast.sources import runlog
-from stratacast.sources.retail import Retail, week_of
+from stratacast.sources.retail import WEEKLY_PRICE, Retail, first_day_of_week, last_day_of_week
 from stratacast.sources.tables import load_all_data, read_parquet, write_panel
 from stratacast.split import Split
 
@@ -86,47 +96,93 @@ def score_methods(
 
 def retail_sales(retail: Retail) -> DataFrame:
     """Dense daily sales of the window with ids only."""
-    return densify(retail.sales, retail.window_from, retail.last_day)
+    return retail_priced(retail).drop("wm_yr_wk", "sell_price")
+
+
+def retail_priced(retail: Retail, first_day: int | None = None) -> DataFrame:
+    """Dense daily sales with week and price, from one pass over the order lines and one shuffle."""
+    first = retail.window_from if first_day is None else first_day
+    return densify(retail.priced_sales, first, retail.last_day, period=WEEKLY_PRICE, laid_out=True)
 
 
 def retail_panel(retail: Retail) -> DataFrame:
     """Dense sales with calendar and prices."""
-    dense = retail_sales(retail).withColumn("d", F.concat(F.lit("d_"), "day_num"))
-    return build_panel(dense, retail.calendar, retail.prices)
+    dense = retail_priced(retail).withColumn("d", F.concat(F.lit("d_"), "day_num"))
+    return attach_calendar(dense, name_missing_events(retail.calendar))
 
 
 def retail_features(retail: Retail) -> DataFrame:
     return build_features(retail_panel(retail))
 
 
-def retail_predicted(retail: Retail, keep_burn_in: bool = False) -> DataFrame:
-    """Ids, day, sales, price and a forecast without training: the mean of the 28 days before.
+def retail_validation(retail: Retail) -> DataFrame:
+    """Ids, day, sales, price and a forecast without training, on the validation days: the mean of the 28 days before.
 
-    Only what scoring needs is built, on narrow rows: the windows run before
-    the price is joined.
+    Only the days that the forecast looks back on are filled in.
     """
-    dense = add_rolling(retail_sales(retail), (NAIVE_WINDOW,))
-    first = retail.window_from if keep_burn_in else retail.window_from + max(LAGS)
-    kept = dense.where(F.col("day_num") >= first).withColumn("wm_yr_wk", week_of(F.col("day_num")))
-    rows = fill_price(attach_prices(kept, retail.prices))
+    split = retail.split(burn_in=max(LAGS))
+    dense = retail_priced(retail, max(retail.window_from, split.val_from - NAIVE_WINDOW))
+    return _naive(dense, split.val_from)
+
+
+def retail_predicted(retail: Retail) -> DataFrame:
+    """The same on every day after the burn-in, for phases that take a dense table."""
+    return _naive(retail_priced(retail), retail.window_from + max(LAGS))
+
+
+def _naive(dense: DataFrame, first: int) -> DataFrame:
+    rows = fill_price(add_rolling(dense, (NAIVE_WINDOW,)).where(F.col("day_num") >= first))
     return rows.select(*HIERARCHY_COLS, "day_num", "sales", "sell_price", F.col(f"sales_rmean_{NAIVE_WINDOW}").alias("pred"))
 
 
-def retail_scored(retail: Retail) -> tuple[DataFrame, DataFrame, Split]:
-    """Training rows, validation rows with the forecast, and the split.
+@dataclass(frozen=True)
+class Study:
+    """What scoring needs: sparse training rows, dense validation rows with forecasts, and the prices as steps."""
+
+    train: DataFrame
+    val: DataFrame
+    price_steps: DataFrame
+    split: Split
+
+    def series(self, methods: Sequence[str] = ("pred",), weights: str = "level") -> DataFrame:
+        rows = combine(self.train, self.val, methods)
+        return score_series(rows, self.split, methods, weights, price_steps=self.price_steps)
+
+    def scores(self, methods: Sequence[str] = METHODS) -> tuple[DataFrame, DataFrame]:
+        """Level scores and coherence errors of several methods, each in one pass."""
+        return wrmsse_levels(self.series(methods), self.split, methods), coherence_error(self.val, methods)
+
+
+def sparse_training(sales: DataFrame, split: Split) -> DataFrame:
+    """Training rows with sales, and a zero row per series, which shows that the series is there.
+
+    A series that sold only outside the training days has the zero row alone.
+    """
+    cols = [*HIERARCHY_COLS, "day_num", "sales", "sell_price"]
+    mark = sales.select(*HIERARCHY_COLS).distinct().select(
+        *HIERARCHY_COLS, F.lit(split.train_from).alias("day_num"), F.lit(0).alias("sales"), F.lit(0.0).alias("sell_price")
+    )
+    return split.train(sales).select(*cols).unionByName(mark)
+
+
+def retail_study(retail: Retail) -> Study:
+    """The naive forecast over the whole window, ready for scoring.
 
-    The rows are stored once: scoring and reconciliation read them several
-    times, and would repeat the windows each time. The parts lie in folders of
-    their own, so a pass over the short validation part reads nothing else.
+    Sales and weekly prices are stored once, a row per series and day with a
+    sale; zero rows exist only on the validation days.
     """
     split = retail.split(burn_in=max(LAGS))
-    part = F.when(F.col("day_num") < split.val_from, "train").otherwise("validation")
-    rows = stored(retail_predicted(retail).withColumn("part", part), "predicted", "part")
-    train, val = (rows.where(F.col("part") == p).drop("part") for p in ("train", "validation"))
-    return train.drop("pred"), val, split
+    sales = stored(retail.priced_sales, "sales")
+    first = max(retail.window_from, split.val_from - NAIVE_WINDOW)
+    dense = add_rolling(densify(sales.drop("wm_yr_wk", "sell_price"), first, retail.last_day), (NAIVE_WINDOW,))
+    val = split.validation(dense.withColumnRenamed(f"sales_rmean_{NAIVE_WINDOW}", "pred"))
+    val = stored(val.select(*HIERARCHY_COLS, "day_num", "sales", "pred"), "validation")
+    steps = value_steps(sales, first_day_of_week, last_day_of_week, split.train_from, split.train_to)
+    return Study(sparse_training(sales, split), val, steps, split)
 
 
-def retail_reconciled(retail: Retail) -> tuple[DataFrame, DataFrame, Split]:
+def retail_reconciled(retail: Retail) -> Study:
     """The same with the three reconciled forecasts, stored before scoring."""
-    train, val, split = retail_scored(retail)
-    return train, stored(reconcile_all(train, val, split), "reconciled"), split
+    study = retail_study(retail)
+    val = reconcile_all(study.train, study.val, study.split, n_days=study.split.train_days)
+    return replace(study, val=stored(val, "reconciled"))

@@ -1,8 +1,10 @@
 """One runnable query per operator, over the retail tables of a folder.
 
-The panel is the last 500 days of the history for every series, as the batch
-phases define it; audits read whole tables. Computed fractions are rounded to
-six decimals so that results compare across engines.
+Queries read the whole history. Those marked ``windowed`` take its last 500
+days, the slice that the batch phases cut for the panel, its features and the
+models: their operator is the slice, or they return or train on a row per
+series and day of it. Computed fractions are rounded to six decimals so that
+results compare across engines.
 """
 
 from __future__ import annotations
@@ -10,11 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratacast.constants import HIERARCHY_COLS, LAGS, LEVELS, METHOD_NAMES, ROLLING_WINDOWS, SERIES_COLS
+from stratacast.constants import HIERARCHY_COLS, LAGS, LEVELS, METHOD_NAMES, ROLLING_WINDOWS, SERIES_COLS, WINDOW_DAYS
 from stratacast.functions.columns import clip_at_zero, round_cents
 from stratacast.operators import features as ft
 from stratacast.operators import forecasting as fc
@@ -27,7 +29,7 @@ from stratacast.operators import reports as rp
 from stratacast.plans import pipeline as pl
 from stratacast.session import scratch_path, tune
 from stratacast.sources import runlog, tables
-from stratacast.sources.retail import Retail, state_names
+from stratacast.sources.retail import Retail, first_day_of_week, last_day_of_week, state_names
 
 STORE = "NATION_1"
 ITEM = "Brand#1|ECONOMY"
@@ -35,17 +37,25 @@ KEYS = list(HIERARCHY_COLS)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(build: Callable[[Retail], DataFrame]):
-    """Register a function of the retail tables under its own name."""
-
+def _register(build: Callable[[Retail], DataFrame], window_days: int | None):
     @wraps(build)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return _rounded(build(Retail.open(tune(spark), folder)))
+        return _rounded(build(Retail.open(tune(spark), folder, window_days)))
 
     QUERIES[build.__name__] = run
     return run
 
 
+def query(build: Callable[[Retail], DataFrame]):
+    """Register a function of the retail tables under its own name."""
+    return _register(build, None)
+
+
+def windowed(build: Callable[[Retail], DataFrame]):
+    """The same over the sliding window of the batch phases."""
+    return _register(build, WINDOW_DAYS)
+
+
 def _round6(value):
     """Six decimals; the nudge keeps summation noise from deciding exact halves."""
     return F.round(value + F.signum(value) * F.lit(1e-10), 6) + F.lit(0.0)
@@ -62,13 +72,13 @@ def _rounded(df: DataFrame) -> DataFrame:
 # Panel construction
 
 
-@query
+@windowed
 def panel_long(r: Retail) -> DataFrame:
     cols = ("store_id", "item_id", "day_num", "sales", "wm_yr_wk", "wday", "event_name_1", "sell_price")
     return pl.retail_panel(r).select(*cols)
 
 
-@query
+@windowed
 def unpivot_wide(r: Retail) -> DataFrame:
     """The wide table, sliced to the window and turned back to long."""
     wide = wide_sales(r, r.window_from, r.last_day)
@@ -94,13 +104,13 @@ def price_join_coverage(r: Retail) -> DataFrame:
 # Features
 
 
-@query
+@windowed
 def lag_features(r: Retail) -> DataFrame:
     out = ft.drop_burn_in(ft.add_lags(pl.retail_sales(r)))
     return out.select(*SERIES_COLS, "day_num", *[f"sales_lag_{k}" for k in LAGS])
 
 
-@query
+@windowed
 def rolling_features(r: Retail) -> DataFrame:
     out = ft.add_rolling(pl.retail_sales(r))
     return out.select(*SERIES_COLS, "day_num", *[f"sales_{s}_{k}" for k in ROLLING_WINDOWS for s in ("rmean", "rstd")])
@@ -115,10 +125,9 @@ def calendar_features(r: Retail) -> DataFrame:
     return ft.add_calendar_features(days).select("d", "state_id", "day_num", *cols)
 
 
-@query
+@windowed
 def price_momentum(r: Retail) -> DataFrame:
-    dense = pl.retail_sales(r).withColumn("d", F.concat(F.lit("d_"), "day_num"))
-    panel = ft.add_price_momentum(pa.build_panel(dense, r.calendar, r.prices))
+    panel = ft.add_price_momentum(pl.retail_priced(r))
     return panel.select(*SERIES_COLS, "day_num", "sell_price", "price_momentum")
 
 
@@ -149,60 +158,60 @@ def train_val_split(r: Retail) -> DataFrame:
 
 @query
 def level_aggregate(r: Retail) -> DataFrame:
-    """Daily sums at all levels, summed up per key."""
-    daily = hi.aggregate_levels(pl.retail_sales(r), ["sales"])
-    return daily.groupBy("level", *KEYS).agg(
-        F.count("*").alias("n_days"), F.sum("sales").alias("total_sales"), F.max("sales").alias("peak_sales")
-    )
+    """Daily sums at all levels; days without a sale of the level have no row."""
+    return hi.aggregate_levels(r.sales, ["sales"])
 
 
 @query
 def store_dept_daily(r: Retail) -> DataFrame:
     """One level on its own, per day."""
-    return hi.aggregate_level(pl.retail_sales(r), ["store_id", "dept_id"], ["sales"])
+    return hi.aggregate_level(r.sales, ["store_id", "dept_id"], ["sales"])
 
 
-def _series(r: Retail) -> tuple[DataFrame, object]:
-    train, val, split = pl.retail_scored(r)
-    return me.score_series(me.combine(train, val, ["pred"]), split, dense=True), split
+@query
+def price_of_levels(r: Retail) -> DataFrame:
+    """Summed price of the levels on the days on which it changes, from the steps of the series."""
+    split = r.split(burn_in=max(LAGS))
+    steps = pa.value_steps(r.priced_sales, first_day_of_week, last_day_of_week, split.train_from, split.train_to)
+    daily = hi.aggregate_levels(steps, ["price_step"])
+    upto = Window.partitionBy("level", *KEYS).orderBy("day_num").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select("level", *KEYS, "day_num", F.sum("price_step").over(upto).alias("price")).where("level <= 9")
 
 
 @query
 def series_scale(r: Retail) -> DataFrame:
-    series, _ = _series(r)
-    return series.select("level", *KEYS, "scale")
+    return pl.retail_study(r).series().select("level", *KEYS, "scale")
 
 
 @query
 def series_weights(r: Retail) -> DataFrame:
-    series, _ = _series(r)
-    return me.series_weights(series).select("level", *KEYS, "weight")
+    return me.series_weights(pl.retail_study(r).series()).select("level", *KEYS, "weight")
 
 
 @query
 def revenue_weights(r: Retail) -> DataFrame:
     """Weights from price times sales of the bottom series."""
-    train, val, split = pl.retail_scored(r)
-    series = me.score_series(me.combine(train, val, ["pred"]), split, weights="revenue", dense=True)
-    return me.series_weights(series).select("level", *KEYS, "weight")
+    return me.series_weights(pl.retail_study(r).series(weights="revenue")).select("level", *KEYS, "weight")
 
 
 @query
 def series_rmsse(r: Retail) -> DataFrame:
-    series, split = _series(r)
-    return series.select("level", *KEYS, me.rmsse(series, split).alias("rmsse"))
+    study = pl.retail_study(r)
+    series = study.series()
+    return series.select("level", *KEYS, me.rmsse(series, study.split).alias("rmsse"))
 
 
 @query
 def wrmsse_levels(r: Retail) -> DataFrame:
-    series, split = _series(r)
-    return me.wrmsse_levels(series, split).drop("method")
+    study = pl.retail_study(r)
+    return me.wrmsse_levels(study.series(), study.split).drop("method")
 
 
 @query
 def wrmsse_overall(r: Retail) -> DataFrame:
-    series, split = _series(r)
-    return me.wrmsse_overall(me.wrmsse_levels(series, split)).select(F.col("wrmsse").alias("wrmsse_overall"))
+    study = pl.retail_study(r)
+    levels = me.wrmsse_levels(study.series(), study.split)
+    return me.wrmsse_overall(levels).select(F.col("wrmsse").alias("wrmsse_overall"))
 
 
 @query
@@ -219,8 +228,7 @@ def unmatched_series(r: Retail) -> DataFrame:
 
 def _validation(r: Retail) -> tuple[DataFrame, object]:
     """Validation rows with the forecast, unstored: read once."""
-    split = r.split(burn_in=max(LAGS))
-    return split.validation(pl.retail_predicted(r)), split
+    return pl.retail_validation(r), r.split(burn_in=max(LAGS))
 
 
 @query
@@ -232,19 +240,21 @@ def bottom_up_levels(r: Retail) -> DataFrame:
 @query
 def hist_proportions(r: Retail) -> DataFrame:
     split = r.split(burn_in=max(LAGS))
-    return rc.historical_proportions(split.train(pl.retail_sales(r)))
+    train = pl.sparse_training(r.priced_sales, split)
+    return rc.historical_proportions(train, n_days=split.train_days)
 
 
 @query
 def top_down(r: Retail) -> DataFrame:
-    train, val, split = pl.retail_scored(r)
-    return rc.top_down(train, val, split).select(*SERIES_COLS, "day_num", "pred_td")
+    s = pl.retail_study(r)
+    return rc.top_down(s.train, s.val, s.split, n_days=s.split.train_days).select(*SERIES_COLS, "day_num", "pred_td")
 
 
 @query
 def within_dept_proportions(r: Retail) -> DataFrame:
     split = r.split(burn_in=max(LAGS))
-    return rc.within_dept_proportions(split.train(pl.retail_sales(r)))
+    train = pl.sparse_training(r.priced_sales, split)
+    return rc.within_dept_proportions(train, n_days=split.train_days)
 
 
 @query
@@ -260,8 +270,8 @@ def base_forecasts(r: Retail) -> DataFrame:
 
 @query
 def mintrace_coherent(r: Retail) -> DataFrame:
-    train, val, split = pl.retail_scored(r)
-    return rc.mintrace_ols(train, val, split).select(*SERIES_COLS, "day_num", "pred_mint")
+    s = pl.retail_study(r)
+    return rc.mintrace_ols(s.train, s.val, s.split, n_days=s.split.train_days).select(*SERIES_COLS, "day_num", "pred_mint")
 
 
 def _whole_units(base: DataFrame) -> DataFrame:
@@ -272,7 +282,8 @@ def _whole_units(base: DataFrame) -> DataFrame:
 @query
 def mintrace_incoherent(r: Retail) -> DataFrame:
     """Base forecasts rounded to whole units at every level, so that levels disagree."""
-    _, val, split = pl.retail_scored(r)
+    val, split = _validation(r)
+    val = pl.stored(val, "validation")
     base = pl.stored(_whole_units(rc.base_forecasts(val)), "base")
     solved = rc.project_ols(base, rc.bottom_nodes(val), split)
     return solved.select("store_id", "dept_id", "day_num", F.col("x").alias("reconciled"))
@@ -280,8 +291,7 @@ def mintrace_incoherent(r: Retail) -> DataFrame:
 
 @query
 def coherence_error(r: Retail) -> DataFrame:
-    _, val, _ = pl.retail_reconciled(r)
-    return rp.display_method(me.coherence_error(val, pl.METHODS))
+    return rp.display_method(me.coherence_error(pl.retail_reconciled(r).val, pl.METHODS))
 
 
 @query
@@ -339,16 +349,14 @@ def sorted_stores(r: Retail) -> DataFrame:
 
 @query
 def pred_range(r: Retail) -> DataFrame:
-    _, val, _ = pl.retail_reconciled(r)
-    return rp.display_method(me.prediction_range(val, pl.METHODS))
+    return rp.display_method(me.prediction_range(pl.retail_reconciled(r).val, pl.METHODS))
 
 
 # Comparison of methods
 
 
 def _study(r: Retail) -> tuple[DataFrame, DataFrame]:
-    train, val, split = pl.retail_reconciled(r)
-    levels, coherence = pl.score_methods(train, val, split)
+    levels, coherence = pl.retail_reconciled(r).scores()
     # Reports read the 48 score rows several times.
     return pl.stored(levels, "scores"), coherence
 
@@ -388,7 +396,7 @@ def method_ranks(r: Retail) -> DataFrame:
     return rp.display_method(rp.method_ranks(overall, exact))
 
 
-@query
+@windowed
 def metrics_report(r: Retail) -> DataFrame:
     """The study written to the run log and reported from it."""
     split = r.split(burn_in=max(LAGS))
@@ -401,10 +409,10 @@ def metrics_report(r: Retail) -> DataFrame:
 
 @query
 def run_log_roundtrip(r: Retail) -> DataFrame:
-    series, split = _series(r)
+    study = pl.retail_study(r)
     log = scratch_path(r.spark, "runlog")
-    runlog.append(runlog.metric_rows(me.wrmsse_levels(series, split)), log)
-    runlog.append(runlog.param_rows(r.spark, "baseline_lgbm_sku", {"horizon": split.horizon}), log)
+    runlog.append(runlog.metric_rows(me.wrmsse_levels(study.series(), study.split)), log)
+    runlog.append(runlog.param_rows(r.spark, "baseline_lgbm_sku", {"horizon": study.split.horizon}), log)
     read = runlog.read(r.spark, log)
     return read.select("run_name", "kind", "key", F.col("value").cast("double").alias("value"))
 
@@ -477,9 +485,7 @@ def key_coverage_stores(r: Retail) -> DataFrame:
 
 @query
 def key_coverage_items(r: Retail) -> DataFrame:
-    """Items sold in the window against items priced over the whole history."""
-    window = r.sales.where(F.col("day_num") >= r.window_from)
-    return qu.key_coverage(window, r.prices, "item_id")
+    return qu.key_coverage(r.sales, r.prices, "item_id")
 
 
 @query
@@ -487,23 +493,23 @@ def key_coverage_weeks(r: Retail) -> DataFrame:
     return qu.key_coverage(r.calendar, r.prices, "wm_yr_wk")
 
 
-@query
+@windowed
 def priced_never_sold_in_window(r: Retail) -> DataFrame:
     window = r.sales.where(F.col("day_num") >= r.window_from)
     return qu.keys_only_in(r.prices, window, SERIES_COLS)
 
 
-@query
+@windowed
 def window_presence(r: Retail) -> DataFrame:
     return qu.window_presence(r.sales, r.window_from, r.last_day)
 
 
-@query
+@windowed
 def size_estimate(r: Retail) -> DataFrame:
     return qu.size_estimate(r.sales, r.last_day - r.window_from + 1)
 
 
-@query
+@windowed
 def csv_load(r: Retail) -> DataFrame:
     """The five tables as CSV files, read back with their schemas."""
     folder = write_csv_tables(r, scratch_path(r.spark, "csv"))
@@ -597,21 +603,21 @@ def _trained(r: Retail, stage):
     return fc.train(train, stage, scratch_path(r.spark, "means")), features, val
 
 
-@query
+@windowed
 def train_score(r: Retail) -> DataFrame:
     """The linear Tweedie model, its error per store."""
     model, _, val = _trained(r, fc.linear_stage())
     return rp.store_report(model.predict(val))
 
 
-@query
+@windowed
 def feature_importance_topk(r: Retail) -> DataFrame:
     """Inputs of the converged linear model by coefficient; trees stay a stage of the library."""
     model, _, _ = _trained(r, fc.linear_stage())
     return fc.top_features(model.feature_importance())
 
 
-@query
+@windowed
 def horizon_forecast(r: Retail) -> DataFrame:
     """28 days ahead for every series."""
     model, features, _ = _trained(r, fc.linear_stage())

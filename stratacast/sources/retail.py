@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratacast.constants import HIERARCHY_COLS, WINDOW_DAYS
+from stratacast.constants import HIERARCHY_COLS, SERIES_COLS
+from stratacast.operators.panel import Period
+from stratacast.session import shuffle_partitions
 from stratacast.split import Split
 
 EPOCH = "1995-01-01"
@@ -30,6 +32,17 @@ def week_of(day):
     return F.lit(FIRST_WEEK) + F.floor((day - 1) / 7).cast("int")
 
 
+def first_day_of_week(week):
+    return (week - FIRST_WEEK) * 7 + 1
+
+
+def last_day_of_week(week):
+    return (week - FIRST_WEEK) * 7 + 7
+
+
+WEEKLY_PRICE = Period("wm_yr_wk", "sell_price", week_of)
+
+
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line with hierarchy ids, day, units and cents."""
     lines = _table(spark, folder, "lineitem")
@@ -65,6 +78,26 @@ def daily_sales(lines: DataFrame) -> DataFrame:
     return lines.groupBy(*HIERARCHY_COLS, "day_num").agg(F.sum("units").cast("int").alias("sales"))
 
 
+def priced_sales(lines: DataFrame) -> DataFrame:
+    """Units per series and day with the mean price of the week, in one pass over the lines.
+
+    The lines are laid out by series once; the sums per day, the price of the
+    week and whatever windows follow use that layout. The number of partitions
+    is fixed, since days without a sale are filled in after it.
+    """
+    laid_out = lines.repartition(shuffle_partitions(lines.sparkSession), *SERIES_COLS)
+    daily = laid_out.groupBy(*HIERARCHY_COLS, "day_num").agg(
+        F.sum("units").cast("int").alias("sales"), F.sum("units").alias("_units"), F.sum("cents").alias("_cents")
+    )
+    week = Window.partitionBy(*SERIES_COLS, "wm_yr_wk")
+    return (
+        daily.withColumn("wm_yr_wk", week_of(F.col("day_num")))
+        .withColumns({"_week_cents": F.sum("_cents").over(week), "_week_units": F.sum("_units").over(week)})
+        .withColumn("sell_price", F.expr("_week_cents div _week_units") / F.lit(100.0))
+        .drop("_units", "_cents", "_week_cents", "_week_units")
+    )
+
+
 def weekly_prices(lines: DataFrame) -> DataFrame:
     """Mean unit price of a series in a week, in whole cents; unsold weeks have no row."""
     weekly = lines.groupBy("store_id", "item_id", week_of(F.col("day_num")).alias("wm_yr_wk"))
@@ -111,11 +144,11 @@ class Retail:
     folder: str
     first_day: int
     last_day: int
-    window_days: int | None = WINDOW_DAYS
+    window_days: int | None = None
 
     @classmethod
-    def open(cls, spark: SparkSession, folder: str, window_days: int | None = WINDOW_DAYS) -> Retail:
-        """Reads the day range; ``window_days=None`` takes the whole history."""
+    def open(cls, spark: SparkSession, folder: str, window_days: int | None = None) -> Retail:
+        """Reads the day range; ``window_days`` keeps that many last days, by default all."""
         bounds = _table(spark, folder, "lineitem").select(_ship_day().alias("day")).agg(F.min("day"), F.max("day"))
         first, last = bounds.first()
         return cls(spark, folder, first, last, window_days)
@@ -132,6 +165,10 @@ class Retail:
     def sales(self) -> DataFrame:
         return daily_sales(self.lines)
 
+    @property
+    def priced_sales(self) -> DataFrame:
+        return priced_sales(self.lines)
+
     @property
     def prices(self) -> DataFrame:
         return weekly_prices(self.lines)

@@ -27,6 +27,10 @@ class Split:
     def horizon(self) -> int:
         return self.val_to - self.val_from + 1
 
+    @property
+    def train_days(self) -> int:
+        return self.train_to - self.train_from + 1
+
     def train(self, df: DataFrame, day_col: str = "day_num") -> DataFrame:
         return df.where(F.col(day_col).between(self.train_from, self.train_to))
 

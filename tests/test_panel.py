@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratacast.operators import panel as pa
+from stratacast.plans import pipeline as pl
+from stratacast.sources.retail import WEEKLY_PRICE, Retail, first_day_of_week, last_day_of_week, week_of
 from tests.helpers import series_frame, values
 
 
@@ -66,3 +68,46 @@ def test_calendar_and_price_joins(spark):
     assert got == [("NoEvent", 2.5), ("FEAST", None), (None, None)]
     assert values(pa.fill_price(pa.build_panel(sales, cal, prices)), "sell_price") == [2.5, 0.0, 0.0]
     assert values(pa.fill_price(sales), "sell_price") == [1.0, 1.0, 1.0]
+
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("window", [None, 70])
+def test_prices_of_one_pass_equal_the_joined_ones(spark, window):
+    r = Retail.open(spark, FOLDER, window)
+    dense = pa.densify(r.sales, r.window_from, r.last_day).withColumn("wm_yr_wk", week_of(F.col("day_num")))
+    joined = pa.attach_prices(dense, r.prices)
+    cols = ["store_id", "item_id", "day_num", "sales", "wm_yr_wk", "sell_price"]
+    one_pass = pl.retail_priced(r).select(*cols)
+    assert one_pass.count() == joined.count()
+    assert one_pass.exceptAll(joined.select(*cols)).count() == 0
+    assert one_pass.where("sell_price IS NOT NULL").count() > 0
+
+
+def test_panel_reads_and_moves_the_lines_once(spark):
+    plan = pl.retail_panel(Retail.open(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("Exchange hashpartitioning(store_id") == 1
+    assert "SortMergeJoin" not in plan and "Python" not in plan
+
+
+def test_value_steps_add_up_to_the_value_of_each_day(spark):
+    rows = [("S", "I", w, p) for w, p in ((1, 2.0), (2, 2.0), (3, 5.0), (6, 1.0), (7, None), (8, 0.0), (9, 4.0))]
+    rows += [("S", "J", 2, 3.0), ("S", "K", 1, 9.0)]
+    df = spark.createDataFrame(rows, "store_id string, item_id string, week int, price double")
+    first, last = (lambda w: (w - 1) * 7 + 1), (lambda w: w * 7)
+    steps = pa.value_steps(df, first, last, 10, 60, "week", "price", ("store_id", "item_id"))
+    told = [tuple(r) for r in steps.collect()]
+    for item in "IJK":
+        for day in range(10, 61):
+            want = {w: p or 0.0 for s, i, w, p in rows if i == item}.get((day - 1) // 7 + 1, 0.0)
+            assert sum(step for _, i, d, step in told if i == item and d <= day) == want, (item, day)
+    assert all(10 <= d <= 60 and step != 0 for _, _, d, step in told)
+    # Equal prices of adjoining weeks cost nothing.
+    assert len([t for t in told if t[1] == "I"]) == 6
+
+
+def test_weeks_cover_their_days():
+    assert [first_day_of_week(11101), last_day_of_week(11101)] == [1, 7]
+    assert WEEKLY_PRICE.column == "wm_yr_wk"

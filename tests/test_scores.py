@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from stratacast.constants import LEVELS
 from stratacast.operators import hierarchy as hi
 from stratacast.operators import metrics as me
+from stratacast.operators.panel import value_steps
 from stratacast.split import Split
 from tests.helpers import random_panel, series_frame
 
@@ -106,3 +107,22 @@ def test_dependency_check(spark):
     bad = series_frame(spark, [1], state="A").union(series_frame(spark, [1], state="B", item="I2"))
     with pytest.raises(ValueError, match="state_id"):
         hi.check_dependencies(bad)
+
+
+@pytest.mark.parametrize("weights", ["level", "revenue"])
+def test_sparse_panel_with_price_steps_scores_like_a_dense_one(spark, weights):
+    """Prices differ by week and series and are missing in some; only rows with sales are kept."""
+    df = random_panel(spark).withColumn("week", F.floor((F.col("day_num") - 1) / 7).cast("int"))
+    price = F.pmod(F.xxhash64("store_id", "item_id", "week"), F.lit(4)) * 1.25
+    df = with_pred(df.withColumn("sell_price", F.when(price > 0, price)))
+    weekly = df.select(*hi.KEYS, "week", "sell_price").distinct()
+    steps = value_steps(weekly, lambda w: w * 7 + 1, lambda w: w * 7 + 7, SPLIT.train_from, SPLIT.train_to, "week")
+    mark = F.col("day_num") == SPLIT.train_from
+    sparse = df.where(mark | (F.col("sales") > 0) | (F.col("day_num") >= SPLIT.val_from))
+    full = me.series_weights(me.score_series(df, SPLIT, weights=weights))
+    thin = me.series_weights(me.score_series(sparse, SPLIT, weights=weights, price_steps=steps))
+    cols = ["level", *hi.KEYS]
+    want = {tuple(r[c] for c in cols): (r["weight"], r["scale"], r["sse_pred"]) for r in full.collect()}
+    got = {tuple(r[c] for c in cols): (r["weight"], r["scale"], r["sse_pred"]) for r in thin.collect()}
+    assert got == {k: pytest.approx(v, rel=1e-9, abs=1e-12) for k, v in want.items()} and len(got) == len(want)
+    assert level_scores(sparse, weights=weights, price_steps=steps) == pytest.approx(level_scores(df, weights=weights))

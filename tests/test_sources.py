@@ -82,8 +82,8 @@ def test_predictions_are_keyed(spark, tmp_path):
 
 
 def test_whole_history_is_the_default_of_none(spark):
-    whole = Retail.open(spark, FOLDER, window_days=None)
-    assert whole.window_from == whole.first_day
+    whole = Retail.open(spark, FOLDER)
+    assert whole.window_days is None and whole.window_from == whole.first_day
 
 
 def test_panel_layout(spark, tmp_path):
