@@ -84,7 +84,7 @@ class DemandModel:
     def predict(self, df: DataFrame) -> DataFrame:
         """Add ``pred``, never negative; the frame keeps its own columns."""
         keep = df.columns
-        stages = self.pipeline.transform(encode(_with_inputs(df, self.numeric), self.means, self.categories))
+        stages = self.pipeline.transform(encode(with_inputs(df, self.numeric), self.means, self.categories))
         return stages.select(*keep, clip_at_zero(F.col("prediction")).alias("pred"))
 
     def feature_importance(self) -> DataFrame:
@@ -116,7 +116,7 @@ class DemandModel:
         )
 
 
-def _with_inputs(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+def with_inputs(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """Inputs under their own names with an ``_in`` suffix, so nothing is overwritten."""
     cells = {
         f"{c}_in": F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0)
@@ -162,7 +162,7 @@ def train(df: DataFrame, stage, means_path: str) -> DemandModel:
     numeric, categories = prepare_features(df)
     target_means(df, categories).write.mode("overwrite").parquet(means_path)
     means = df.sparkSession.read.parquet(means_path)
-    encoded = encode(_with_inputs(df, numeric), means, categories)
+    encoded = encode(with_inputs(df, numeric), means, categories)
     cols = [f"{c}_in" for c in numeric] + [f"{c}_enc" for c in categories]
     pipeline = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="inputs"), stage])
     # Kept over the iterations of the fit; lost partitions are rebuilt from files.
