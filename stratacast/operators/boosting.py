@@ -316,7 +316,7 @@ class BoostedModel:
         return [*[f"{c}_in" for c in self.numeric], *[f"{c}_enc" for c in self.categories]]
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``pred``, the mean under the model; the frame keeps its own columns."""
+        """Add ``pred``, the mean under the model; the frame keeps its own columns, a ``pred`` among them is replaced."""
         start, trees, depth = self.start, self.trees, self.depth
         tables = []
         for leaves in self.leaves:
@@ -332,7 +332,7 @@ class BoostedModel:
                 score += table[_walk(splits, depth, lambda i, r, t: x[i, r] > t, x.shape[1])]
             return pd.Series(np.exp(score))
 
-        keep = df.columns
+        keep = [c for c in df.columns if c != "pred"]
         encoded = encode(with_inputs(df, self.numeric), self.means, self.categories)
         return encoded.select(*keep, mean(*[F.col(f"`{c}`") for c in self.columns]).alias("pred"))
 

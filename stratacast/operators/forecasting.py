@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -70,40 +72,46 @@ def encode(df: DataFrame, means: DataFrame, categories: Sequence[str]) -> DataFr
 
 @dataclass
 class DemandModel:
-    """A fitted pipeline with the encodings it was trained on."""
+    """A fitted pipeline with the encodings it was trained on, and the spread of each input."""
 
     pipeline: PipelineModel
     means: DataFrame
     numeric: list[str]
     categories: list[str]
+    spreads: list[float]
 
     @property
     def inputs(self) -> list[str]:
         return [*self.numeric, *[f"{c}_enc" for c in self.categories]]
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Add ``pred``, never negative; the frame keeps its own columns."""
-        keep = df.columns
+        """Add ``pred``, never negative; the frame keeps its own columns, a ``pred`` among them is replaced."""
+        keep = [c for c in df.columns if c != "pred"]
         stages = self.pipeline.transform(encode(with_inputs(df, self.numeric), self.means, self.categories))
         return stages.select(*keep, clip_at_zero(F.col("prediction")).alias("pred"))
 
     def feature_importance(self) -> DataFrame:
-        """Gain importance of trees, or absolute coefficients of the linear model."""
+        """Gain importance of trees; for the linear model, what one standard deviation of an input moves.
+
+        A bare coefficient would depend on the unit of its input.
+        """
         last = self.pipeline.stages[-1]
         spark = self.means.sparkSession
-        weights = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-        rows = [(n, abs(float(w))) for n, w in zip(self.inputs, weights.toArray())]
+        if hasattr(last, "featureImportances"):
+            weights = list(last.featureImportances.toArray())
+        else:
+            weights = [w * s for w, s in zip(last.coefficients.toArray(), self.spreads, strict=True)]
+        rows = [(n, abs(float(w))) for n, w in zip(self.inputs, weights, strict=True)]
         return spark.createDataFrame(rows, "feature string, importance double")
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         self.means.write.mode("overwrite").parquet(f"{path}/means")
         spark = self.means.sparkSession
-        names = [("numeric", i, c) for i, c in enumerate(self.numeric)]
-        names += [("category", i, c) for i, c in enumerate(self.categories)]
-        spark.createDataFrame(names, "kind string, position int, name string").coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/inputs"
-        )
+        names = [*[("numeric", c) for c in self.numeric], *[("category", c) for c in self.categories]]
+        rows = [(kind, i, c, s) for i, ((kind, c), s) in enumerate(zip(names, self.spreads, strict=True))]
+        kinds = "kind string, position int, name string, spread double"
+        spark.createDataFrame(rows, kinds).coalesce(1).write.mode("overwrite").parquet(f"{path}/inputs")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> DemandModel:
@@ -113,6 +121,7 @@ class DemandModel:
             spark.read.parquet(f"{path}/means"),
             [r["name"] for r in rows if r["kind"] == "numeric"],
             [r["name"] for r in rows if r["kind"] == "category"],
+            [r["spread"] for r in rows],
         )
 
 
@@ -169,22 +178,43 @@ def train(df: DataFrame, stage, means_path: str) -> DemandModel:
     rows = encoded.select("sales", *cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = pipeline.fit(rows)
+        spreads = rows.agg(*[F.coalesce(F.stddev_samp(f"`{c}`"), F.lit(0.0)) for c in cols]).first()
     finally:
         rows.unpersist()
-    return DemandModel(fitted, means, numeric, categories)
+    return DemandModel(fitted, means, numeric, categories, list(spreads))
+
+
+def fingerprint(df: DataFrame, stage) -> str:
+    """What a model depends on: the rows in any order, their columns, and the settings of the learner.
+
+    Rows are hashed where they are; their number, sum and exclusive-or are
+    added up, so neither the order nor the layout matters and equal rows count.
+    """
+    columns = sorted(df.columns)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns])
+    sums = df.agg(F.count("*"), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row), F.bit_xor(F.xxhash64(row))).first()
+    settings = sorted((p.name, str(v)) for p, v in stage.extractParamMap().items() if p.name not in ("predictionCol",))
+    told = json.dumps([type(stage).__name__, settings, sorted(df.dtypes), [str(x) for x in sums]])
+    return hashlib.sha256(told.encode()).hexdigest()
 
 
-def train_or_reuse(train_df: DataFrame, val_df: DataFrame, stage, folder: str) -> tuple[DemandModel, DataFrame]:
-    """Use the stored model and predictions when both exist, else make and store them."""
+def train_or_reuse(train_df: DataFrame, val_df: DataFrame, stage, folder: str) -> tuple[DemandModel, DataFrame, bool]:
+    """The stored model and predictions if they come from these rows and settings, else new ones.
+
+    Returns model, predictions, and whether they were reused. The fingerprint
+    of training and validation rows is written last, so a run that broke off
+    leaves nothing that would be reused.
+    """
     spark = train_df.sparkSession
-    model_path, pred_path = f"{folder}/model", f"{folder}/predictions"
-    if path_exists(spark, f"{model_path}/inputs") and path_exists(spark, pred_path):
-        model = DemandModel.load(spark, model_path)
-    else:
-        model = train(train_df, stage, f"{folder}/means")
-        model.save(model_path)
-        write_predictions(model.predict(val_df), pred_path)
-    return model, spark.read.parquet(pred_path)
+    model_path, pred_path, mark = f"{folder}/model", f"{folder}/predictions", f"{folder}/fingerprint"
+    wanted = f"{fingerprint(train_df, stage)}-{fingerprint(val_df, stage)}"
+    if path_exists(spark, mark) and [r[0] for r in spark.read.parquet(mark).collect()] == [wanted]:
+        return DemandModel.load(spark, model_path), spark.read.parquet(pred_path), True
+    model = train(train_df, stage, f"{folder}/means")
+    model.save(model_path)
+    write_predictions(model.predict(val_df), pred_path)
+    spark.createDataFrame([(wanted,)], "fingerprint string").coalesce(1).write.mode("overwrite").parquet(mark)
+    return model, spark.read.parquet(pred_path), False
 
 
 def top_features(importance: DataFrame, n: int = 15) -> DataFrame:

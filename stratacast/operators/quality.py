@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,10 @@ _FLOATS = (T.FloatType, T.DoubleType)
 _WIDTHS = {"tinyint": 1, "boolean": 1, "smallint": 2, "int": 4, "float": 4, "date": 4, "bigint": 8, "double": 8,
            "timestamp": 8, "timestamp_ntz": 8}
 
+_FACT = "_at int, value string, rows long, nulls long, lo double, hi double, bytes long"
+# Different values that a task holds before it hands them on.
+_HELD_VALUES = 500_000
+
 
 def _tick(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -184,6 +190,126 @@ def dataset_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return total.withColumn("table_name", F.coalesce("table_name", F.lit("TOTAL"))).withColumn("pct_saved", saved)
 
 
+def column_facts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table and column: type, rows, nulls, distinct values, range of numbers, bytes of text.
+
+    Each table is read once, however many columns it has. A task keeps counts
+    and the different values of every column, and hands on the values, not the
+    rows; a wide table is never turned into one row per cell. Distinct values
+    are exact. A table without rows has its columns with counts of 0.
+    """
+    result = None
+    for name, df in tables.items():
+        schema = df.sparkSession.createDataFrame(
+            [(i, c, t) for i, (c, t) in enumerate(df.dtypes)], "_at int, column_name string, dtype string"
+        )
+        plain = [F.col(f"`{c}`").cast("string" if t.startswith("decimal") else t).alias(f"c{i}") for i, (c, t) in enumerate(df.dtypes)]
+        told = df.select(*plain).mapInArrow(_facts_of_batches, _FACT)
+        values = told.groupBy("_at", "value").agg(
+            F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("bytes").alias("bytes")
+        )
+        facts = values.groupBy("_at").agg(
+            F.sum("rows").alias("n_rows"),
+            F.sum("nulls").alias("nulls"),
+            F.count("value").alias("n_distinct"),
+            F.min("lo").alias("min_value"),
+            F.max("hi").alias("max_value"),
+            F.sum("bytes").alias("text_bytes"),
+        )
+        none = F.lit(0).cast("long")
+        one = schema.join(facts, "_at", "left").select(
+            F.lit(name).alias("table_name"),
+            (F.col("_at") + 1).alias("position"),
+            "column_name",
+            "dtype",
+            *[F.coalesce(c, none).alias(c) for c in ("n_rows", "nulls", "n_distinct")],
+            "min_value",
+            "max_value",
+            F.coalesce("text_bytes", none).alias("text_bytes"),
+        )
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+def _facts_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per column the counts of the task, and its different values; values are handed on when many are held."""
+    seen: dict[int, set[str]] = {}
+    counts: dict[int, list] = {}
+    held = 0
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True))
+        kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["_at", "value", "rows", "nulls", "lo", "hi", "bytes"])
+
+    def values() -> pa.RecordBatch:
+        return rows([(i, v, 0, 0, None, None, 0) for i, found in seen.items() for v in found])
+
+    for batch in batches:
+        for i, column in enumerate(batch.columns):
+            total = counts.setdefault(i, [0, 0, None, None, 0])
+            total[0] += len(column)
+            total[1] += column.null_count
+            different = pc.unique(column.drop_null())
+            if pa.types.is_integer(column.type) or pa.types.is_floating(column.type):
+                ends = pc.min_max(different)
+                for at, pick, end in ((2, min, ends["min"].as_py()), (3, max, ends["max"].as_py())):
+                    if end is not None:
+                        total[at] = float(end) if total[at] is None else pick(total[at], float(end))
+            elif pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                total[4] += pc.sum(pc.binary_length(column)).as_py() or 0
+            found = seen.setdefault(i, set())
+            held -= len(found)
+            found.update(different.cast(pa.string()).to_pylist())
+            held += len(found)
+        if held > _HELD_VALUES:
+            yield values()
+            seen, held = {}, 0
+    if held:
+        yield values()
+    if counts:
+        yield rows([(i, None, n, nulls, lo, hi, size) for i, (n, nulls, lo, hi, size) in counts.items()])
+
+
+def narrowing(facts: DataFrame) -> DataFrame:
+    """The facts with the narrowest type that holds a column's values, and whether a text is categorical."""
+    is_int = F.col("dtype").isin("tinyint", "smallint", "int", "bigint")
+    is_float = F.col("dtype").isin("float", "double")
+    fits = [F.when(is_int & (F.col("min_value") >= lo) & (F.col("max_value") <= hi), F.lit(t)) for t, lo, hi in INT_RANGES]
+    to_float = F.when(is_float & (F.col("min_value") >= -FLOAT_MAX) & (F.col("max_value") <= FLOAT_MAX), F.lit("float"))
+    few = F.col("n_distinct") < CATEGORY_RATIO * F.col("n_rows")
+    return facts.withColumns(
+        {
+            "to_type": F.coalesce(*fits, to_float, F.col("dtype")),
+            "is_categorical": F.coalesce((F.col("dtype") == "string") & few, F.lit(False)),
+        }
+    )
+
+
+def dataset_sizes(facts: DataFrame) -> DataFrame:
+    """Rows, columns and bytes before and after narrowing per table, with a total row, from the facts alone."""
+    n = F.col("n_rows")
+    code = F.when(F.col("n_distinct") <= 127, 1).when(F.col("n_distinct") <= 32767, 2).otherwise(4)
+    text = F.col("dtype") == "string"
+    before = F.when(text, F.col("text_bytes")).otherwise(F.coalesce(lookup("dtype", _WIDTHS), F.lit(0)) * n)
+    after = (
+        F.when(F.col("is_categorical"), code * n)
+        .when(text, F.col("text_bytes"))
+        .otherwise(F.coalesce(lookup("to_type", _WIDTHS), F.lit(0)) * n)
+    )
+    per_table = narrowing(facts).groupBy("table_name").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.count("*").alias("n_columns"),
+        F.sum(before).cast("long").alias("bytes_before"),
+        F.sum(after).cast("long").alias("bytes_after"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n_rows", "n_columns", "bytes_before", "bytes_after")]
+    saved = F.expr("100 * try_divide(bytes_before - bytes_after, bytes_before)")
+    total = per_table.rollup("table_name").agg(*sums)
+    return total.withColumn("table_name", F.coalesce("table_name", F.lit("TOTAL"))).withColumn("pct_saved", saved)
+
+
 def key_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """How the distinct values of a join key overlap, in one row.
 

@@ -113,5 +113,6 @@ def metrics_report(scores: DataFrame) -> DataFrame:
     return wide.withColumn("is_best", first)
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 3, order: Sequence[str] = ()) -> DataFrame:
+    """A few rows to look at: any, or the first of an order."""
+    return (df.orderBy(*order) if order else df).limit(n)

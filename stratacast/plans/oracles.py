@@ -472,13 +472,104 @@ _BODIES = {
         WHERE day_num = last_day""",
 }
 
+_FIRST_INPUTS = ("sales_lag_7", "sales_lag_14", "sales_lag_28", "wday", "month", "is_event", "snap")
+# Power 1.1: first derivative mu^0.9 - y mu^-0.1, second 0.9 mu^0.9 + 0.1 y mu^-0.1, at the same mean for all rows.
+_BODIES["boosted_first_gains"] = f"""
+    SELECT feature, threshold, CAST(nl AS BIGINT) AS n_left,
+           round(power(gl, 2) / hl + power(gr, 2) / hr - power(gl + gr, 2) / (hl + hr) + 1e-7, 3) AS gain
+    FROM (SELECT feature, value AS threshold, nl, n - nl AS nr, nl * a - sl * b AS gl, (n - nl) * a - (s - sl) * b AS gr,
+                 0.9 * nl * a + 0.1 * sl * b AS hl, 0.9 * (n - nl) * a + 0.1 * (s - sl) * b AS hr, last
+          FROM (SELECT feature, value, sum(k) OVER (PARTITION BY feature ORDER BY value) AS nl, sum(y) OVER (PARTITION BY feature ORDER BY value) AS sl,
+                       sum(k) OVER (PARTITION BY feature) AS n, sum(y) OVER (PARTITION BY feature) AS s,
+                       value = max(value) OVER (PARTITION BY feature) AS last,
+                       power(sum(y) OVER (PARTITION BY feature) / sum(k) OVER (PARTITION BY feature), 0.9) AS a,
+                       power(sum(y) OVER (PARTITION BY feature) / sum(k) OVER (PARTITION BY feature), -0.1) AS b
+                FROM (SELECT feature, value, CAST(count(*) AS DOUBLE) AS k, CAST(sum(sales) AS DOUBLE) AS y FROM (
+                      UNPIVOT (SELECT sales, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _FIRST_INPUTS)}
+                               FROM (SELECT *, {_LAG_COLS}, {_SNAP} AS snap, CASE WHEN event_name_1 = 'NoEvent' THEN 0 ELSE 1 END AS is_event
+                                     FROM panel JOIN states USING (state_id)), bounds
+                               WHERE day_num BETWEEN train_from AND train_to)
+                      ON {', '.join(_FIRST_INPUTS)} INTO NAME feature VALUE value) GROUP BY feature, value)))
+    WHERE NOT last AND nl >= 100 AND nr >= 100"""
+_BODIES["features_in_steps"] = _BODIES["feature_table"]
+_BODIES["forecast_lookup"] = f"""
+    SELECT store_id, item_id, CAST(h AS INTEGER) AS h, CAST(last_day + h AS INTEGER) AS day_num, round_even(pred, 2) AS forecast
+    FROM val, bounds, (SELECT unnest(generate_series(1, {HORIZON_DAYS})) AS h)
+    WHERE day_num = last_day AND store_id = '{STORE}' AND item_id = '{ITEM}'
+    UNION ALL SELECT '{STORE}', 'unknown', NULL, NULL, NULL"""
+_BODIES["model_reuse"] = f"""
+    SELECT step, step = 'reordered' AS reused, n_train, CAST(s + CASE step WHEN 'changed' THEN 1 ELSE 0 END AS BIGINT) AS sales, n_preds
+    FROM (SELECT count(*) FILTER (day_num < val_from + 14) AS n_train, sum(sales) FILTER (day_num < val_from + 14) AS s,
+                 count(*) FILTER (day_num >= val_from + 14) AS n_preds FROM val, bounds),
+         (SELECT unnest(['first', 'reordered', 'changed']) AS step)"""
+_BODIES["preview"] = f"SELECT {KEYS}, day_num, sales FROM daily ORDER BY store_id, item_id, day_num LIMIT 3"
+
+
+def _fact(table: str, source: str, position: int, column: str, dtype: str) -> str:
+    """One row of facts of a column; ``source`` gives its rows."""
+    head = f"SELECT '{table}' AS table_name, CAST({position} AS INTEGER) AS position, '{column}' AS column_name, '{dtype}' AS dtype, "
+    c = f'"{column}"'
+    head += f"count(*) AS n_rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_distinct, "
+    none = "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, "
+    if dtype == "string":
+        return head + none + f"CAST(coalesce(sum(strlen({c})), 0) AS BIGINT) AS text_bytes, 'string' AS to_type, count(DISTINCT {c}) < 0.5 * count(*) AS is_categorical FROM {source}"
+    if dtype == "date":
+        return head + none + f"CAST(0 AS BIGINT) AS text_bytes, 'date' AS to_type, false AS is_categorical FROM {source}"
+    return head + _range(c, dtype) + f" FROM {source}"
+
+
+def _range(c: str, dtype: str) -> str:
+    to = "'float'" if dtype == "double" else (
+        f"CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint' WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint' ELSE 'int' END"
+    )
+    ends = ", ".join(f"round6(CAST({f}({c}) AS DOUBLE)) + 0.0 AS {f}_value" for f in ("min", "max"))
+    return f"{ends}, CAST(0 AS BIGINT) AS text_bytes, {to} AS to_type, false AS is_categorical"
+
+
+def _wide_facts(table: str, cut: str) -> str:
+    """Ids of the wide table, and one row per day column."""
+    ids = "(SELECT item_id || '_' || store_id AS id, * FROM series)"
+    parts = [_fact(table, ids, i, c, "string") for i, c in enumerate(["id", *[c for c, _ in _ID_COLS]], 1)]
+    parts.append(
+        f"SELECT '{table}', CAST(7 + day_num - lo AS INTEGER), 'd_' || day_num, 'bigint', count(*), 0, count(DISTINCT sales), {_range('sales', 'bigint')} "
+        f"FROM dense, bounds WHERE {cut} GROUP BY day_num, lo"
+    )
+    return " UNION ALL ".join(parts)
+
+
+_CAL_ALL = [("date", "date"), *_CAL_COLS]
+_FACTS = " UNION ALL ".join(
+    [_fact("calendar", "calendar", i, c, t) for i, (c, t) in enumerate(_CAL_ALL, 1)]
+    + [
+        _fact("calendar", f'(SELECT CAST(dom <= 10 + {i} AS INTEGER) AS "snap_{s}" FROM calendar)', len(_CAL_ALL) + 1 + i, f"snap_{s}", "int")
+        for i, s in enumerate(_STATES)
+    ]
+    + [_wide_facts("sales_validation", "day_num <= train_to"), _wide_facts("sales_evaluation", "true")]
+    + [_fact("sell_prices", "prices", i, c, t) for i, (c, t) in enumerate(_PRICE_COLS, 1)]
+    + [_fact("sample_submission", "(SELECT item_id || '_' || store_id AS id FROM series)", 1, "id", "string")]
+    + [_fact("sample_submission", f'(SELECT 0.0::DOUBLE AS "F{h}" FROM series)', 1 + h, f"F{h}", "double") for h in range(1, 29)]
+)
+_BODIES["audit_columns"] = _FACTS
+_WIDTH = "CASE {t} WHEN 'tinyint' THEN 1 WHEN 'smallint' THEN 2 WHEN 'bigint' THEN 8 WHEN 'double' THEN 8 ELSE 4 END"
+_BODIES["audit_datasets"] = f"""
+    SELECT coalesce(table_name, 'TOTAL') AS table_name, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_columns) AS BIGINT) AS n_columns,
+           CAST(sum(b) AS BIGINT) AS bytes_before, CAST(sum(a) AS BIGINT) AS bytes_after,
+           round6(100.0 * CAST(sum(b) - sum(a) AS DOUBLE) / CAST(sum(b) AS DOUBLE)) + 0.0 AS pct_saved
+    FROM (SELECT table_name, max(n_rows) AS n_rows, count(*) AS n_columns,
+                 sum(CASE WHEN dtype = 'string' THEN text_bytes ELSE n_rows * {_WIDTH.format(t='dtype')} END) AS b,
+                 sum(CASE WHEN is_categorical THEN n_rows * CASE WHEN n_distinct <= 127 THEN 1 WHEN n_distinct <= 32767 THEN 2 ELSE 4 END
+                          WHEN dtype = 'string' THEN text_bytes ELSE n_rows * {_WIDTH.format(t='to_type')} END) AS a
+          FROM ({_FACTS}) GROUP BY table_name)
+    GROUP BY ROLLUP (table_name)"""
+
 _BODIES["dtype_summary"] = f"""
     SELECT dtype, count(*) AS n_columns, CAST(sum(nulls) AS BIGINT) AS nulls FROM ({_BODIES['column_profile']}) GROUP BY dtype"""
 
 # Queries over the last 500 days: the same statements over tables cut to them.
 _WINDOWED = (
     "panel_long", "unpivot_wide", "lag_features", "rolling_features", "price_momentum", "priced_never_sold_in_window",
-    "window_presence", "size_estimate", "csv_load", "metrics_report",
+    "window_presence", "size_estimate", "csv_load", "metrics_report", "boosted_first_gains", "features_in_steps",
+    "audit_columns", "audit_datasets",
 )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -26,7 +27,7 @@ from stratacast.operators.reconcile import reconcile_all
 from stratacast.session import scratch_path
 from stratacast.sources import runlog
 from stratacast.sources.retail import WEEKLY_PRICE, Retail, first_day_of_week, last_day_of_week
-from stratacast.sources.tables import load_all_data, read_parquet, write_panel
+from stratacast.sources.tables import SERIES_BUCKETS, load_all_data, read_series_table, write_series_table
 from stratacast.split import Split
 
 METHODS = tuple(RUN_NAMES)
@@ -43,18 +44,23 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def run_panel(spark: SparkSession, csv_folder: str, out: str, first_day: int, last_day: int) -> DataFrame:
-    """CSV tables to the long panel with calendar and prices."""
+def run_panel(spark: SparkSession, csv_folder: str, out: str, first_day: int, last_day: int, buckets: int = SERIES_BUCKETS) -> DataFrame:
+    """CSV tables to the long panel with calendar and prices, stored by series."""
     tables = load_all_data(spark, csv_folder)
     long = wide_to_long(slice_window(tables["sales_validation"], first_day, last_day))
-    write_panel(build_panel(long, tables["calendar"], tables["sell_prices"]), out)
-    return read_parquet(spark, out)
+    write_series_table(build_panel(long, tables["calendar"], tables["sell_prices"]), out, buckets)
+    return read_series_table(spark, out)
 
 
-def run_features(spark: SparkSession, panel_path: str, out: str) -> DataFrame:
-    """Panel to the feature table, burn-in dropped."""
-    write_panel(build_features(read_parquet(spark, panel_path)), out)
-    return read_parquet(spark, out)
+def run_features(spark: SparkSession, panel_path: str, out: str, buckets: int = SERIES_BUCKETS) -> DataFrame:
+    """Stored panel to the feature table, burn-in dropped; the windows read it as it lies."""
+    write_series_table(run_features_table(read_series_table(spark, panel_path)), out, buckets)
+    return read_series_table(spark, out)
+
+
+def run_features_table(panel: DataFrame) -> DataFrame:
+    """The feature table of a panel, not stored."""
+    return build_features(panel)
 
 
 def run_study(
@@ -63,23 +69,28 @@ def run_study(
     predict: Callable[[DataFrame, DataFrame], DataFrame],
     log_path: str,
     params: dict[str, object] | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Predict, reconcile three ways, score everything, append to the run log.
+    """Predict, reconcile three ways, score everything, store it in the run log.
 
     ``predict`` takes the training and validation rows and returns validation
-    rows with ``pred``. Returns the level scores of the four methods.
+    rows with ``pred``; ``params`` are the parameters of its model. Under one
+    ``run_id`` a study is logged once, however often it runs. Returns the level
+    scores of the four methods.
     """
-    spark, run_id = features.sparkSession, runlog.new_run()
+    spark, began = features.sparkSession, time.time()
     features = fill_price(with_day_number(features))
     check_dependencies(features)
     train = split.train(features)
-    val = reconcile_all(train, stored(predict(train, split.validation(features)), "predicted"), split)
-    val = stored(val, "reconciled")
+    predicted = stored(predict(train, split.validation(features)), "predicted")
+    counts: dict[str, object] = {"training_time_sec": round(time.time() - began, 3)}
+    val = stored(reconcile_all(train, predicted, split), "reconciled")
     levels, coherence = score_methods(train, val, split, METHODS)
     levels = stored(levels, "scores")
-    runlog.append(runlog.metric_rows(levels, coherence), log_path, run_id)
-    counts = {"n_train_rows": train.count(), "n_validation_rows": val.count()}
-    runlog.append(runlog.param_rows(spark, RUN_NAMES["pred"], counts | dict(params or {})), log_path, run_id)
+    counts |= {"train_rows": train.count(), "val_rows": val.count()} | dict(params or {})
+    rows = runlog.metric_rows(levels, coherence).unionByName(runlog.error_rows(val))
+    rows = rows.unionByName(runlog.method_rows(spark, METHODS)).unionByName(runlog.param_rows(spark, RUN_NAMES["pred"], counts))
+    runlog.append(rows, log_path, run_id)
     return levels
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from stratacast.constants import HIERARCHY_COLS, LAGS, LEVELS, METHOD_NAMES, ROLLING_WINDOWS, SERIES_COLS, WINDOW_DAYS
 from stratacast.functions.columns import clip_at_zero, round_cents
+from stratacast.operators import boosting as bo
 from stratacast.operators import features as ft
 from stratacast.operators import forecasting as fc
 from stratacast.operators import hierarchy as hi
@@ -26,6 +27,7 @@ from stratacast.operators import panel as pa
 from stratacast.operators import quality as qu
 from stratacast.operators import reconcile as rc
 from stratacast.operators import reports as rp
+from stratacast.plans import increments as inc
 from stratacast.plans import pipeline as pl
 from stratacast.session import scratch_path, tune
 from stratacast.sources import runlog, tables
@@ -134,7 +136,10 @@ def price_momentum(r: Retail) -> DataFrame:
 @query
 def feature_table(r: Retail) -> DataFrame:
     """The whole feature pipeline, summed up per store and day."""
-    features = pl.retail_features(r)
+    return _per_store_and_day(pl.retail_features(r))
+
+
+def _per_store_and_day(features: DataFrame) -> DataFrame:
     engineered = [f"sales_lag_{k}" for k in LAGS]
     engineered += [f"sales_{s}_{k}" for k in ROLLING_WINDOWS for s in ("rmean", "rstd")]
     engineered += ["wday_sin", "wday_cos", "month_sin", "month_cos", "is_event", "snap", "price_momentum"]
@@ -612,7 +617,7 @@ def train_score(r: Retail) -> DataFrame:
 
 @windowed
 def feature_importance_topk(r: Retail) -> DataFrame:
-    """Inputs of the converged linear model by coefficient; trees stay a stage of the library."""
+    """Inputs of the linear model by what one standard deviation of each moves."""
     model, _, _ = _trained(r, fc.linear_stage())
     return fc.top_features(model.feature_importance())
 
@@ -622,3 +627,116 @@ def horizon_forecast(r: Retail) -> DataFrame:
     """28 days ahead for every series."""
     model, features, _ = _trained(r, fc.linear_stage())
     return fc.horizon_forecast(model, fc.horizon_template(fc.last_values(features)))
+
+
+# Boosted trees. A round of depth 7 costs seven passes, so the queries grow fewer rounds than a study.
+BOOSTED = bo.Settings(rounds=10)
+FIRST_SPLIT_INPUTS = ("sales_lag_7", "sales_lag_14", "sales_lag_28", "wday", "month", "is_event", "snap")
+
+
+@windowed
+def boosted_first_gains(r: Retail) -> DataFrame:
+    """Every split that the first root could take, and what it gains."""
+    train = r.split(burn_in=max(LAGS)).train(pl.retail_features(r))
+    gains = bo.first_round_gains(train, FIRST_SPLIT_INPUTS, bo.Settings(bins=255, row_share=1.0))
+    # Gains are sums over all rows; their last digits depend on the order of summation.
+    return gains.withColumn("gain", F.round(F.col("gain") + F.lit(1e-7), 3))
+
+
+def _boosted(r: Retail) -> tuple[bo.BoostedModel, DataFrame]:
+    features = pl.stored(pa.fill_price(pl.retail_features(r)), "features")
+    split = r.split(burn_in=max(LAGS))
+    model = bo.train_boosted(split.train(features), scratch_path(r.spark, "means"), BOOSTED)
+    return model, split.validation(features)
+
+
+@windowed
+def boosted_score(r: Retail) -> DataFrame:
+    """Boosted Tweedie trees, their error per store."""
+    model, val = _boosted(r)
+    return rp.store_report(model.predict(val))
+
+
+@windowed
+def boosted_importance(r: Retail) -> DataFrame:
+    """The inputs that split most nodes, with the number of splits."""
+    return fc.top_features(_boosted(r)[0].feature_importance())
+
+
+# Phases in steps, stored layouts, reuse
+
+
+@windowed
+def features_in_steps(r: Retail) -> DataFrame:
+    """The feature table from two batches of days, the second run twice, summed up per store and day."""
+    panel, out, state = (scratch_path(r.spark, n) for n in ("panel", "features", "state"))
+    days = r.split().val_from
+    whole = pl.retail_panel(r)
+    for first, last in ((r.window_from, days - 1), (days, r.last_day), (days, r.last_day)):
+        inc.write_batch(whole.where(F.col("day_num").between(first, last)), panel, first, last)
+        inc.extend_features(r.spark, panel, out, state, first, last)
+    return _per_store_and_day(inc.read_batches(r.spark, out))
+
+
+@query
+def forecast_lookup(r: Retail) -> DataFrame:
+    """The stored forecast of a known and of an unknown series; an unknown one has no steps."""
+    last = pl.retail_validation(r).where(F.col("day_num") == r.last_day).select(*SERIES_COLS, "day_num", "pred")
+    steps = fc.horizon_template(last).select(*SERIES_COLS, "h", "day_num", round_cents(F.col("pred")).alias("forecast"))
+    path = scratch_path(r.spark, "forecasts")
+    tables.write_forecasts(steps, path)
+    result = None
+    for store, item in ((STORE, ITEM), (STORE, "unknown")):
+        asked = r.spark.createDataFrame([(store, item)], "store_id string, item_id string")
+        one = asked.join(tables.forecast_rows(r.spark, path, store, item), list(SERIES_COLS), "left")
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+@query
+def model_reuse(r: Retail) -> DataFrame:
+    """A model asked for again with the same rows in another order, and with one row changed."""
+    rows = pl.stored(pl.retail_validation(r).withColumnRenamed("pred", "sales_rmean_28"), "validation")
+    half = r.split().val_from + 14
+    train, val = rows.where(F.col("day_num") < half), rows.where(F.col("day_num") >= half)
+    one = (F.col("store_id") == STORE) & (F.col("item_id") == ITEM) & (F.col("day_num") == half - 1)
+    changed = train.withColumn("sales", F.when(one, F.col("sales") + 1).otherwise(F.col("sales")))
+    folder, result = scratch_path(r.spark, "model"), None
+    for step, asked in (("first", train), ("reordered", train.repartition(5)), ("changed", changed)):
+        _, preds, reused = fc.train_or_reuse(asked, val, fc.linear_stage(), folder)
+        facts = asked.agg(F.count("*").alias("n_train"), F.sum("sales").alias("sales"))
+        told = facts.select(F.lit(step).alias("step"), F.lit(reused).alias("reused"), "*", F.lit(preds.count()).alias("n_preds"))
+        result = told if result is None else result.unionByName(told)
+    return result
+
+
+@query
+def preview(r: Retail) -> DataFrame:
+    """The first rows of the sales in the order of their keys."""
+    return rp.preview(r.sales, 3, [*SERIES_COLS, "day_num"])
+
+
+# Audit of the five tables, wide ones included
+
+
+def _five_tables(r: Retail) -> dict[str, DataFrame]:
+    evaluation = pl.stored(wide_sales(r, r.window_from, r.last_day), "wide")
+    return {
+        "calendar": r.calendar,
+        "sales_validation": evaluation.drop(*pa.day_columns(r.last_day - 27, r.last_day)),
+        "sales_evaluation": evaluation,
+        "sell_prices": r.prices,
+        "sample_submission": evaluation.select("id", *[F.lit(0.0).alias(f"F{h}") for h in range(1, 29)]),
+    }
+
+
+@windowed
+def audit_columns(r: Retail) -> DataFrame:
+    """Type, nulls, distinct values, range, text size and narrowest type of every column of the five tables."""
+    return qu.narrowing(qu.column_facts(_five_tables(r)))
+
+
+@windowed
+def audit_datasets(r: Retail) -> DataFrame:
+    """Rows, columns and bytes of the five tables before and after narrowing."""
+    return qu.dataset_sizes(qu.column_facts(_five_tables(r)))

@@ -1,17 +1,24 @@
-"""Run log: parameters and metrics of named runs in one append-only table."""
+"""Run log: parameters and metrics of named runs in one table, a partition per run id."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratacast.constants import METHOD_NAMES, RUN_NAMES
 from stratacast.functions.columns import lookup
+from stratacast.operators.metrics import rmse
 
 SCHEMA = "run_id string, logged_at timestamp, run_name string, kind string, key string, value string"
+# Method and description of each reconciliation run.
+METHOD_FACTS = {
+    "pred_bu": ("BU", "Aggregate SKU forecasts upward"),
+    "pred_td": ("TD", "National forecast disaggregated by proportions"),
+    "pred_mint": ("MinT_OLS", "MinTrace OLS at store_x_dept, distributed to item"),
+}
 ROW = "run_name string, kind string, key string, value string"
 
 
@@ -37,11 +44,27 @@ def new_run() -> str:
 
 
 def append(rows: DataFrame, path: str, run_id: str | None = None) -> None:
-    """Add rows under a run id and the time of writing; rows of one run may be added in several steps."""
+    """Store the rows of a run under its id and the time of writing.
+
+    A run is one partition, overwritten as a whole: a run that is repeated
+    after a failure, or logged twice, counts once.
+    """
     stamped = rows.select(
         F.lit(run_id or new_run()).alias("run_id"), F.current_timestamp().alias("logged_at"), "run_name", "kind", "key", "value"
     )
-    stamped.write.mode("append").parquet(path)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def method_rows(spark: SparkSession, methods: Iterable[str]) -> DataFrame:
+    """Method and description of the reconciliation runs."""
+    rows = [(RUN_NAMES[m], "param", k, v) for m in methods if m in METHOD_FACTS for k, v in zip(("method", "description"), METHOD_FACTS[m])]
+    return spark.createDataFrame(rows, ROW)
+
+
+def error_rows(val: DataFrame, run_name: str = RUN_NAMES["pred"], pred_col: str = "pred") -> DataFrame:
+    """The root mean squared error of a run's forecasts."""
+    value = rmse(val, pred_col).select(F.col("rmse").cast("string").alias("value"))
+    return value.select(F.lit(run_name).alias("run_name"), F.lit("metric").alias("kind"), F.lit("rmse").alias("key"), "value")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

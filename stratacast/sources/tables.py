@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +36,11 @@ def _schema(types: dict[str, T.DataType]) -> T.StructType:
 CALENDAR_SCHEMA = _schema(_CALENDAR_TYPES)
 PRICE_SCHEMA = _schema(_PRICE_TYPES)
 
+# Files of a table laid out by series, folders of stored forecasts, and the place of a layout beside its table.
+SERIES_BUCKETS = 64
+FORECAST_GROUPS = 64
+LAYOUT = "_layout"
+
 # File names of the five input tables.
 FILES = {
     "calendar": "calendar.csv",
@@ -106,6 +114,64 @@ def write_panel(df: DataFrame, path: str, partition_by: str = "store_id") -> Non
     )
 
 
+def write_series_table(df: DataFrame, path: str, buckets: int = SERIES_BUCKETS) -> None:
+    """Parquet bucketed by series and sorted by series and day, one file per bucket.
+
+    Readers that work per series (windows, aggregates, joins on the series) get
+    their rows co-located and need no shuffle. A large store is spread over all
+    buckets; the number of files is the number of buckets whatever the number
+    of stores.
+    """
+    spark = df.sparkSession
+    name = f"series_{uuid.uuid4().hex}"
+    laid_out = df.repartition(buckets, *SERIES_COLS).sortWithinPartitions(*SERIES_COLS, "day_num")
+    writer = laid_out.write.mode("overwrite").format("parquet").bucketBy(buckets, *SERIES_COLS).sortBy(*SERIES_COLS, "day_num")
+    writer.option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay, and carry their bucket in their names
+    layout = spark.createDataFrame([(buckets, df.schema.json())], "buckets int, schema string")
+    layout.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}{LAYOUT}")
+
+
+def read_series_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_series_table`` with its layout made known to the planner."""
+    layout = spark.read.json(f"{path.rstrip('/')}{LAYOUT}").first()
+    schema = T.StructType.fromJson(json.loads(layout["schema"]))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    keys = ", ".join(SERIES_COLS)
+    name = f"series_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}, day_num) "
+        f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+def write_forecasts(forecasts: DataFrame, path: str, groups: int = FORECAST_GROUPS) -> None:
+    """Forecasts by series, laid out so that one series is found in one folder.
+
+    The group is a hash of the series; its number is part of the folder name.
+    """
+    grouped = forecasts.withColumn("series_group", _group(F.col("store_id"), F.col("item_id"), groups))
+    (
+        grouped.repartition("series_group", *SERIES_COLS)
+        .sortWithinPartitions("series_group", *SERIES_COLS, "h")
+        .write.mode("overwrite")
+        .partitionBy("series_group")
+        .parquet(path)
+    )
+
+
+def _group(store_id: Column, item_id: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(store_id, item_id), F.lit(groups)).cast("int")
+
+
+def forecast_rows(spark: SparkSession, path: str, store_id: str, item_id: str, groups: int = FORECAST_GROUPS) -> DataFrame:
+    """The stored forecasts of one series, none for an unknown one; only its folder is listed."""
+    here = F.col("series_group") == _group(F.lit(store_id), F.lit(item_id), groups)
+    rows = spark.read.parquet(path).where(here & (F.col("store_id") == store_id) & (F.col("item_id") == item_id))
+    return rows.drop("series_group")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -5,6 +5,7 @@ from stratacast.operators import forecasting as fc
 from stratacast.operators import hierarchy as hi
 from stratacast.operators import quality as qu
 from stratacast.operators import reports as rp
+from stratacast.sources import tables
 from stratacast.split import Split
 from tests.helpers import random_panel, series_frame, values
 
@@ -87,8 +88,10 @@ def test_model_round_trip_and_horizon(spark, tmp_path):
     split = Split(1, 30, 31, 40)
     df = random_panel(spark).withColumn("sales_lag_1", F.col("sales") * 0.5)
     train, val = split.train(df), split.validation(df)
-    model, preds = fc.train_or_reuse(train, val, fc.linear_stage(5), str(tmp_path))
-    again, same = fc.train_or_reuse(train, val, fc.linear_stage(5), str(tmp_path))
+    model, preds, reused = fc.train_or_reuse(train, val, fc.linear_stage(5), str(tmp_path))
+    assert not reused
+    again, same, reused = fc.train_or_reuse(train.repartition(7).orderBy(F.rand(1)), val, fc.linear_stage(5), str(tmp_path))
+    assert reused and again.spreads == model.spreads
     assert preds.count() == val.count() and sorted(same.collect()) == sorted(preds.collect())
     assert preds.where("pred < 0 OR pred IS NULL").count() == 0
     assert again.inputs == model.inputs
@@ -106,3 +109,59 @@ def test_tree_importance(spark, tmp_path):
     stage = fc.tree_stage(n_trees=2, depth=2)
     model = fc.train(df, stage, str(tmp_path / "means"))
     assert fc.top_features(model.feature_importance(), 1).first()["feature"] == "hint"
+
+
+def test_models_are_reused_for_the_same_rows_and_settings_only(spark, tmp_path):
+    split = Split(1, 30, 31, 40)
+    df = random_panel(spark)
+    train, val = split.train(df), split.validation(df)
+    one = F.col("day_num") == 3
+    changed = train.withColumn("sales", F.when(one & (F.col("store_id") == "S0"), F.col("sales") + 1).otherwise(F.col("sales")))
+    twice = train.union(train.limit(1))
+    nulled = train.withColumn("sell_price", F.when(F.col("day_num") != 5, F.col("sell_price")))
+    prints = [fc.fingerprint(x, fc.linear_stage(5)) for x in (train, train.repartition(5), changed, twice, nulled)]
+    assert prints[0] == prints[1] and len(set(prints)) == 4
+    assert fc.fingerprint(train, fc.linear_stage(6)) != prints[0]
+    runs = [(train, 5), (train, 5), (changed, 5), (changed, 6), (changed, 6)]
+    assert [fc.train_or_reuse(t, val, fc.linear_stage(n), str(tmp_path))[2] for t, n in runs] == [False, True, False, False, True]
+
+
+def test_linear_importance_does_not_depend_on_units(spark, tmp_path):
+    df = random_panel(spark).withColumn("sales_lag_1", F.col("sales") * 0.5 + F.col("day_num") % 3)
+    found = []
+    for n, factor in enumerate((1.0, 1000.0)):
+        model = fc.train(df.withColumn("sales_lag_1", F.col("sales_lag_1") * factor), fc.linear_stage(25), str(tmp_path / f"m{n}"))
+        found.append({r["feature"]: r["importance"] for r in model.feature_importance().collect()})
+    assert found[0]["sales_lag_1"] == pytest.approx(found[1]["sales_lag_1"], rel=0.02)
+
+
+def test_forecasts_are_found_in_one_folder(spark, tmp_path):
+    path = str(tmp_path / "f")
+    rows = random_panel(spark, n_days=3).select("store_id", "item_id", F.col("day_num").alias("h"), F.col("sell_price").alias("forecast"))
+    tables.write_forecasts(rows, path, groups=16)
+    known = tables.forecast_rows(spark, path, "S1", "D0_2", groups=16)
+    assert sorted(r["h"] for r in known.collect()) == [1, 2, 3]
+    assert tables.forecast_rows(spark, path, "S1", "nothing", groups=16).count() == 0
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(series_group" in scan
+
+
+def test_column_facts_of_wide_tables(spark):
+    days = ", ".join(f"{n % 5 if n % 7 else 'NULL'} AS d_{n}" for n in range(300))
+    wide = spark.sql(f"SELECT 'é' || id AS id, id % 3 AS g, id / 4.0D AS x, DATE '2024-01-01' AS day, {days} FROM range(40)")
+    empty = wide.limit(0)
+    facts = {(r["table_name"], r["column_name"]): r for r in qu.column_facts({"wide": wide.repartition(4), "empty": empty}).collect()}
+    assert len(facts) == 2 * 304
+    r = facts["wide", "id"]
+    assert (r["position"], r["dtype"], r["n_rows"], r["nulls"], r["n_distinct"], r["text_bytes"]) == (1, "string", 40, 0, 40, 10 * 3 + 30 * 4)
+    assert (facts["wide", "g"]["min_value"], facts["wide", "g"]["max_value"], facts["wide", "g"]["n_distinct"]) == (0, 2, 3)
+    assert (facts["wide", "d_7"]["nulls"], facts["wide", "d_7"]["n_distinct"], facts["wide", "d_7"]["min_value"]) == (40, 0, None)
+    assert (facts["wide", "day"]["n_distinct"], facts["wide", "day"]["max_value"]) == (1, None)
+    assert (facts["empty", "id"]["n_rows"], facts["empty", "id"]["nulls"], facts["empty", "id"]["n_distinct"]) == (0, 0, 0)
+    plan = {r["column_name"]: r["to_type"] for r in qu.narrowing(qu.column_facts({"wide": wide})).collect()}
+    assert (plan["g"], plan["x"], plan["day"], plan["id"]) == ("tinyint", "float", "date", "string")
+    report = {r["table_name"]: r for r in qu.dataset_sizes(qu.column_facts({"wide": wide, "empty": empty})).collect()}
+    want = {r["table_name"]: r for r in qu.dataset_report({"wide": wide, "empty": empty}).collect()}
+    assert {k: (r["n_rows"], r["n_columns"], r["bytes_before"]) for k, r in report.items()} == {
+        k: (r["n_rows"], r["n_columns"], r["bytes_before"] or 0) for k, r in want.items()
+    }
