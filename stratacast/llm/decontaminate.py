@@ -188,6 +188,10 @@ def _united(spans: Column) -> Column:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
-    """The documents, with their own columns, that are not contaminated."""
-    bad = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("_bad_id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
+    """The documents, with their own columns, that are not contaminated.
+
+    Rows that share an id are one document and stay or go together. Columns may
+    have any name; null texts and an empty benchmark leave everything.
+    """
+    bad = contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("bad_id"))
+    return docs.alias("d").join(bad.alias("bad"), F.col("d.doc_id").eqNullSafe(F.col("bad.bad_id")), "left_anti")

@@ -28,7 +28,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .orderBy(F.xxhash64("_label_id"), "_label_id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id")).select("doc_id", "text", "label")
+    # Other columns of the documents may have any name, ``label`` too.
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_label_id")).select("doc_id", "text", "label")
 
 
 def isotonic(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:

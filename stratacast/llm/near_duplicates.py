@@ -310,6 +310,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents, with their own columns, that represent their component; rows without an id stay."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone_id"), "left_anti")
+    """The documents, with their own columns, that represent their component; rows without an id stay.
+
+    Rows that share an id are one document: all of them stay, or none. Columns
+    may have any name; an empty table stays empty. Ids are whole numbers.
+    """
+    gone = near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select(F.col("doc_id").alias("gone_id"))
+    return docs.alias("d").join(gone.alias("gone"), F.col("d.doc_id") == F.col("gone.gone_id"), "left_anti")

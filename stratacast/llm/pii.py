@@ -203,10 +203,12 @@ def pii(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """The documents with personal data replaced in text; rows and columns stay.
+    """The documents with personal data replaced in text; rows and columns stay, whatever their names.
 
-    A null text stays null.
+    A null text stays null. Repeated rows stay repeated, an empty table empty.
     """
-    found = with_pii(docs)
+    named = docs.withColumnRenamed("_pii", "_pii_of_input")
+    found = with_pii(named)
     text = F.when(F.col("text").isNotNull(), F.col("_pii.redacted")).alias("text")
-    return found.select(*[text if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    kept = found.select(*[text if c == "text" else F.col(f"`{c}`") for c in named.columns])
+    return kept.withColumnRenamed("_pii_of_input", "_pii")

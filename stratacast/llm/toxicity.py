@@ -6,6 +6,12 @@ in a long text weighs little. Equal example vectors are merged into one entry
 that carries its votes. Entries lie in blocks; per term the largest weight in
 a block bounds what any entry of it can score, and blocks that cannot reach
 the k-th best are skipped.
+
+A second index covers all words of the examples (see ``near_examples``). The
+examples that are near copies of a text vote too, however few of the chosen
+terms they have: a copy of a toxic example is toxic even where no term of it is
+associated with the label. An example votes only if the text has all its chosen
+terms, so a text is not blamed for words that only its toxic variant has.
 """
 
 from __future__ import annotations
@@ -18,11 +24,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratacast.llm.common import fold_of_value
 from stratacast.llm.labelled import SAMPLE_ROWS, calibrated, isotonic, labelled_sample
+from stratacast.llm.near_examples import ExampleIndex, word_hash
 from stratacast.session import ensure_checkpoint_dir
 
 FOLDS, HELD = 4, 2
@@ -56,16 +64,16 @@ def chi2(with_1: np.ndarray, with_0: np.ndarray, n1: int, n0: int) -> np.ndarray
 
 
 class _Chunks(dict):
-    """Term numbers of the words in a run between white space, remembered up to a bound."""
+    """Hashes and term numbers of the words in a run between white space, remembered up to a bound."""
 
     def __init__(self, terms: dict[str, int]) -> None:
         super().__init__()
         self.terms = terms
 
-    def __missing__(self, chunk: bytes) -> tuple[int, tuple[int, ...]]:
+    def __missing__(self, chunk: bytes) -> tuple[list[int], tuple[int, ...]]:
         words = _WORD.findall(chunk.decode())
         found = tuple(self.terms[t] for w in words for t in word_terms(w) if t in self.terms)
-        value = (len(words), found)
+        value = ([word_hash(w) for w in words], found)
         if len(self) >= REMEMBERED:
             self.clear()
         self[chunk] = value
@@ -85,23 +93,28 @@ class Vectors:
 
     def of(self, text: bytes) -> tuple[tuple[int, ...], tuple[float, ...]]:
         """(term numbers, weights), ascending; an empty text has no terms."""
+        return self.whole(text)[0]
+
+    def whole(self, text: bytes) -> tuple[tuple, np.ndarray, np.ndarray]:
+        """The same, and the distinct words as ascending hashes with their counts."""
         if self._chunks is None:
             self._chunks = _Chunks(self.terms)
         looked = map(self._chunks.__getitem__, text.lower().split())
-        n, found = 0, []
-        for words, terms in looked:
-            n += words
+        words, found = [], []
+        for hashes, terms in looked:
+            words += hashes
             if terms:
                 found += terms
-        if not n:
-            return (), ()
+        distinct, times = np.unique(np.array(words, np.int64), return_counts=True)
+        if not words:
+            return ((), ()), distinct, times
         counts = Counter(found)
         at = sorted(counts)
         weights = [(1 + np.log(counts[t])) * self.idf[t] for t in at]
         at.append(len(self.terms))
-        weights.append(BACKGROUND * np.log1p(n))
+        weights.append(BACKGROUND * np.log1p(len(words)))
         norm = float(np.sqrt(sum(w * w for w in weights)))
-        return tuple(at), tuple(round(float(w) / norm, 6) for w in weights)
+        return (tuple(at), tuple(round(float(w) / norm, 6) for w in weights)), distinct, times
 
 
 @dataclass
@@ -178,12 +191,41 @@ class BlockIndex:
         return raw, [(int(a), float(s), float(p)) for a, s, p in zip(at[:3], sims, share, strict=False)]
 
 
+@dataclass
+class NearVotes:
+    """Votes of the examples that are near copies of a text over all words."""
+
+    index: ExampleIndex
+    labels: np.ndarray
+    chosen: list
+
+    def vote(self, terms: tuple, hashes: np.ndarray, counts: np.ndarray, without: float | None = None) -> tuple[float, float]:
+        """(share of toxic votes, largest similarity); 0 and 0 without a near example that may vote.
+
+        ``without`` takes one example equal to the text, of that label, out of the votes.
+        """
+        at, sims = self.index.near(hashes, counts)
+        if not len(at):
+            return 0.0, 0.0
+        have = set(terms)
+        may = np.array([have.issuperset(self.chosen[a]) for a in at.tolist()])
+        if without is not None:
+            own = np.flatnonzero((sims > 1 - 1e-6) & (self.labels[at] == without))
+            may[own[:1]] = False
+        at, sims = at[may], sims[may]
+        if not len(at):
+            return 0.0, 0.0
+        weight = sims**SHARPNESS
+        return float(weight @ self.labels[at] / weight.sum()), float(sims.max())
+
+
 @dataclass
 class ToxicityModel:
     vectors: Vectors
     index: BlockIndex
     curve: tuple[np.ndarray, np.ndarray]
     prior: float
+    near: NearVotes
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
@@ -244,35 +286,52 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
 
     def to_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            found = [vectors.of(t or b"") for t in part.column("text").cast(pa.binary()).to_pylist()]
+            found = [vectors.whole(t or b"") for t in part.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([v[0] for v in found], pa.list_(pa.int32())),
-                    pa.array([v[1] for v in found], pa.list_(pa.float64())),
+                    pa.array([v[0][0] for v in found], pa.list_(pa.int32())),
+                    pa.array([v[0][1] for v in found], pa.list_(pa.float64())),
+                    pa.array([v[1] for v in found], pa.list_(pa.int64())),
+                    pa.array([v[2] for v in found], pa.list_(pa.int64())),
                     part.column("label"),
                 ],
-                ["at", "weights", "label"],
+                ["at", "weights", "words", "counts", "label"],
             )
 
-    made = sample.select("text", "label").mapInArrow(to_vectors, "at array<int>, weights array<double>, label double")
+    made = sample.select("text", "label").mapInArrow(
+        to_vectors, "at array<int>, weights array<double>, words array<bigint>, counts array<bigint>, label double"
+    )
     made = made.checkpoint()
-    # The index is made of the bounded sample: at most ``rows`` short vectors.
-    examples = made.collect()
-    keys = [(tuple(r["at"]), tuple(r["weights"])) for r in examples]
-    index = BlockIndex.build(keys, [r["label"] for r in examples], len(terms))
+    # Both indexes are made of the bounded sample: the vectors of at most ``rows`` documents, as arrays.
+    examples = made.toArrow().combine_chunks()
+    keys = list(zip(map(tuple, examples["at"].to_pylist()), map(tuple, examples["weights"].to_pylist()), strict=True))
+    told = examples["label"].to_numpy()
+    index = BlockIndex.build(keys, told.tolist(), len(terms))
+    words = examples["words"].combine_chunks()
+    near = NearVotes(
+        ExampleIndex.build(
+            pc.list_value_length(words).to_numpy(zero_copy_only=False),
+            words.flatten().to_numpy(zero_copy_only=False),
+            examples["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False),
+        ),
+        told,
+        [k[0] for k in keys],
+    )
+    del examples, words
 
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            raw = [
-                index.vote((tuple(int(t) for t in at), tuple(float(w) for w in ws)), without=y)[0]
-                for at, ws, y in zip(part["at"], part["weights"], part["label"], strict=True)
-            ]
+            raw = []
+            for at, ws, found, times, y in zip(*[part[c] for c in ("at", "weights", "words", "counts", "label")], strict=True):
+                vector = (tuple(int(t) for t in at), tuple(float(w) for w in ws))
+                copies, _ = near.vote(vector[0], np.asarray(found, np.int64), np.asarray(times), without=y)
+                raw.append(max(index.vote(vector, without=y)[0], copies))
             yield pd.DataFrame({"raw": raw, "label": part["label"]})
 
     curve = (np.array([]), np.array([]))
     if n1 and n0:
         curve = isotonic(made.repartition(8).mapInPandas(left_out, "raw double, label double"))
-    return ToxicityModel(vectors, index, curve, n1 / max(1, n1 + n0))
+    return ToxicityModel(vectors, index, curve, n1 / max(1, n1 + n0), near)
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int, evidence string"
@@ -281,7 +340,8 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int, evidence s
 def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence for every row of ``docs``.
 
-    Evidence lists the nearest entries as similarity:share of toxic votes.
+    Evidence lists the nearest entries as similarity:share of toxic votes, near
+    copies over all words first.
     Only the text is looked at. Null and empty texts have no vector and get
     the share of the label in the sample; repeated rows give repeated results;
     other columns are ignored; a null id is in no held-out fold.
@@ -293,14 +353,16 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             ids = b.column("doc_id")
             raw, evidence = [], []
             for text in b.column("text").cast(pa.binary()).to_pylist():
-                vector = model.vectors.of(text or b"")
+                vector, words, counts = model.vectors.whole(text or b"")
                 if vector not in known:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[vector] = model.index.vote(vector)
                 score, near = known[vector]
-                raw.append(score)
-                evidence.append(" ".join(f"{s:.4f}:{p:.3f}" for _, s, p in near))
+                copies, best = model.near.vote(vector[0], words, counts)
+                raw.append(max(score, copies))
+                told = [f"copy:{best:.4f}:{copies:.3f}"] if best else []
+                evidence.append(" ".join([*told, *(f"{s:.4f}:{p:.3f}" for _, s, p in near)]))
             score = np.array(raw, np.float64)
             if len(model.curve[0]):
                 score = calibrated(score, model.curve)
