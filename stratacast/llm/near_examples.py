@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import xxhash
 
-NEAR = 0.8
+NEAR = 0.9
 
 
 def word_hash(word: str) -> int:
@@ -30,15 +30,34 @@ def _weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ExampleIndex:
-    """Words by hash, and their postings one after another, by example number within a word."""
+    """Words by hash, their postings one after another, and the same weights by example."""
 
     words: np.ndarray
     idf: np.ndarray
     unknown_idf: float
     starts: np.ndarray
     examples: np.ndarray
-    weights: np.ndarray
     largest: np.ndarray
+    weights: np.ndarray
+    ends: np.ndarray
+    word_of: np.ndarray
+    weight_of: np.ndarray
+
+    def restricted(self, kept: np.ndarray) -> ExampleIndex:
+        """The index of some examples only, numbered anew; words keep the weights of the whole sample."""
+        sizes = np.diff(self.ends, prepend=0)[kept]
+        own = np.arange(int(sizes.sum())) + np.repeat(self.ends[kept] - np.cumsum(sizes), sizes)
+        return ExampleIndex._of(self.words, self.idf.astype(np.float32), self.unknown_idf, sizes, self.word_of[own], self.weight_of[own])
+
+    @classmethod
+    def _of(cls, words, idf, unknown_idf, sizes, word_of, weight_of) -> ExampleIndex:
+        """From the words of the examples in a row, ascending within each."""
+        order = np.argsort(word_of, kind="stable")
+        starts = np.concatenate([[0], np.cumsum(np.bincount(word_of, minlength=len(words)))]).astype(np.int32)
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        largest = np.zeros(len(words), np.float32)
+        np.maximum.at(largest, word_of, (weight_of * 1.000001).astype(np.float32))
+        return cls(words, idf, unknown_idf, starts, owner[order], largest, weight_of[order], np.cumsum(sizes), word_of, weight_of)
 
     @classmethod
     def build(cls, sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> ExampleIndex:
@@ -51,11 +70,7 @@ class ExampleIndex:
         owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
         weights = _weights(counts, idf[at])
         weights /= np.sqrt(np.bincount(owner, weights * weights, minlength=n))[owner]
-        order = np.argsort(at, kind="stable")
-        starts = np.concatenate([[0], np.cumsum(df)])
-        weights = weights[order]
-        largest = np.maximum.reduceat(weights, starts[:-1]) if len(words) else np.zeros(0)
-        return cls(words, idf, 1 + float(np.log(n + 1)), starts, owner[order], weights, largest)
+        return cls._of(words, idf, 1 + float(np.log(n + 1)), sizes, at, weights)
 
     def near(self, hashes: np.ndarray, counts: np.ndarray, bound: float = NEAR) -> tuple[np.ndarray, np.ndarray]:
         """(examples, similarities) of all examples whose cosine with the text is at least ``bound``."""
@@ -65,9 +80,11 @@ class ExampleIndex:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         known = self.words[at] == hashes
         q = _weights(counts, np.where(known, self.idf[at], self.unknown_idf))
-        q = (q / np.sqrt(q @ q))[known]
-        at = at[known]
-        lengths = self.starts[at + 1] - self.starts[at]
+        q = q / np.sqrt(q @ q)
+        lengths = np.where(known, self.starts[at + 1] - self.starts[at], 0)
+        # Words without an example count for the norm alone.
+        q, at, lengths = q[lengths > 0], at[lengths > 0], lengths[lengths > 0]
+        by_word_at, by_word_q = at, q
         order = np.argsort(lengths, kind="stable")
         q, at = q[order], at[order]
         left = lambda x: np.concatenate([np.cumsum(x[::-1])[::-1], [0.0]])
@@ -78,15 +95,15 @@ class ExampleIndex:
         lists = [slice(self.starts[t], self.starts[t + 1]) for t in at[:first].tolist()]
         met, place = np.unique(np.concatenate([self.examples[s] for s in lists]), return_inverse=True)
         parts = np.concatenate([w * self.weights[s] for w, s in zip(q[:first].tolist(), lists, strict=True)])
-        sims = np.bincount(place, parts, minlength=len(met))
-        hopeful = sims + rest[first] >= bound - 1e-9
-        met, sims = met[hopeful], sims[hopeful]
-        for w, t in zip(q[first:].tolist(), at[first:].tolist(), strict=True):
-            if not len(met):
-                return none
-            here = slice(self.starts[t], self.starts[t + 1])
-            examples = self.examples[here]
-            place = np.minimum(np.searchsorted(examples, met), len(examples) - 1)
-            sims = sims + w * np.where(examples[place] == met, self.weights[here][place], 0.0)
+        met = met[np.bincount(place, parts, minlength=len(met)) + rest[first] >= bound - 1e-9]
+        if not len(met):
+            return none
+        # In full: all words of the examples that are left, looked up among those of the text.
+        sizes = self.ends[met] - np.where(met > 0, self.ends[met - 1], 0)
+        own = np.arange(int(sizes.sum())) + np.repeat(self.ends[met] - np.cumsum(sizes), sizes)
+        words = self.word_of[own]
+        place = np.minimum(np.searchsorted(by_word_at, words), len(by_word_at) - 1)
+        products = np.where(by_word_at[place] == words, by_word_q[place] * self.weight_of[own], 0.0)
+        sims = np.bincount(np.repeat(np.arange(len(met)), sizes), products, minlength=len(met))
         near = sims >= bound - 1e-9
         return met[near], np.minimum(sims[near], 1.0)

@@ -8,8 +8,8 @@ a block bounds what any entry of it can score, and blocks that cannot reach
 the k-th best are skipped.
 
 A second index covers all words of the examples (see ``near_examples``). The
-examples that are near copies of a text vote too, however few of the chosen
-terms they have: a copy of a toxic example is toxic even where no term of it is
+toxic examples that are near copies of a text vote too, however few of the
+chosen terms they have: a copy of a toxic example is toxic even where no term of it is
 associated with the label. An example votes only if the text has all its chosen
 terms, so a text is not blamed for words that only its toxic variant has.
 """
@@ -193,30 +193,38 @@ class BlockIndex:
 
 @dataclass
 class NearVotes:
-    """Votes of the examples that are near copies of a text over all words."""
+    """Votes of the toxic examples that are near copies of a text over all words."""
 
     index: ExampleIndex
-    labels: np.ndarray
     chosen: list
 
-    def vote(self, terms: tuple, hashes: np.ndarray, counts: np.ndarray, without: float | None = None) -> tuple[float, float]:
-        """(share of toxic votes, largest similarity); 0 and 0 without a near example that may vote.
+    def vote(self, terms: tuple, hashes: np.ndarray, counts: np.ndarray, without: float | None = None) -> float:
+        """The largest similarity to a near example that may vote, else 0.
 
-        ``without`` takes one example equal to the text, of that label, out of the votes.
+        ``without`` 1 takes one example equal to the text out, the text itself.
         """
         at, sims = self.index.near(hashes, counts)
         if not len(at):
-            return 0.0, 0.0
+            return 0.0
         have = set(terms)
         may = np.array([have.issuperset(self.chosen[a]) for a in at.tolist()])
-        if without is not None:
-            own = np.flatnonzero((sims > 1 - 1e-6) & (self.labels[at] == without))
-            may[own[:1]] = False
-        at, sims = at[may], sims[may]
-        if not len(at):
-            return 0.0, 0.0
-        weight = sims**SHARPNESS
-        return float(weight @ self.labels[at] / weight.sum()), float(sims.max())
+        if without:
+            may[np.flatnonzero(sims > 1 - 1e-6)[:1]] = False
+        return float(sims[may].max(initial=0.0))
+
+
+def _near_votes(examples: pa.Table, labels: np.ndarray, chosen: list) -> NearVotes:
+    """The index of the toxic examples, with weights of words from the whole sample.
+
+    Only a toxic example raises a score. Clean examples that are near one are
+    scored like any text when the curve is fitted, so a copy's score says how
+    often such copies are toxic.
+    """
+    words, counts = (examples[c].combine_chunks() for c in ("words", "counts"))
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    hashes, times = (c.flatten().to_numpy(zero_copy_only=False) for c in (words, counts))
+    toxic = np.flatnonzero(labels > 0).astype(np.int32)
+    return NearVotes(ExampleIndex.build(sizes, hashes, times).restricted(toxic), [chosen[k] for k in toxic.tolist()])
 
 
 @dataclass
@@ -292,14 +300,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
                     pa.array([v[0][0] for v in found], pa.list_(pa.int32())),
                     pa.array([v[0][1] for v in found], pa.list_(pa.float64())),
                     pa.array([v[1] for v in found], pa.list_(pa.int64())),
-                    pa.array([v[2] for v in found], pa.list_(pa.int64())),
+                    pa.array([v[2] for v in found], pa.list_(pa.int32())),
                     part.column("label"),
                 ],
                 ["at", "weights", "words", "counts", "label"],
             )
 
     made = sample.select("text", "label").mapInArrow(
-        to_vectors, "at array<int>, weights array<double>, words array<bigint>, counts array<bigint>, label double"
+        to_vectors, "at array<int>, weights array<double>, words array<bigint>, counts array<int>, label double"
     )
     made = made.checkpoint()
     # Both indexes are made of the bounded sample: the vectors of at most ``rows`` documents, as arrays.
@@ -307,30 +315,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
     keys = list(zip(map(tuple, examples["at"].to_pylist()), map(tuple, examples["weights"].to_pylist()), strict=True))
     told = examples["label"].to_numpy()
     index = BlockIndex.build(keys, told.tolist(), len(terms))
-    words = examples["words"].combine_chunks()
-    near = NearVotes(
-        ExampleIndex.build(
-            pc.list_value_length(words).to_numpy(zero_copy_only=False),
-            words.flatten().to_numpy(zero_copy_only=False),
-            examples["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False),
-        ),
-        told,
-        [k[0] for k in keys],
-    )
-    del examples, words
+    near = _near_votes(examples, told, [k[0] for k in keys])
+    del examples
 
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             raw = []
             for at, ws, found, times, y in zip(*[part[c] for c in ("at", "weights", "words", "counts", "label")], strict=True):
                 vector = (tuple(int(t) for t in at), tuple(float(w) for w in ws))
-                copies, _ = near.vote(vector[0], np.asarray(found, np.int64), np.asarray(times), without=y)
+                copies = near.vote(vector[0], np.asarray(found, np.int64), np.asarray(times), without=y)
                 raw.append(max(index.vote(vector, without=y)[0], copies))
             yield pd.DataFrame({"raw": raw, "label": part["label"]})
 
     curve = (np.array([]), np.array([]))
     if n1 and n0:
-        curve = isotonic(made.repartition(8).mapInPandas(left_out, "raw double, label double"))
+        curve = isotonic(made.mapInPandas(left_out, "raw double, label double"))
     return ToxicityModel(vectors, index, curve, n1 / max(1, n1 + n0), near)
 
 
@@ -359,9 +358,9 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                         known.clear()
                     known[vector] = model.index.vote(vector)
                 score, near = known[vector]
-                copies, best = model.near.vote(vector[0], words, counts)
+                copies = model.near.vote(vector[0], words, counts)
                 raw.append(max(score, copies))
-                told = [f"copy:{best:.4f}:{copies:.3f}"] if best else []
+                told = [f"copy:{copies:.4f}"] if copies else []
                 evidence.append(" ".join([*told, *(f"{s:.4f}:{p:.3f}" for _, s, p in near)]))
             score = np.array(raw, np.float64)
             if len(model.curve[0]):
