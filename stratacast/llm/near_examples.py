@@ -47,7 +47,8 @@ class ExampleIndex:
         """The index of some examples only, numbered anew; words keep the weights of the whole sample."""
         sizes = np.diff(self.ends, prepend=0)[kept]
         own = np.arange(int(sizes.sum())) + np.repeat(self.ends[kept] - np.cumsum(sizes), sizes)
-        return ExampleIndex._of(self.words, self.idf.astype(np.float32), self.unknown_idf, sizes, self.word_of[own], self.weight_of[own])
+        weights = self.weight_of[own].astype(np.float32)
+        return ExampleIndex._of(self.words, self.idf.astype(np.float32), self.unknown_idf, sizes, self.word_of[own], weights)
 
     @classmethod
     def _of(cls, words, idf, unknown_idf, sizes, word_of, weight_of) -> ExampleIndex:

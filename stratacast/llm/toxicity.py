@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,7 +234,8 @@ class ToxicityModel:
     index: BlockIndex
     curve: tuple[np.ndarray, np.ndarray]
     prior: float
-    near: NearVotes
+    # Vectors, index and near votes, sent to every executor once for fitting and scoring.
+    shared: Broadcast
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
@@ -318,7 +320,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
     near = _near_votes(examples, told, [k[0] for k in keys])
     del examples
 
+    # Made of the bounded sample; fitting the curve and scoring share one copy per executor.
+    shared = docs.sparkSession.sparkContext.broadcast((vectors, index, near))
+
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, index, near = shared.value
         for part in batches:
             raw = []
             for at, ws, found, times, y in zip(*[part[c] for c in ("at", "weights", "words", "counts", "label")], strict=True):
@@ -330,7 +336,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
     curve = (np.array([]), np.array([]))
     if n1 and n0:
         curve = isotonic(made.mapInPandas(left_out, "raw double, label double"))
-    return ToxicityModel(vectors, index, curve, n1 / max(1, n1 + n0), near)
+    return ToxicityModel(vectors, index, curve, n1 / max(1, n1 + n0), shared)
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int, evidence string"
@@ -346,26 +352,29 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     other columns are ignored; a null id is in no held-out fold.
     """
 
+    shared, curve, prior = model.shared, model.curve, model.prior
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, index, copies_of = shared.value
         known: dict = {}
         for b in batches:
             ids = b.column("doc_id")
             raw, evidence = [], []
             for text in b.column("text").cast(pa.binary()).to_pylist():
-                vector, words, counts = model.vectors.whole(text or b"")
+                vector, words, counts = vectors.whole(text or b"")
                 if vector not in known:
                     if len(known) >= REMEMBERED:
                         known.clear()
-                    known[vector] = model.index.vote(vector)
+                    known[vector] = index.vote(vector)
                 score, near = known[vector]
-                copies = model.near.vote(vector[0], words, counts)
+                copies = copies_of.vote(vector[0], words, counts)
                 raw.append(max(score, copies))
                 told = [f"copy:{copies:.4f}"] if copies else []
                 evidence.append(" ".join([*told, *(f"{s:.4f}:{p:.3f}" for _, s, p in near)]))
             score = np.array(raw, np.float64)
-            if len(model.curve[0]):
-                score = calibrated(score, model.curve)
-            score = np.where([e == "" for e in evidence], model.prior, score)
+            if len(curve[0]):
+                score = calibrated(score, curve)
+            score = np.where([e == "" for e in evidence], prior, score)
             held = [i is not None and fold_of_value(i, FOLDS) == HELD for i in ids.to_pylist()]
             columns = [ids, pa.array(held, pa.bool_()), pa.array(score), pa.array((score >= CUT).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(evidence)], [f.split()[0] for f in SCORED.split(", ")])
