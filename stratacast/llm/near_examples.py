@@ -73,6 +73,21 @@ class ExampleIndex:
         weights /= np.sqrt(np.bincount(owner, weights * weights, minlength=n))[owner]
         return cls._of(words, idf, 1 + float(np.log(n + 1)), sizes, at, weights)
 
+    def telling_words(self, bound: float = NEAR) -> frozenset[int]:
+        """Of each example the rarest words without which no text can reach the bound.
+
+        What is left of an example's norm without them is below the bound, so a
+        text that has none of them need not be looked up.
+        """
+        found: set[int] = set()
+        for start, end in zip((self.ends - np.diff(self.ends, prepend=0)).tolist(), self.ends.tolist(), strict=True):
+            words = self.word_of[start:end]
+            order = np.argsort(-self.idf[words], kind="stable")
+            weights = self.weight_of[start:end][order].astype(float)
+            rest = np.sqrt(np.concatenate([np.cumsum((weights * weights)[::-1])[::-1], [0.0]]))
+            found.update(self.words[words[order[: int(np.argmax(rest < bound - 1e-5))]]].tolist())
+        return frozenset(found)
+
     def near(self, hashes: np.ndarray, counts: np.ndarray, bound: float = NEAR) -> tuple[np.ndarray, np.ndarray]:
         """(examples, similarities) of all examples whose cosine with the text is at least ``bound``."""
         none = np.zeros(0, np.int32), np.zeros(0)

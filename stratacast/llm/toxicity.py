@@ -45,6 +45,7 @@ BLOCK = 64
 BACKGROUND = 1.5
 CUT = 0.3
 REMEMBERED = 300_000
+_NO_WORDS = np.zeros(0, np.int64)
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -67,14 +68,15 @@ def chi2(with_1: np.ndarray, with_0: np.ndarray, n1: int, n0: int) -> np.ndarray
 class _Chunks(dict):
     """Hashes and term numbers of the words in a run between white space, remembered up to a bound."""
 
-    def __init__(self, terms: dict[str, int]) -> None:
+    def __init__(self, terms: dict[str, int], telling: frozenset[int]) -> None:
         super().__init__()
-        self.terms = terms
+        self.terms, self.telling = terms, telling
 
-    def __missing__(self, chunk: bytes) -> tuple[list[int], tuple[int, ...]]:
+    def __missing__(self, chunk: bytes) -> tuple[list[int], tuple[int, ...], bool]:
         words = _WORD.findall(chunk.decode())
         found = tuple(self.terms[t] for w in words for t in word_terms(w) if t in self.terms)
-        value = ([word_hash(w) for w in words], found)
+        hashes = [word_hash(w) for w in words]
+        value = (hashes, found, not self.telling.isdisjoint(hashes))
         if len(self) >= REMEMBERED:
             self.clear()
         self[chunk] = value
@@ -87,6 +89,7 @@ class Vectors:
 
     terms: dict[str, int]
     idf: np.ndarray
+    telling: frozenset[int] = frozenset()
     _chunks: _Chunks | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
@@ -96,24 +99,29 @@ class Vectors:
         """(term numbers, weights), ascending; an empty text has no terms."""
         return self.whole(text)[0]
 
-    def whole(self, text: bytes) -> tuple[tuple, np.ndarray, np.ndarray]:
-        """The same, and the distinct words as ascending hashes with their counts."""
+    def whole(self, text: bytes, always: bool = True) -> tuple[tuple, np.ndarray, np.ndarray]:
+        """The same, and the distinct words as ascending hashes with their counts.
+
+        Unless ``always``, a text without any telling word gets no words.
+        """
         if self._chunks is None:
-            self._chunks = _Chunks(self.terms)
-        looked = map(self._chunks.__getitem__, text.lower().split())
-        words, found = [], []
-        for hashes, terms in looked:
-            words += hashes
+            self._chunks = _Chunks(self.terms, self.telling)
+        looked = [self._chunks[c] for c in text.lower().split()]
+        n, found, told = 0, [], always
+        for hashes, terms, telling in looked:
+            n += len(hashes)
             if terms:
                 found += terms
-        distinct, times = np.unique(np.array(words, np.int64), return_counts=True)
-        if not words:
+            told = told or telling
+        words = [h for hashes, _, _ in looked for h in hashes] if told else []
+        distinct, times = np.unique(np.array(words, np.int64), return_counts=True) if words else (_NO_WORDS, _NO_WORDS)
+        if not n:
             return ((), ()), distinct, times
         counts = Counter(found)
         at = sorted(counts)
         weights = [(1 + np.log(counts[t])) * self.idf[t] for t in at]
         at.append(len(self.terms))
-        weights.append(BACKGROUND * np.log1p(len(words)))
+        weights.append(BACKGROUND * np.log1p(n))
         norm = float(np.sqrt(sum(w * w for w in weights)))
         return (tuple(at), tuple(round(float(w) / norm, 6) for w in weights)), distinct, times
 
@@ -321,7 +329,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, ro
     del examples
 
     # Made of the bounded sample; fitting the curve and scoring share one copy per executor.
-    shared = docs.sparkSession.sparkContext.broadcast((vectors, index, near))
+    telling = Vectors(terms, idf, near.index.telling_words())
+    shared = docs.sparkSession.sparkContext.broadcast((telling, index, near))
 
     def left_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _, index, near = shared.value
@@ -361,7 +370,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             ids = b.column("doc_id")
             raw, evidence = [], []
             for text in b.column("text").cast(pa.binary()).to_pylist():
-                vector, words, counts = vectors.whole(text or b"")
+                vector, words, counts = vectors.whole(text or b"", always=False)
                 if vector not in known:
                     if len(known) >= REMEMBERED:
                         known.clear()
