@@ -67,18 +67,20 @@ m AS (
   FROM c
 ),
 g AS (SELECT * FROM m WHERE NOT base_failed),
-q1 AS (SELECT lang, source, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
-q2 AS (SELECT lang, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
-q3 AS (SELECT {", ".join(f"quantile_disc({x}, [0.25, 0.75]) AS {x}q" for x in "abef")} FROM g),
+q1 AS (SELECT lang, source, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.1, 0.5, 0.9]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
+q2 AS (SELECT lang, count(*) AS n, {", ".join(f"quantile_disc({x}, [0.1, 0.5, 0.9]) AS {x}q" for x in "abef")} FROM g GROUP BY ALL),
+q3 AS (SELECT {", ".join(f"quantile_disc({x}, [0.1, 0.5, 0.9]) AS {x}q" for x in "abef")} FROM g),
 lim AS (
   SELECT q1.lang, q1.source, {", ".join(f"CASE WHEN q1.n >= 200 THEN q1.{x}q WHEN q2.n >= 200 THEN q2.{x}q ELSE q3.{x}q END AS {x}q" for x in "abef")}
   FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang CROSS JOIN q3
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce(
-    a <= aq[2] + greatest(4 * (aq[2] - aq[1]), 0.1) AND b <= bq[2] + greatest(4 * (bq[2] - bq[1]), 0.25)
-    AND e <= eq[2] + greatest(4 * (eq[2] - eq[1]), 4.0) AND e >= eq[1] - greatest(4 * (eq[2] - eq[1]), 4.0)
-    AND f <= fq[2] + greatest(4 * (fq[2] - fq[1]), 0.1), true) AS kept
+    a <= aq[3] + 3.0 * (aq[3] - aq[2]) + 1.0 / greatest(n_words, 1)
+    AND b <= bq[3] + 3.0 * (bq[3] - bq[2]) + 1.0 / greatest(n_lines, 1)
+    AND e <= eq[3] + 3.0 * (eq[3] - eq[2]) + 1.0 / greatest(n_words, 1)
+    AND e >= eq[1] - 3.0 * (eq[2] - eq[1]) - 1.0 / greatest(n_words, 1)
+    AND f <= fq[3] + 3.0 * (fq[3] - fq[2]) + 30.0 / greatest(n_words, 1), true) AS kept
 FROM m LEFT JOIN lim ON m.lang IS NOT DISTINCT FROM lim.lang AND m.source IS NOT DISTINCT FROM lim.source
 """
 

@@ -2,8 +2,10 @@
 
 Document statistics are computed inside each row. Quantile summaries, which
 merge across partitions, are taken per language and source, per language and
-over all; a document fails when a statistic lies far outside the quartiles of
-the narrowest group with enough documents.
+over all; a document fails when a statistic lies beyond the outer tenth of the
+narrowest group with enough documents by more than a multiple of the distance
+from there to the median. No constant takes part, but for the grain: what a
+single occurrence adds to a document's own share never decides.
 """
 
 from __future__ import annotations
@@ -20,9 +22,12 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 200
 ACCURACY = 10_000
-FENCE = 4.0
-# Per statistic, the least distance from the upper (and lower) quartile that can fail a document.
-SLACK = {"symbol_share": 0.10, "dup_line_share": 0.25, "mean_word": 4.0, "repeat_share": 0.10}
+# The outer share of a group on either side, and the distances to the median that are still inside beyond it.
+TAIL = 0.1
+FENCE = 3.0
+STATISTICS = ("symbol_share", "dup_line_share", "mean_word", "repeat_share")
+# One passage shorter than two windows that occurs twice.
+ONE_REPEAT = 2 * (2 * SPAN - 1)
 
 
 def _repeat_words(windows: str) -> Column:
@@ -101,11 +106,18 @@ def _shares(stats: DataFrame) -> DataFrame:
     )
 
 
+def _grain(name: str) -> Column:
+    """What one occurrence adds to a statistic of the document itself."""
+    if name == "dup_line_share":
+        return F.lit(1.0) / F.greatest("_n_lines", F.lit(1))
+    return F.lit(float(ONE_REPEAT if name == "repeat_share" else 1)) / F.greatest("n_words", F.lit(1))
+
+
 def _limits(stats: DataFrame, by: list[str], level: str, accuracy: int) -> DataFrame:
-    """Row count and quartiles of every statistic per group; the summaries merge across partitions."""
+    """Row count and (lower tail, median, upper tail) of every statistic; the summaries merge across partitions."""
     aggregates = [F.count(F.lit(1)).alias(f"{level}_n")]
-    for name in SLACK:
-        aggregates.append(F.percentile_approx(name, [0.25, 0.75], accuracy).alias(f"{level}_{name}"))
+    for name in STATISTICS:
+        aggregates.append(F.percentile_approx(name, [TAIL, 0.5, 1 - TAIL], accuracy).alias(f"{level}_{name}"))
     return stats.groupBy(*[F.col(c).alias(f"{level}_{c}") for c in by]).agg(*aggregates)
 
 
@@ -118,31 +130,34 @@ def quality_rules(
     Null languages and sources form groups of their own, a null text has no
     words and fails the base rule, repeated rows are judged and counted each,
     an empty table gives no rows. Equal values at a threshold pass. Documents
-    failing the base rule do not shape the thresholds.
+    failing the base rule do not shape the thresholds. ``min_group`` is the
+    least number of documents a group needs to set its own fences.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    # A few numbers per document; three summaries and the verdict read them.
+    # A few numbers per document; the summaries and the verdict read them.
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     stats = _shares(document_stats(docs)).withColumn("base_failed", failed).checkpoint()
     good = stats.where(~F.col("base_failed"))
     both = _limits(good, ["lang", "source"], "both", accuracy)
     lang = _limits(good, ["lang"], "lang", accuracy)
     every = _limits(good, [], "every", accuracy)
-    # One row per language and source, one per language, one in all.
-    limits = (
-        both.join(lang, F.col("both_lang").eqNullSafe(F.col("lang_lang")))
-        .withColumn("_one", F.lit(1))
-        .join(every.withColumn("_one", F.lit(1)), "_one")
-    )
+    # Twelve numbers over all; beside them one row per language and source, and one per language.
+    every = _limits(good, [], "every", accuracy).first()
+
+    def overall(name: str) -> Column:
+        found = every[f"every_{name}"]
+        return F.array(*map(F.lit, found)) if found else F.lit(None).cast("array<double>")
+
+    limits = both.join(lang, F.col("both_lang").eqNullSafe(F.col("lang_lang")))
     chosen = [
         F.when(F.col("both_n") >= min_group, F.col(f"both_{n}"))
         .when(F.col("lang_n") >= min_group, F.col(f"lang_{n}"))
-        .otherwise(F.col(f"every_{n}"))
+        .otherwise(overall(n))
         .alias(f"_{n}")
-        for n in SLACK
+        for n in STATISTICS
     ]
     limits = limits.select("both_lang", "both_source", *chosen)
     joined = stats.join(
@@ -151,12 +166,11 @@ def quality_rules(
         "left",
     )
     inside = F.lit(True)
-    for name, slack in SLACK.items():
-        low, high = F.get(f"_{name}", 0), F.get(f"_{name}", 1)
-        reach = F.greatest(fence * (high - low), F.lit(slack))
-        inside = inside & (F.col(name) <= high + reach)
+    for name in STATISTICS:
+        low, middle, high = (F.get(f"_{name}", k) for k in range(3))
+        inside = inside & (F.col(name) <= high + fence * (high - middle) + _grain(name))
         if name == "mean_word":
-            inside = inside & (F.col(name) >= low - reach)
+            inside = inside & (F.col(name) >= low - fence * (middle - low) - _grain(name))
     return joined.select(
         "doc_id",
         "n_words",

@@ -1,6 +1,7 @@
 """Brute-force versions of the registered queries, on plain Python lists of rows."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -78,6 +79,34 @@ def rule_counts(text):
     return n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), n < 20 or 100 * len(covered) > 30 * n
 
 
+def rule_verdicts(rows, *, min_group, tail, fence):
+    """{doc_id: (base_failed, kept)}; a quantile is the value at the rounded-up rank of the sorted group."""
+    stats, groups = {}, {}
+    for doc, text, lang, source in rows:
+        n, chars, symbols, dups, repeats, failed = rule_counts(text)
+        words, lines = max(n, 1), max(sum(1 for x in (text or "").split("\n") if PLAIN.search(x)), 1)
+        shares = (symbols / words, dups / lines, chars / words, repeats / words)
+        stats[doc] = (shares, (1 / words, 1 / lines, 1 / words, 30 / words), lang, source, failed)
+        if not failed:
+            for group in ((lang, source), (lang,), ()):
+                groups.setdefault(group, []).append(shares)
+    out = {}
+    for doc, (shares, grains, lang, source, failed) in stats.items():
+        inside = True
+        for at, (x, grain) in enumerate(zip(shares, grains, strict=True)):
+            fitting = [g for g in ((lang, source), (lang,)) if len(groups.get(g, ())) >= min_group]
+            # A source all of whose documents fail has no fences.
+            if (lang, source) not in groups:
+                break
+            values = sorted(v[at] for v in groups[(fitting or [()])[0]])
+            low, mid, high = (values[max(math.ceil(q * len(values)), 1) - 1] for q in (tail, 0.5, 1 - tail))
+            inside &= x <= high + fence * (high - mid) + grain
+            if at == 2:
+                inside &= x >= low - fence * (mid - low) - grain
+        out[doc] = (failed, not failed and inside)
+    return out
+
+
 def chats(rows):
     convs = {}
     for conv, turn, role, text in rows:

@@ -99,6 +99,42 @@ def test_quality_rules_follow_their_group(spark):
     assert not kept[600][0]
 
 
+def _mixed_groups():
+    """Two sources: a's texts hold 0 to 4 marks in 40 words, b's 10 to 14; the same 14 marks fail in a alone."""
+    rows = []
+    for n in range(60):
+        for source, least in (("a", 0), ("b", 10)):
+            words = [f"w{n}x{k}" for k in range(40)]
+            for k in range(least + n % 5):
+                words[k] += "#"
+            rows.append((len(rows), " ".join(words), "en", source))
+    for source in "ab":
+        rows.append((len(rows), " ".join(f"odd{k}" + "#" * (k < 14) for k in range(40)), "en", source))
+    rows.append((len(rows), " ".join(f"few{k}" + "#" * (k < 14) for k in range(40)), "en", "c"))
+    return rows
+
+
+def test_quality_fences_come_from_the_group(spark):
+    docs = spark.createDataFrame(_mixed_groups(), "doc_id long, text string, lang string, source string")
+    kept = by_id(quality_rules(docs, min_group=20), "kept")
+    assert (kept[120][0], kept[121][0]) == (False, True)
+    # A small group is held against its language, whose spread is wide.
+    assert kept[122][0] and all(v[0] for k, v in kept.items() if k < 120)
+    assert by_id(quality_rules(docs, min_group=20, fence=20.0), "kept")[120][0]
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    rows = _mixed_groups()
+    for n in range(200, 260):
+        words = [f"v{n}y{k}" + "y" * (n % 7) for k in range(30 + n % 3)]
+        text = " ".join(words) + "\nsame\nsame" * (n % 20 == 0) + "\n" + " ".join(words[: 12 * (n % 30 == 1)] * 2)
+        rows.append((n, text + "z" * (300 * (n == 259)), ("fr", None)[n % 2], None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = by_id(quality_rules(docs, min_group=20), "base_failed", "kept")
+    assert got == reference.rule_verdicts(rows, min_group=20, tail=0.1, fence=3.0)
+    assert {v for v in got.values()} >= {(False, True), (False, False)}
+
+
 def test_empty_tables(odd_docs, small, spark):
     assert quality_rules(odd_docs.limit(0)).count() == 0
     assert pii(odd_docs.limit(0)).count() == 0
