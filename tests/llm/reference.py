@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from difflib import SequenceMatcher
 
 ITEM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,6 +129,20 @@ def license_places(text):
     return len(words), len(found), min(starts, default=None), max(starts, default=None), labels
 
 
+def notice_labels(text, notices):
+    """Labels of notices of which 0.6 stands in order, in runs of two words or more, in some stretch of three lengths."""
+    words, labels = ITEM.findall(lower(text)), set()
+    for label, texts in notices.items():
+        for notice in texts:
+            known = ITEM.findall(lower(notice))
+            for at in range(0, max(len(words) - 2 * len(known), 1), len(known) // 4):
+                part = words[at : at + 3 * len(known)]
+                blocks = SequenceMatcher(None, part, known, autojunk=False).get_matching_blocks()
+                if sum(b.size for b in blocks if b.size > 1) >= 0.6 * len(known):
+                    labels.add(label)
+    return ",".join(sorted(labels))
+
+
 def shingles(text):
     words = PLAIN.findall(lower(text))
     if len(words) < 2:

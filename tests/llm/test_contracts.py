@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 from stratacast.llm.chat import chat_digest, escape, format_chats, format_turns, unescape
 from stratacast.llm.decontaminate import contamination
-from stratacast.llm.licenses import default_templates, license_scan
+from stratacast.llm.licenses import NOTICES, default_templates, license_scan
 from stratacast.llm.pii import find_spans, pii, redacted
 from stratacast.llm.quality_rules import quality_rules
 from stratacast.llm.queries import CONTROL_TEXT, tokenizer_definition
@@ -182,3 +182,46 @@ def test_license_notices(spark, odd_docs):
     labels = by_id(license_scan(odd_docs, default_templates(spark)).where(F.size("spans") > 0), "labels", "score")
     assert labels[91][0] == "gpl" and labels[91][1] > 0.9
     assert labels[84][0] == "apache,gpl,mit"
+
+
+def _notice_texts():
+    """(id, text, labels): whole notices, words put in, left out and replaced, halves, two copies, lone common words."""
+    mit, bsd = NOTICES["mit"][0].split(), NOTICES["bsd"][0].split()
+    pad = [f"pad{k}" for k in range(300)]
+    half = len(mit) // 2
+    texts = [
+        (pad + mit + pad, "mit"),
+        (pad + mit[:half] + pad[:5] + mit[half:] + pad, "mit"),
+        (pad + mit[:half] + pad[:25] + mit[half:], "mit"),
+        (mit[:20] + mit[26:] + pad, "mit"),
+        (mit[:15] + pad[:4] + mit[15:30] + pad[:4] + mit[36:], "mit"),
+        ([w if k % 12 else "other" for k, w in enumerate(mit)], "mit"),
+        (mit[:half] + pad, ""),
+        (mit[:half] + pad + mit[:half], ""),
+        (mit + bsd + mit, "bsd,mit"),
+        (" ".join(mit[:12]).split() * 40, ""),
+        (pad[:40] * 30 + mit[:half] + pad[:7] + mit[half:] + pad[:40] * 30, "mit"),
+        (["the", "of", "software", "to", "and"] * 100, ""),
+    ]
+    return [(k, " ".join(words), labels) for k, (words, labels) in enumerate(texts)]
+
+
+def test_license_notices_with_insertions_and_deletions(spark):
+    rows = _notice_texts()
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = license_scan(frame, default_templates(spark)).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {doc: labels for doc, _, labels in rows}
+    spans = {r["doc_id"]: [(s["label"], s["start"], s["end"]) for s in r["spans"]] for r in got}
+    size = len(reference.ITEM.findall(reference.lower(NOTICES["mit"][0])))
+    assert spans[0] == [("mit", 300, 300 + size)] and spans[1] == [("mit", 300, 305 + size)]
+    assert [s[0] for s in spans[8]] == ["mit", "bsd", "mit"]
+    assert {r["score"] for r in got if r["doc_id"] in (0, 1, 8, 10)} == {1.0}
+
+
+def test_license_labels_against_brute_force(spark):
+    """Every window of three lengths of every template, compared whole: nothing that a scan of all places would find is lost."""
+    rows = _notice_texts()
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = by_id(license_scan(frame, default_templates(spark)), "labels")
+    for doc, text, _ in rows:
+        assert got[doc][0] == reference.notice_labels(text, NOTICES), doc
