@@ -319,10 +319,13 @@ class SegmentEncoder(ChunkEncoder):
             out += self.model.fold(s) if found is None else found
         return out
 
-    def _learn_some(self, chunks: list) -> None:
+    def _marked(self, chunk: str | tuple[str]) -> bool:
+        return False
+
+    def _ids_of(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
         found = [self._ids(c) for c in chunks]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._add(chunks, lengths, np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())))
+        return lengths, np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], known: dict, model: PieceModel) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ them can be read without touching a token.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,7 +25,9 @@ from stratacast.session import scratch_path
 END_ID = 2
 # Chunks of text whose ids a worker remembers, some 200 bytes each.
 REMEMBERED = 400_000
-LEARNT_AT_ONCE = 5_000
+LEARNT_AT_ONCE = 500
+# A piece of its own wherever it stands; put between chunks, it shows where each one's ids end.
+MARK = b"0"
 LAYOUT = {
     "compression": "zstd",
     "parquet.writer.version": "v2",
@@ -37,7 +40,7 @@ ENCODED = "doc_id long, start_in_file long, n_tokens int, tokens array<int>"
 PER_DOC = "doc_id long, start_in_file long, n_tokens long, ids_crc32 long, file string"
 
 
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[\x20\n])")
+_STOP = re.compile(rb"[.,](?<=[a-z].)(?=[\x20\n])")
 
 
 class ChunkEncoder:
@@ -53,7 +56,9 @@ class ChunkEncoder:
     """
 
     def __init__(self, definition: str, end_id: int) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(definition)
+        self.mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self._start([end_id])
 
     def _start(self, end: list[int]) -> None:
@@ -78,16 +83,30 @@ class ChunkEncoder:
         self.starts = ends - self.lengths
         self.ids = ids[np.arange(int(ends[-1])) + np.repeat(starts[kept] - self.starts, self.lengths)]
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Ids of chunks not met before; a list of pieces is encoded as one, each piece by itself."""
-        for at in range(0, len(chunks), LEARNT_AT_ONCE):
-            self._learn_some(chunks[at : at + LEARNT_AT_ONCE])
-
-    def _learn_some(self, chunks: list[bytes]) -> None:
+    def _learn(self, chunks: list) -> None:
+        """Ids of chunks not met before, some at a time; chunks with the mark in them come last."""
+        chunks.sort(key=self._marked)
+        parts = [self._ids_of(chunks[at : at + LEARNT_AT_ONCE]) for at in range(0, len(chunks), LEARNT_AT_ONCE)]
+        self._add(chunks, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+
+    def _marked(self, chunk: bytes) -> bool:
+        return MARK in chunk
+
+    def _ids_of(self, chunks: list) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each chunk, all ids): encoded as one text with marks between the chunks.
+
+        Where more marks come back than were put in, the chunks are encoded as
+        a list of pieces, each by itself.
+        """
+        if len(self.mark) == 1:
+            joined = (b" " + MARK + b" ").join(chunks).decode()
+            flat = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+            marks = np.flatnonzero(flat == self.mark[0])
+            if len(marks) == len(chunks) - 1:
+                bounds = np.concatenate([[-1], marks, [len(flat)]])
+                return np.diff(bounds) - 1, np.delete(flat, marks)
         found = self.tokenizer.encode([c.decode() for c in chunks], is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
-        flat = np.array(found.ids, np.int32)
-        self._add(chunks, lengths, flat)
+        return np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks)), np.array(found.ids, np.int32)
 
     def _add(self, chunks: list, lengths: np.ndarray, flat: np.ndarray) -> None:
         self.index.update(zip(chunks, range(len(self.lengths), len(self.lengths) + len(chunks)), strict=True))
@@ -98,7 +117,7 @@ class ChunkEncoder:
 
     def _split(self, text: bytes) -> list:
         if b"<|" not in text:
-            text = _STOP.sub(rb" \1", text.lower())
+            text = _STOP.sub(rb" \g<0>", text.lower())
         return text.split()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
