@@ -300,6 +300,8 @@ class SegmentEncoder(ChunkEncoder):
     mark itself are cut segment by segment instead; those keys are tuples.
     """
 
+    remembered = 400_000
+
     def __init__(self, model: PieceModel, known: dict[str, list[int]]) -> None:
         self.model, self.known = model, known
         self._start([])

@@ -24,7 +24,7 @@ from stratacast.session import scratch_path
 
 END_ID = 2
 # Chunks of text whose ids a worker remembers, some 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 LEARNT_AT_ONCE = 500
 # A piece of its own wherever it stands; put between chunks, it shows where each one's ids end.
 MARK = b"0"
@@ -40,7 +40,7 @@ ENCODED = "doc_id long, start_in_file long, n_tokens int, tokens array<int>"
 PER_DOC = "doc_id long, start_in_file long, n_tokens long, ids_crc32 long, file string"
 
 
-_STOP = re.compile(rb"[.,](?<=[a-z].)(?=[\x20\n])")
+_STOP = re.compile(rb"([.,])(?<=[a-z].)(?=[\x20\n])")
 
 
 class ChunkEncoder:
@@ -55,6 +55,8 @@ class ChunkEncoder:
     goes.
     """
 
+    remembered = REMEMBERED
+
     def __init__(self, definition: str, end_id: int) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(definition)
@@ -72,8 +74,9 @@ class ChunkEncoder:
         """Keep the chunks met most often, half of what may be remembered at most."""
         index, lengths, starts, ids, hits = self.index, self.lengths, self.starts, self.ids, self.hits
         kept = np.flatnonzero(hits > 1)
-        if len(kept) > REMEMBERED // 2:
-            kept = np.sort(np.argpartition(-hits, REMEMBERED // 2)[: REMEMBERED // 2])
+        most = self.remembered // 2
+        if len(kept) > most:
+            kept = np.sort(np.argpartition(-hits, most)[:most])
         kept = np.concatenate([[0], kept[kept > 0]])
         place = np.full(len(lengths), -1, np.int64)
         place[kept] = np.arange(len(kept))
@@ -117,12 +120,12 @@ class ChunkEncoder:
 
     def _split(self, text: bytes) -> list:
         if b"<|" not in text:
-            text = _STOP.sub(rb" \g<0>", text.lower())
+            text = b" ".join(_STOP.split(text.lower()))
         return text.split()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with its end id; number of ids of each text)."""
-        if len(self.index) > REMEMBERED:
+        if len(self.index) > self.remembered:
             self._shrink()
         chunks: list[bytes | None] = []
         firsts = np.empty(len(texts), np.int64)
