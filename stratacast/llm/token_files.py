@@ -234,8 +234,9 @@ def read_token_files(files: DataFrame) -> DataFrame:
             )
 
     name = F.col("_metadata.file_name").alias("file")
-    totals = files.select(name, "doc_id", F.size("tokens").alias("n")).groupBy("file").agg(
-        F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("least"), F.sum("n").alias("total")
+    # The numbers beside the lists are enough for totals: no token is read for them.
+    totals = files.select(name, "doc_id", "n_tokens").groupBy("file").agg(
+        F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("least"), F.sum("n_tokens").alias("total")
     )
     before = Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
