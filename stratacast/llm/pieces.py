@@ -270,8 +270,8 @@ def _walk(best: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.array(n), back, _pairs)
 
 
-def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> dict[str, list[int]]:
-    """The most frequent segments of all documents with their ids; at most ``rows`` short ones."""
+def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> dict[str, bytes]:
+    """The most frequent segments of all documents with their ids as 32-bit integers; at most ``rows`` short ones."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has_odd = F.lit(False)
     for piece in sorted(model.odd):
@@ -286,7 +286,7 @@ def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONAR
     )
     frequent = counted.orderBy(F.desc("_n"), "segment").limit(rows).select("segment")
     found = encode_segments(frequent.repartition("segment"), model).toPandas()
-    return {s: list(map(int, ids)) for s, ids in zip(found["segment"], found["ids"], strict=True)}
+    return {s: np.asarray(ids, np.int32).tobytes() for s, ids in zip(found["segment"], found["ids"], strict=True)}
 
 
 TOKENS = "doc_id long, n_tokens long, tokens array<int>"
@@ -302,7 +302,7 @@ class SegmentEncoder(ChunkEncoder):
 
     remembered = 400_000
 
-    def __init__(self, model: PieceModel, known: dict[str, list[int]]) -> None:
+    def __init__(self, model: PieceModel, known: dict[str, bytes]) -> None:
         self.model, self.known = model, known
         self._start([])
 
@@ -318,7 +318,7 @@ class SegmentEncoder(ChunkEncoder):
         out: list[int] = []
         for s in key if isinstance(key, tuple) else self.model.segments(key):
             found = self.known.get(s)
-            out += self.model.fold(s) if found is None else found
+            out += self.model.fold(s) if found is None else memoryview(found).cast("i")
         return out
 
     def _marked(self, chunk: str | tuple[str]) -> bool:
@@ -340,6 +340,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], known: dict, model: PieceModel)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
             columns = [*part.columns, pa.array(counts, pa.int64()), lists]
             yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "n_tokens", "tokens"])
+    # The worker lives on: what the lists took goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def encode_texts(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> DataFrame:
