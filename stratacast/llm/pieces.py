@@ -14,7 +14,9 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ BREAKS = "\n\t\r"
 DICTIONARY_ROWS = 200_000
 DICTIONARY_CHARS = 32
 UNKNOWN_PENALTY = 10.0
+# Up to this length the best neighbours are merged one after another; beyond it edges are sorted instead.
+LONG = 64
 # A vocabulary beyond this is not broadcast; pieces are short strings.
 MAX_PIECES = 1_000_000
 EDGES = "array<struct<rank:int,s:int,e:int,id:int,score:double>>"
@@ -48,6 +52,7 @@ class PieceModel:
     least_score: float
     breaks: str
     odd: frozenset[str] = frozenset()
+    ranks: dict[str, int] = field(default_factory=dict)
 
     @classmethod
     def read(cls, content: bytes) -> PieceModel:
@@ -85,7 +90,8 @@ class PieceModel:
             "".join(c for c in BREAKS if c not in joined),
         )
         if kind == "bpe":
-            model.odd = frozenset(p for p, (k, _, _) in model.pieces.items() if model._merged(p) != [k])
+            model.ranks = {p: rank for p, (_, rank, _) in model.pieces.items()}
+            model.odd = frozenset(p for p, (k, _, _) in model.pieces.items() if model._merged_by_edges(p) != [k])
         return model
 
     # One pass over the edges by rank merges what a queue would: a merge offers no better one, provided that every
@@ -107,6 +113,29 @@ class PieceModel:
         return self._merged(segment) if self.kind == "bpe" else self._best_path(segment)
 
     def _merged(self, segment: str) -> list[int]:
+        if len(segment) > LONG:
+            return self._merged_by_edges(segment)
+        known, rank, none = self.pieces, self.ranks.get, len(self.pieces)
+        if segment in known and segment not in self.odd:
+            return [known[segment][0]]
+        parts = list(segment)
+        ranks = list(map(rank, map(add, segment, segment[1:]), repeat(none)))
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            del ranks[k]
+            merged = parts[k] = parts[k] + parts.pop(k + 1)
+            if k < len(ranks):
+                ranks[k] = rank(merged + parts[k + 1], none)
+            if k:
+                ranks[k - 1] = rank(parts[k - 1] + merged, none)
+        out = []
+        for part in parts:
+            hit = known.get(part)
+            out += [hit[0]] if hit else self._fallback(part)
+        return out
+
+    def _merged_by_edges(self, segment: str) -> list[int]:
+        """The same for segments of any length: all edges by rank, so time grows in proportion."""
         n, known, edges = len(segment), self.pieces, []
         for s in range(n - 1):
             for e in range(s + 2, min(n, s + self.longest) + 1):
@@ -300,7 +329,7 @@ class SegmentEncoder(ChunkEncoder):
     mark itself are cut segment by segment instead; those keys are tuples.
     """
 
-    remembered = 400_000
+    remembered = 200_000
 
     def __init__(self, model: PieceModel, known: dict[str, bytes]) -> None:
         self.model, self.known = model, known
