@@ -12,10 +12,11 @@ few occurrences of all others are folded by the same rule beside the text.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import pairwise, repeat
 from operator import add
 
 import numpy as np
@@ -53,6 +54,8 @@ class PieceModel:
     breaks: str
     odd: frozenset[str] = frozenset()
     ranks: dict[str, int] = field(default_factory=dict)
+    # Characters that are neighbours in some piece; between any others no piece crosses.
+    neighbours: frozenset[str] = frozenset()
 
     @classmethod
     def read(cls, content: bytes) -> PieceModel:
@@ -89,6 +92,7 @@ class PieceModel:
             min(s for _, _, s in normal),
             "".join(c for c in BREAKS if c not in joined),
         )
+        model.neighbours = frozenset(x + y for p in model.pieces for x, y in pairwise(p))
         if kind == "bpe":
             model.ranks = {p: rank for p, (_, rank, _) in model.pieces.items()}
             model.odd = frozenset(p for p, (k, _, _) in model.pieces.items() if model._merged_by_edges(p) != [k])
@@ -341,7 +345,15 @@ class SegmentEncoder(ChunkEncoder):
         runs = text.split(" ")
         if SPACE in text or "" in runs:
             return [(s,) for s in self.model.segments(text)]
-        return runs
+        neighbours, closing, chunks = self.model.neighbours, string.punctuation, []
+        for run in runs:
+            # Where no piece crosses from a word into the punctuation behind it, both are remembered by themselves.
+            if run[-1] in closing and (cut := len(run.rstrip(closing))) and run[cut - 1 : cut + 1] not in neighbours:
+                chunks.append(run[:cut])
+                chunks.append((run[cut:],))
+            else:
+                chunks.append(run)
+        return chunks
 
     def _ids(self, key: str | tuple[str]) -> list[int]:
         out: list[int] = []
