@@ -303,8 +303,34 @@ def _walk(best: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.array(n), back, _pairs)
 
 
-def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> dict[str, bytes]:
-    """The most frequent segments of all documents with their ids as 32-bit integers; at most ``rows`` short ones."""
+@dataclass
+class SegmentDictionary:
+    """Segments with their ids as columns (segment, ids); its pickled form is read as a dictionary.
+
+    So the driver, which only passes it on, holds no object for each segment.
+    """
+
+    table: pa.Table
+
+    def __reduce__(self) -> tuple:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, self.table.schema) as stream:
+            stream.write_table(self.table)
+        return _known_segments, (sink.getvalue().to_pybytes(),)
+
+
+def _known_segments(content: bytes) -> dict[str, bytes]:
+    """Segments with their ids as 32-bit integers in bytes."""
+    known: dict[str, bytes] = {}
+    for b in pa.ipc.open_stream(content):
+        lists = b.column("ids")
+        raw, bounds = lists.values.to_numpy().tobytes(), (4 * lists.offsets.to_numpy().astype(np.int64)).tolist()
+        known.update(zip(b.column("segment").to_pylist(), [raw[s:e] for s, e in pairwise(bounds)], strict=True))
+    return known
+
+
+def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONARY_ROWS) -> SegmentDictionary:
+    """The most frequent segments of all documents with their ids; at most ``rows`` short ones."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     has_odd = F.lit(False)
     for piece in sorted(model.odd):
@@ -318,8 +344,7 @@ def segment_dictionary(docs: DataFrame, model: PieceModel, rows: int = DICTIONAR
         .where("_n > 1")
     )
     frequent = counted.orderBy(F.desc("_n"), "segment").limit(rows).select("segment")
-    found = encode_segments(frequent.repartition("segment"), model).toPandas()
-    return {s: np.asarray(ids, np.int32).tobytes() for s, ids in zip(found["segment"], found["ids"], strict=True)}
+    return SegmentDictionary(encode_segments(frequent.repartition("segment"), model).toArrow())
 
 
 TOKENS = "doc_id long, n_tokens long, tokens array<int>"

@@ -1,9 +1,22 @@
-"""What the trees of near duplicates cost as their input grows."""
+"""What the trees of near duplicates and the dictionary of pieces cost as their input grows."""
+
+import pickle
+import tracemalloc
+
+import numpy as np
+import pytest
 
 from stratacast.llm import near_duplicates as nd
+from stratacast.llm.pieces import SPACE, PieceModel, segment_dictionary
+from stratacast.llm.queries import tokenizer_file
 from stratacast.session import ensure_checkpoint_dir
 
 
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel.read(tokenizer_file("piece_bpe_32k.model"))
+
+
 def test_nodes_grow_with_the_classes(spark, monkeypatch):
     """Unlike texts that share one shingle: each step makes at most as many rows for a class as on a fifth of them."""
     ensure_checkpoint_dir(spark)
@@ -22,3 +35,29 @@ def test_nodes_grow_with_the_classes(spark, monkeypatch):
     few, many = nodes_of(300), nodes_of(1500)
     assert few[0] > 0
     assert all(m <= 5 * f for f, m in zip(few, many, strict=True)), (few, many)
+
+
+def _dictionary_and_peak(spark, model, words):
+    docs = spark.createDataFrame([(k, f"{w} {w} {w}") for k, w in enumerate(words)], "doc_id long, text string")
+    tracemalloc.start()
+    found = segment_dictionary(docs, model)
+    sent = pickle.dumps(found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return pickle.loads(sent), peak
+
+
+def test_dictionary_takes_no_objects_on_the_driver(spark, model):
+    """A segment costs the driver some bytes of columns, not Python objects."""
+    words = sorted({f"{a}{b}{c}" for a in ("be", "Ün", "漢", "zzq", "x1") for b in range(40) for c in ("er", "s", "", "ß")})
+    words += [f"w{k}q" for k in range(20_000)]
+    _, least = _dictionary_and_peak(spark, model, words[:1])
+    known, peak = _dictionary_and_peak(spark, model, words)
+    assert known == {s: np.asarray(model.fold(s), np.int32).tobytes() for w in words for s in [SPACE + w]}
+    # What one segment takes is the table of pieces.
+    assert peak - least < 100 * len(words), (least, peak)
+
+
+def test_empty_dictionary(spark, model):
+    docs = spark.createDataFrame([(1, "once"), (2, None)], "doc_id long, text string")
+    assert pickle.loads(pickle.dumps(segment_dictionary(docs, model))) == {}
