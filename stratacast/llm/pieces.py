@@ -20,7 +20,6 @@ from itertools import pairwise, repeat
 from operator import add
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,8 @@ DICTIONARY_CHARS = 32
 UNKNOWN_PENALTY = 10.0
 # Up to this length the best neighbours are merged one after another; beyond it edges are sorted instead.
 LONG = 64
+# Bytes of text that a worker cuts at once; a chunk between blanks takes some ten times its length until it is looked up.
+CUT_AT_ONCE = 1 << 20
 # A vocabulary beyond this is not broadcast; pieces are short strings.
 MAX_PIECES = 1_000_000
 EDGES = "array<struct<rank:int,s:int,e:int,id:int,score:double>>"
@@ -199,10 +200,13 @@ def segment_column(text: Column, model: PieceModel) -> Column:
 
 
 def piece_table(spark: SparkSession, model: PieceModel) -> DataFrame:
-    rows = pd.DataFrame(
-        [(p, k, rank, score) for p, (k, rank, score) in model.pieces.items()], columns=["piece", "id", "rank", "score"]
-    )
-    return spark.createDataFrame(rows, "piece string, id int, rank int, score double")
+    """(piece, id, rank, score), handed over as Arrow: pickled rows would start Python workers of another kind.
+
+    Those would stay on the executors beside the workers of this subpackage.
+    """
+    ids, ranks, scores = zip(*model.pieces.values(), strict=True)
+    columns = [pa.array(list(model.pieces), pa.string()), pa.array(ids, pa.int32()), pa.array(ranks, pa.int32()), pa.array(scores, pa.float64())]
+    return spark.createDataFrame(pa.table(columns, names=["piece", "id", "rank", "score"]))
 
 
 def encode_segments(segments: DataFrame, model: PieceModel) -> DataFrame:
@@ -400,7 +404,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], known: dict, model: PieceModel)
     """The batch's own columns, the number of ids and the ids; a few texts at a time."""
     encoder = SegmentEncoder(model, known)
     for b in batches:
-        for part in slices(b):
+        for part in slices(b, CUT_AT_ONCE):
             ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))

@@ -4,10 +4,11 @@ import pickle
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stratacast.llm import near_duplicates as nd
-from stratacast.llm.pieces import SPACE, PieceModel, segment_dictionary
+from stratacast.llm.pieces import SPACE, PieceModel, _encoded, piece_table, segment_dictionary
 from stratacast.llm.queries import tokenizer_file
 from stratacast.session import ensure_checkpoint_dir
 
@@ -61,3 +62,26 @@ def test_dictionary_takes_no_objects_on_the_driver(spark, model):
 def test_empty_dictionary(spark, model):
     docs = spark.createDataFrame([(1, "once"), (2, None)], "doc_id long, text string")
     assert pickle.loads(pickle.dumps(segment_dictionary(docs, model))) == {}
+
+
+def test_workers_hold_little_of_a_batch_at_once(model):
+    """A large batch is cut some texts at a time, so what a worker holds beside it does not grow with the batch."""
+    texts = [" ".join(f"w{(n * k) % 500}" for k in range(1000)) for n in range(1600)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    peaks = []
+    for rows in (400, 1600):
+        tracemalloc.start()
+        total = sum(sum(b.column("n_tokens").to_pylist()) for b in _encoded(iter([batch.slice(0, rows)]), {}, model))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert total == sum(len(model.fold(s)) for t in texts[:rows] for s in model.segments(t))
+    assert peaks[1] < 1.5 * peaks[0], peaks
+
+
+def test_piece_table_starts_no_python_workers(spark, model):
+    table = piece_table(spark, model)
+    assert "PythonRDD" not in table._jdf.queryExecution().toRdd().toDebugString()
+    found = {r["piece"]: (r["id"], r["rank"], r["score"]) for r in table.collect()}
+    assert found == {p: (k, rank, score) for p, (k, rank, score) in model.pieces.items()}
+    assert table.count() == len(model.pieces)
+    assert dict(table.dtypes) == {"piece": "string", "id": "int", "rank": "int", "score": "double"}
